@@ -17,11 +17,21 @@ def general(c: str, digits: int) -> str:
     sci = f"format_string('%.{digits - 1}e', double({c}))"
     return (
         f"CASE WHEN {c} = 0 THEN '0'"
-        f" WHEN abs({c}) >= 1E-4 AND abs({c}) < 1E{digits} THEN regexp_replace({plain}, '[.]?0+$', '')"
+        f" WHEN abs({c}) >= 1E-4 AND abs({c}) < 1E{digits} THEN regexp_replace(regexp_replace({plain}, '([.][0-9]*?)0+$', '$1'), '[.]$', '')"
         f" ELSE regexp_replace({sci}, '[.]?0*e', 'e') END"
     )
 
 
+def shortest(c: str) -> str:
+    """Shortest decimal form with at least one decimal place; exponent form below 1e-4 only."""
+    return (
+        f"CASE WHEN {c} = 0 OR (abs({c}) >= 1E-3 AND abs({c}) < 1E7) THEN string({c})"
+        f" WHEN abs({c}) >= 1E7 THEN regexp_replace(format_string('%.3f', {c}), '([.][0-9]+?)0+$', '$1')"
+        f" WHEN abs({c}) >= 1E-4 THEN regexp_replace(format_string('%.12f', {c}), '([.][0-9]+?)0+$', '$1')"
+        f" ELSE lower(regexp_replace(string({c}), '[.]0E', 'e')) END"
+    )
+
+
 def quote(text: str) -> str:
     return "'" + text.replace("'", "\\'") + "'"
 

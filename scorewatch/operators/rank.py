@@ -94,8 +94,11 @@ def _partition(keys) -> str:
     return "PARTITION BY " + ", ".join(f"`{k}`" for k in keys)
 
 
-def running_counts(distinct: DataFrame, keys, names, spread: Spread) -> DataFrame:
-    """Per distinct value: `<name>_upto` (running, inclusive), `<name>_all` (key total) and `next_value`."""
+def running_counts(distinct: DataFrame, keys, names, spread: Spread, carry=()) -> DataFrame:
+    """Per distinct value: `<name>_upto` (running, inclusive), `<name>_all` (key total) and `next_value`.
+
+    `carry` lists further columns to keep.
+    """
     within = _partition([*keys, "bucket"])
     bucketed = with_bucket(distinct, keys, "value", spread)
     local = bucketed.selectExpr(
@@ -127,6 +130,7 @@ def running_counts(distinct: DataFrame, keys, names, spread: Spread) -> DataFram
         *[f"`{k}`" for k in keys],
         "value",
         *names,
+        *carry,
         *[f"{n}_upto + {n}_before AS {n}_upto" for n in names],
         "coalesce(next_value, following) AS next_value",
         *[f"{n}_all" for n in names],
