@@ -67,7 +67,7 @@ def feature_vif(
 
     names = ", ".join(quote(f) for f in features)
     solved = matrix.withColumn("vif", solve("varies", "r"))
-    rows = solved.selectExpr(*[f"`{g}`" for g in group_cols], f"inline(arrays_zip(array({names}) AS feature, vif))")
+    rows = solved.selectExpr(*[f"`{g}`" for g in group_cols], f"inline(zip_with(array({names}), vif, (f, v) -> named_struct('feature', f, 'vif', v)))")
     t = thresholds
     high, medium = f"vif >= {t.vif_high}D", f"vif >= {t.vif_medium}D"
     shown = f"CASE WHEN vif = double('infinity') THEN 'inf' ELSE {fixed('vif', 2)} END"
