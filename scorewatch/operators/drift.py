@@ -47,7 +47,7 @@ def distances(
     """
     keys = [*group_cols, "feature"]
     values = long_values(df, features, [*group_cols, "win"])
-    spread = rank.measure(values, keys, "value", rows_per_bucket)
+    spread = rank.measure(values, keys, "value", rows_per_bucket, df, group_cols, len(features))
     distinct = rank.value_counts(values, keys, "value", WINDOW_COUNTS)
     running = rank.running_counts(distinct, keys, ["train", "current"], spread)
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..config import Thresholds
 from ..functions.clean import number_sql
 from ..functions.text import quote
-from ..session import shared_path
+from ..session import checkpoints, shared_path
 from . import rank
 from .impute import median_imputed
 
@@ -38,6 +38,7 @@ def train_reviewer(df: DataFrame, features, target: str, kind: str = "boosted",
     train = median_imputed(df.where("win = 'train'"), features, rows_per_bucket=rows_per_bucket)
     label = f"double(int(coalesce({number_sql(target)}, 0.0D))) AS label"
     data = _inputs(train.selectExpr(label, *[f"`{f}`" for f in features]), features, ["label"])
+    checkpoints(df.sparkSession)  # boosting cuts its lineage there
     if kind == "forest":
         return RandomForestClassifier(numTrees=120, maxDepth=5, seed=SEED).fit(data)
     return GBTClassifier(maxIter=80, maxDepth=3, stepSize=0.06, subsamplingRate=0.9, seed=SEED).fit(data)

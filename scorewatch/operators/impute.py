@@ -22,7 +22,8 @@ def medians(df: DataFrame, columns, group_cols=(), rows_per_bucket=rank.ROWS_PER
     """One row per group with the exact median of every column (NULL when a column has no value)."""
     keys = [*group_cols, "feature"]
     values = long_values(df, columns, list(group_cols))
-    long = rank.exact_quantiles(values, keys, "value", {"median": (1, 2)}, rows_per_bucket)
+    spread = rank.measure(values, keys, "value", rows_per_bucket, df, group_cols, len(columns))
+    long = rank.exact_quantiles(values, keys, "value", {"median": (1, 2)}, spread)
     return long.groupBy(*group_cols).agg(
         *[F.expr(f"max(median) FILTER (WHERE feature = {quote(c)}) AS `{c}|median`") for c in columns]
     )

@@ -42,7 +42,7 @@ def score_deciles(
     rows = clean_scores(preds, score, label, [*group_cols, entity], clip=False).selectExpr(
         *[f"`{g}`" for g in group_cols], "'score' AS scope", f"`{entity}` AS entity", "-score AS descending", "label"
     )
-    spread = rank.measure(rows, keys, "descending", rows_per_bucket)
+    spread = rank.measure(rows, keys, "descending", rows_per_bucket, preds, group_cols)
     counts = {"n": "1L", "positives": "bigint(label)"}
     distinct = rank.value_counts(rows, keys, "descending", counts)
     running = rank.running_counts(distinct, keys, ["n"], spread, carry=["positives"])

@@ -32,8 +32,26 @@ class Spread:
     borders: DataFrame | None  # keys + coarse, fine border arrays of the cut keys; None when no key needs cutting
 
 
-def measure(rows: DataFrame, keys, value: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> Spread:
-    """Count rows per key (map-side combined) and sample bucket borders for the keys that need them."""
+def measure(
+    rows: DataFrame,
+    keys,
+    value: str,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+    source: DataFrame | None = None,
+    source_keys=(),
+    fan_out: int = 1,
+) -> Spread:
+    """Count rows per key (map-side combined) and sample bucket borders for the keys that need them.
+
+    `source` is the frame the rows were unpivoted from, `fan_out` keys per group: its row counts bound those of
+    every key and need no feature column, so they are looked at first.
+    """
+    if source is not None:
+        groups = source.groupBy(*source_keys).agg(F.count(F.lit(1)).alias("n"))
+        bound = groups.agg(F.count(F.lit(1)).alias("keys"), F.max("n").alias("largest")).first()
+        if (bound["largest"] or 0) <= rows_per_bucket:
+            return Spread(bound["keys"] * fan_out <= BROADCAST_ROWS, None)
+
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     seen = sizes.agg(F.count(F.lit(1)).alias("keys"), F.max("n").alias("largest")).first()
     few = seen["keys"] <= BROADCAST_ROWS
@@ -158,9 +176,8 @@ def interpolated(alias: str, at: str) -> str:
     return lerp_sql(f"{alias}_lo", f"{alias}_hi", f"({at} - floor({at}))")
 
 
-def exact_quantiles(rows: DataFrame, keys, value: str, probs: dict[str, tuple[int, int]], rows_per_bucket=ROWS_PER_BUCKET) -> DataFrame:
+def exact_quantiles(rows: DataFrame, keys, value: str, probs: dict[str, tuple[int, int]], spread: Spread) -> DataFrame:
     """Linear-interpolated quantiles per key; `probs` maps output name to the fraction (i, of)."""
-    spread = measure(rows, keys, value, rows_per_bucket)
     running = running_counts(value_counts(rows, keys, value, {"n": "1L"}), keys, ["n"], spread)
     at = {a: position("n_all", i, of) for a, (i, of) in probs.items()}
     picked = running.groupBy(*keys).agg(F.expr("max(n_all) AS n_all"), *order_statistics("n", at))

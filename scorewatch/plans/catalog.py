@@ -11,7 +11,6 @@ from ..operators import (
     cluster,
     collinearity,
     drift,
-    evidence,
     explain,
     feedback,
     impute,
@@ -21,8 +20,10 @@ from ..operators import (
     runs,
     segments,
 )
+from ..session import stored
 from ..sources import review_views as views
 from . import oracles
+from .review import Review
 
 FEATURES = views.FEATURES
 SEGMENT_FEATURES = FEATURES[:5]
@@ -298,36 +299,28 @@ def reliability_gate(spark, d):
 # ---------------------------------------------------------------- fusion
 
 
-class Review:
-    """The reports of every model of the fleet, built once and shared by the fused results of one query."""
-
-    def __init__(self, spark: SparkSession, d: str):
-        self.drift = _drift(spark, d, FLEET)
-        self.vif = _vif(spark, d)
-        self.importance = _importance(spark, d)
-        self.quality = _quality(spark, d, FLEET)
-        self.score = drift.prediction_drift_summary(views.predictions(spark, d), "score", FLEET, T)
-
-    def matrix(self):
-        return risk.feature_risk_matrix(self.importance, self.drift, self.vif, group_cols=FLEET)
-
-    def counts(self):
-        return risk.risk_counts(self.quality, self.drift, self.score, group_cols=FLEET)
-
-    def decision(self):
-        return risk.run_risk_decision(self.counts(), FLEET, T)
-
-    def health(self):
-        return risk.model_health_status(self.decision(), self.matrix(), FLEET)
+def _review(spark, d) -> Review:
+    """A review of every model of the fleet; importance is the label correlation, comparable in plain SQL."""
+    # the inputs are joins over the raw tables: stored once, as a feature table would be
+    features_df = stored(views.features(spark, d), "features")
+    return Review(
+        features_df,
+        stored(views.predictions(spark, d), "predictions"),
+        FEATURES,
+        group_cols=FLEET,
+        thresholds=T,
+        bounds=views.BOUNDS,
+        importance=explain.label_correlation_importance(features_df, FEATURES, "label", FLEET),
+        vif_features=VIF_FEATURES,
+    )
 
 
 def run_risk_decision(spark, d):
-    decision = Review(spark, d).decision()
-    return decision.selectExpr(*FLEET, "overall_risk_level", "primary_reason", "size(triggered_rules) AS rules_fired")
+    return _review(spark, d).decision.selectExpr(*FLEET, "overall_risk_level", "primary_reason", "size(triggered_rules) AS rules_fired")
 
 
 def recommended_checks(spark, d):
-    return risk.recommended_checks(Review(spark, d).counts(), FLEET)
+    return _review(spark, d).checks
 
 
 MATRIX_COLUMNS = (
@@ -345,30 +338,24 @@ MATRIX_COLUMNS = (
 )
 
 
-def _matrix(spark, d):
-    return risk.feature_risk_matrix(_importance(spark, d), _drift(spark, d, FLEET), _vif(spark, d), group_cols=FLEET)
-
-
 def feature_risk_matrix(spark, d):
-    return rounded(_matrix(spark, d), *MATRIX_COLUMNS)
+    return rounded(_review(spark, d).matrix, *MATRIX_COLUMNS)
 
 
 def risk_scatter_frame(spark, d):
-    return rounded(risk.risk_scatter_frame(_matrix(spark, d), group_cols=FLEET).drop("reason"))
+    return rounded(risk.risk_scatter_frame(_review(spark, d).matrix, group_cols=FLEET).drop("reason"))
 
 
 def key_findings(spark, d):
-    r = Review(spark, d)
-    return risk.key_findings(r.drift, r.matrix(), r.score, r.vif, group_cols=FLEET)
+    return _review(spark, d).findings
 
 
 def recommended_actions(spark, d):
-    r = Review(spark, d)
-    return risk.recommended_actions(r.counts(), r.matrix(), r.vif, FLEET)
+    return _review(spark, d).actions
 
 
 def model_health_status(spark, d):
-    return Review(spark, d).health()
+    return _review(spark, d).health
 
 
 def top_drivers(spark, d):
@@ -376,25 +363,11 @@ def top_drivers(spark, d):
 
 
 def high_risk_lines(spark, d):
-    return risk.high_risk_lines(_matrix(spark, d), FLEET)
+    return risk.high_risk_lines(_review(spark, d).matrix, FLEET)
 
 
 def evidence_packet(spark, d):
-    r = Review(spark, d)
-    current = _current(spark, d)
-    sections = {
-        "data_quality_findings": r.quality,
-        "feature_drift": r.drift,
-        "prediction_drift": r.score,
-        "multicollinearity": r.vif,
-        "feature_risk_matrix": r.matrix(),
-        "calibration_bins": calibration.calibration_bins(current, group_cols=FLEET),
-        "lift_deciles": lift.lift_table(lift.score_deciles(current, group_cols=FLEET), FLEET),
-        "segments": segments.segment_performance(_scored(spark, d, FLEET), SEGMENT_FEATURES, FLEET),
-        "key_findings": risk.key_findings(r.drift, r.matrix(), r.score, r.vif, group_cols=FLEET),
-        "recommended_actions": risk.recommended_actions(r.counts(), r.matrix(), r.vif, FLEET),
-    }
-    return evidence.evidence_packet(r.decision(), sections, FLEET)
+    return _review(spark, d).packet()
 
 
 # ---------------------------------------------------------------- feedback

@@ -29,15 +29,26 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def pin(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint, so the rows are computed once and survive lost executors."""
-    spark = df.sparkSession
+def checkpoints(spark: SparkSession) -> None:
+    """Make sure the context has a checkpoint folder."""
     folder = shared_dir(spark)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
+
+
+def pin(df: DataFrame) -> DataFrame:
+    """Cut lineage with a reliable checkpoint, so the rows are computed once and survive lost executors."""
+    checkpoints(df.sparkSession)
     return df.checkpoint()
 
 
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write a table to the shared folder and read it back: for derived inputs that several scans follow."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def keyed_join(left: DataFrame, right: DataFrame, keys, how: str = "inner", broadcast: bool = False) -> DataFrame:
     """Equi-join on `keys` where null keys match each other; the result keeps the left key columns."""
     keys = list(keys)

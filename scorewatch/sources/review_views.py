@@ -22,6 +22,21 @@ FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey
 GROUP BY o.o_orderkey, o.o_custkey, o.o_orderdate
 """
 
+# The same rows for Spark: lines are summed per order before the join, so one row per order is joined and no text
+# column is aggregated. Equal to the text above because o_orderkey is unique.
+ORDER_BASE = """
+SELECT o.o_orderkey AS entity_id, o.o_custkey % 3 AS model_id,
+       CASE WHEN o.o_orderdate < TIMESTAMP '1998-05-01 00:00:00' THEN 'train' ELSE 'current' END AS win,
+       l.n_items, l.qty, l.price, l.avg_discount, l.avg_tax,
+       CASE WHEN o.o_orderpriority LIKE '1%' THEN 1.0E0 ELSE 0.0E0 END AS urgent, l.label
+FROM {orders} o JOIN (
+  SELECT l_orderkey, CAST(count(*) AS DOUBLE) AS n_items, round(sum(l_quantity), 4) AS qty,
+         round(sum(l_extendedprice), 4) AS price, round(avg(l_discount), 6) AS avg_discount,
+         round(avg(l_tax), 6) AS avg_tax,
+         CASE WHEN 2 * sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) >= count(*) THEN 1 ELSE 0 END AS label
+  FROM {lineitem} GROUP BY l_orderkey) l ON o.o_orderkey = l.l_orderkey
+"""
+
 # Quantity drifts and discounts go missing in the current window.
 REVIEW_FEATURES = """
 SELECT entity_id, model_id, win, n_items,
@@ -71,30 +86,25 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def _over(spark: SparkSession, sf_dir: str, sql: str, tables, base: bool = False) -> DataFrame:
-    frames = {t: _read(spark, sf_dir, t) for t in tables}
-    if base:
-        inner = spark.sql(REVIEW_BASE.replace("FROM orders o JOIN lineitem l", "FROM {orders} o JOIN {lineitem} l"), **frames)
-        return spark.sql(sql.replace("FROM review_base", "FROM {base}"), base=inner)
-    for t in tables:
-        sql = sql.replace(f"FROM {t}", f"FROM {{{t}}}")
-    return spark.sql(sql, **frames)
+def _over_base(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+    base = spark.sql(ORDER_BASE, orders=_read(spark, sf_dir, "orders"), lineitem=_read(spark, sf_dir, "lineitem"))
+    return spark.sql(sql.replace("FROM review_base", "FROM {base}"), base=base)
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _over(spark, sf_dir, REVIEW_FEATURES, ("orders", "lineitem"), base=True)
+    return _over_base(spark, sf_dir, REVIEW_FEATURES)
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _over(spark, sf_dir, REVIEW_PREDICTIONS, ("orders", "lineitem"), base=True)
+    return _over_base(spark, sf_dir, REVIEW_PREDICTIONS)
 
 
 def feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _over(spark, sf_dir, REVIEW_FEEDBACK, ("events",))
+    return spark.sql(REVIEW_FEEDBACK.replace("FROM events", "FROM {events}"), events=_read(spark, sf_dir, "events"))
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _over(spark, sf_dir, REVIEW_RUNS, ("nation",))
+    return spark.sql(REVIEW_RUNS.replace("FROM nation", "FROM {nation}"), nation=_read(spark, sf_dir, "nation"))
 
 
 def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
