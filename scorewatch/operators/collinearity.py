@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..config import Thresholds
 from ..functions.text import choose, fixed, quote, sentence
+from ..session import ordered
 from . import rank
 from .impute import median_imputed
 
@@ -75,7 +76,7 @@ def feature_vif(
     def side(level, limit, where):
         return sentence(quote(f"{level} because VIF "), shown, quote(f" is {where} configured threshold {limit:.2f}."))
 
-    return rows.selectExpr(
+    report = rows.selectExpr(
         "*",
         f"{choose([(high, quote('High')), (medium, quote('Medium'))], quote('Low'))} AS vif_risk",
         choose(
@@ -83,4 +84,5 @@ def feature_vif(
             side("Low", t.vif_medium, "below"),
         )
         + " AS vif_risk_reason",
-    ).orderBy(*group_cols, F.desc("vif"), "feature")
+    )
+    return ordered(report, group_cols, F.desc("vif"), "feature")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..config import Thresholds
 from ..functions.clean import number_sql
 from ..functions.text import choose, fixed, general, percent, quote, sentence
-from ..session import keyed_join
+from ..session import keyed_join, ordered
 from .drift import feature_profile
 
 FINDING = (
@@ -371,7 +371,7 @@ def data_quality_report(
         report = report.unionAll(p)
     if not has_reference:
         report = report.where("dataset <> 'train_predictions'")
-    return report.orderBy(*group_cols, "finding_no").select(*group_cols, *FINDING)
+    return ordered(report, group_cols, "finding_no").select(*group_cols, *FINDING)
 
 
 def issue_counts(report: DataFrame, group_cols=()) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..config import Thresholds
 from ..functions.clean import level_order
 from ..functions.text import choose, fixed, quote, sentence
-from ..session import join_per_group, keyed_join
+from ..session import join_per_group, keyed_join, ordered
 
 
 def _sql(group_cols) -> list[str]:
@@ -168,7 +168,7 @@ def feature_risk_matrix(
     ]
     fallback = ("Low", "Low because no configured feature-risk rule fired.", "No immediate action.")
     level, reason, action = (choose([(r[0], quote(r[i])) for r in rules], quote(fallback[i - 1])) for i in (1, 2, 3))
-    return m.selectExpr(
+    matrix = m.selectExpr(
         *[f"`{k}`" for k in keys],
         "feature_group",
         "business_definition",
@@ -187,7 +187,8 @@ def feature_risk_matrix(
         f"{reason} AS reason",
         f"{reason} AS combined_risk_reason",
         f"{action} AS recommended_action",
-    ).orderBy(*group_cols, level_order("final_risk"), "shap_rank")
+    )
+    return ordered(matrix, group_cols, level_order("final_risk"), "shap_rank")
 
 
 def risk_scatter_frame(

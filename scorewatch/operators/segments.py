@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..config import Thresholds
 from ..functions.clean import finite_sql, level_order
 from ..functions.text import choose, fixed, quote, sentence, shortest
-from ..session import keyed_join, stored
+from ..session import keyed_join, ordered, stored
 from . import rank
 from .calibration import clean_scores
 
@@ -175,7 +175,7 @@ def segment_performance(
         f"{choose([(small, quote('Low')), (high, quote('High')), (medium, quote('Medium'))], quote('Low'))} AS risk_level",
         f"{reason} AS risk_reason",
     )
-    return report.orderBy(*group_cols, level_order("risk_level"), F.desc(gap), "feature", "segment")
+    return ordered(report, group_cols, level_order("risk_level"), F.desc(gap), "feature", "segment")
 
 
 def segment_summary(report: DataFrame, group_cols=()) -> DataFrame:

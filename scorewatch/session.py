@@ -42,6 +42,11 @@ def pin(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def ordered(df: DataFrame, group_cols, *order) -> DataFrame:
+    """Sort a report. One review has a bounded number of rows: a single partition, no range sampling."""
+    return df.orderBy(*group_cols, *order) if group_cols else df.coalesce(1).sortWithinPartitions(*order)
+
+
 def stored(df: DataFrame, name: str = "table") -> DataFrame:
     """Write a table to the shared folder and read it back: for derived inputs that several scans follow."""
     path = shared_path(df.sparkSession, name)
