@@ -101,7 +101,7 @@ def survival(d: float, n: int) -> float:
     spread = n * d * d
     if spread >= 370.0:
         return 0.0
-    # two one-sided tails overlap by less than double precision beyond this spread
+    # beyond this spread both tails crossing at once is negligible (below 2e-6 of the result)
     if spread >= (4.0 if n <= 140 else 2.2) or d >= 0.5:
         p = 2.0 * _one_sided_tail(n, d)
     elif n <= MATRIX_MAX_N:

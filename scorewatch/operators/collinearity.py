@@ -53,8 +53,14 @@ def feature_vif(
     filled = median_imputed(df, features, group_cols, rows_per_bucket=rows_per_bucket).select(*group_cols, *features)
     pairs = [(i, j) for i in range(p) for j in range(i + 1, p)]
     spreads = ", ".join(f"max(`{f}`) > min(`{f}`)" for f in features)
-    cells = [f"corr(`{features[i]}`, `{features[j]}`)" for i, j in pairs]
-    matrix = filled.groupBy(*group_cols).agg(F.expr(f"array({spreads}) AS varies"), F.expr(f"CAST(array({', '.join(cells)}) AS ARRAY<DOUBLE>) AS r"))
+    # corr() would divide by zero on a constant column
+    cells = [
+        f"try_divide(covar_pop(`{a}`, `{b}`), stddev_pop(`{a}`) * stddev_pop(`{b}`))"
+        for a, b in ((features[i], features[j]) for i, j in pairs)
+    ]
+    matrix = filled.groupBy(*group_cols).agg(
+        F.expr(f"array({spreads}) AS varies"), F.expr(f"CAST(array({', '.join(cells)}) AS ARRAY<DOUBLE>) AS r")
+    )
 
     @F.pandas_udf("array<double>")
     def solve(varies: pd.Series, r: pd.Series) -> pd.Series:
@@ -68,7 +74,10 @@ def feature_vif(
 
     names = ", ".join(quote(f) for f in features)
     solved = matrix.withColumn("vif", solve("varies", "r"))
-    rows = solved.selectExpr(*[f"`{g}`" for g in group_cols], f"inline(zip_with(array({names}), vif, (f, v) -> named_struct('feature', f, 'vif', v)))")
+    rows = solved.selectExpr(
+        *[f"`{g}`" for g in group_cols],
+        f"inline(zip_with(array({names}), vif, (f, v) -> named_struct('feature', f, 'vif', v)))",
+    )
     t = thresholds
     high, medium = f"vif >= {t.vif_high}D", f"vif >= {t.vif_medium}D"
     shown = f"CASE WHEN vif = double('infinity') THEN 'inf' ELSE {fixed('vif', 2)} END"

@@ -218,8 +218,18 @@ def permutation_importance(
 def label_correlation_importance(df: DataFrame, features, target: str, group_cols=()) -> DataFrame:
     """A cheap stand-in importance: |correlation| of each feature with the target on the train window."""
     y = number_sql(target)
+    names = [(f, number_sql(f)) for f in features]
+    pairs = [
+        # deviations over the rows where both are present, as a correlation takes them
+        (f, v, f"CASE WHEN {v} IS NOT NULL THEN {y} END", f"CASE WHEN {y} IS NOT NULL THEN {v} END") for f, v in names
+    ]
     wide = df.where("win = 'train'").groupBy(*group_cols).agg(
-        *[F.expr(f"coalesce(abs(corr({number_sql(f)}, {y})), 0.0D) AS `{f}`") for f in features]
+        *[
+            F.expr(
+                f"coalesce(abs(try_divide(covar_pop({v}, {y}), stddev_pop({own}) * stddev_pop({other}))), 0.0D) AS `{f}`"
+            )
+            for f, v, other, own in pairs
+        ]
     )
     return ranked_importance(wide.unpivot(list(group_cols), list(features), "feature", "mean_abs_shap"), group_cols)
 
