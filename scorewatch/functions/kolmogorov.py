@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 # ship the kernel with the task, so executors need no installed package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-MATRIX_MAX_N = 2000
+# Regime borders of the published algorithm. Fixed values.
+MATRIX_MAX_N = 140
 SUM_MAX_N = 1_000_000
 
 
@@ -102,9 +103,9 @@ def survival(d: float, n: int) -> float:
     if spread >= 370.0:
         return 0.0
     # beyond this spread both tails crossing at once is negligible (below 2e-6 of the result)
-    if spread >= (4.0 if n <= 140 else 2.2) or d >= 0.5:
+    if spread >= (4.0 if n <= MATRIX_MAX_N else 2.2) or d >= 0.5:
         p = 2.0 * _one_sided_tail(n, d)
-    elif n <= MATRIX_MAX_N:
+    elif n <= MATRIX_MAX_N or (n <= 100_000 and n * d**1.5 <= 1.4):
         p = 1.0 - _matrix_cdf(n, d)
     else:
         p = 1.0 - _expansion_cdf(n, d)

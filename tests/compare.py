@@ -23,19 +23,21 @@ def connect(folder):
 
 
 def canonical(rows, columns):
+    """Rows as (exact cells, float cells) in column-name order, sorted."""
     order = sorted(range(len(columns)), key=lambda i: columns[i])
+    out = []
+    for r in rows:
+        cells = [r[i] for i in order]
+        floats = tuple(v for v in cells if isinstance(v, float))
+        out.append((tuple("#" if isinstance(v, float) else str(v) for v in cells), floats))
+    return sorted(out, key=lambda r: (r[0], tuple(round(v, 5) for v in r[1])))
 
-    def cell(v):
-        if isinstance(v, bool) or v is None:
-            return str(v)
-        if isinstance(v, (int, float)):
-            return "nan" if math.isnan(v) else f"{float(v):.6f}"
-        return str(v)
 
-    return sorted(tuple(cell(r[i]) for i in order) for r in rows)
+def same(a, b, tolerance):
+    return a[0] == b[0] and all(abs(x - y) <= tolerance or x == y or (x != x and y != y) for x, y in zip(a[1], b[1]))
 
 
-def compare(spark, con, name, query, sql, folder):
+def compare(spark, con, name, query, sql, folder, tolerance=0.0):
     """None when equal, else a short description."""
     df = query(spark, folder)
     ours = canonical([tuple(r) for r in df.collect()], df.columns)
@@ -45,8 +47,8 @@ def compare(spark, con, name, query, sql, folder):
     if sorted(df.columns) != sorted(names):
         return f"columns {sorted(set(df.columns) ^ set(names))}"
     if len(ours) != len(theirs):
-        return f"rows {len(ours)} vs {len(theirs)}; {sorted(set(ours) ^ set(theirs))[:4]}"
-    bad = [(a, b) for a, b in zip(ours, theirs) if a != b]
+        return f"rows {len(ours)} vs {len(theirs)}"
+    bad = [(a, b) for a, b in zip(ours, theirs) if not same(a, b, tolerance)]
     return f"{len(bad)} rows differ, first {bad[0]}" if bad else None
 
 

@@ -27,7 +27,8 @@ def test_sql_belongs_to_queries():
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_matches_sql(spark, con, name):
-    assert compare(spark, con, name, QUERIES[name], SQL[name], SF) is None
+    # the SQL p-value is the large-sample expansion; at a hundred rows it is off by up to 1e-5
+    assert compare(spark, con, name, QUERIES[name], SQL[name], SF, tolerance=2e-5) is None
 
 
 def test_entry(spark):
