@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
@@ -15,6 +17,8 @@ from .impute import median_imputed
 
 K = 3
 SEEDS = range(10)
+PARALLEL_FITS = 5
+ROWS_PER_TASK = 50_000
 
 
 def standardised(df: DataFrame, features) -> DataFrame:
@@ -49,7 +53,16 @@ def cluster_share_shift(
     vectors = vectors.select("win", "features")
     train = vectors.where("win = 'train'").select("features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fits = [KMeans(k=k, seed=s, maxIter=20).fit(train) for s in seeds]
+        rows = train.count()  # fills the cache once before the runs share it
+        # every iteration is a job: a small window should not be cut into many tiny tasks
+        points = train.coalesce(max(1, rows // ROWS_PER_TASK))
+
+        def fit(seed):
+            return KMeans(k=k, seed=seed, maxIter=20).fit(points)
+
+        # independent runs, submitted side by side so that their short stages overlap
+        with ThreadPoolExecutor(PARALLEL_FITS) as pool:
+            fits = list(pool.map(inheritable_thread_target(df.sparkSession)(fit), seeds))
     finally:
         train.unpersist()
     best = min(fits, key=lambda m: m.summary.trainingCost)

@@ -293,29 +293,31 @@ def material_missing(profile: DataFrame, points: float = 5.0) -> DataFrame:
 # ---------------------------------------------------------------- prediction scores
 
 
-def label_mix_shift(preds: DataFrame, group_cols=(), predicted="predicted_label", actual="actual_label") -> DataFrame:
-    """Predicted and actual positive rates per window, their change, and the current predicted-actual gap."""
+def _label_rates(preds: DataFrame, predicted: str, actual: str) -> list:
+    """Aggregates: positive rate of the predicted and actual label per window."""
 
     def rate(column, window):
         if column not in preds.columns:
             return "CAST(NULL AS DOUBLE)"
         return f"avg({number_sql(column)}) FILTER (WHERE win = '{window}')"
 
-    rates = preds.groupBy(*group_cols).agg(
-        *[
-            F.expr(f"{rate(column, window)} AS {name}_{kind}_positive_rate")
-            for column, kind in ((predicted, "predicted"), (actual, "actual"))
-            for window, name in (("train", "reference"), ("current", "current"))
-        ]
-    )
-    return rates.selectExpr(
-        "*",
-        *[
-            f"(current_{k}_positive_rate - reference_{k}_positive_rate) * 100.0D AS {k}_positive_rate_change_pct_points"
-            for k in ("predicted", "actual")
-        ],
-        "current_predicted_positive_rate - current_actual_positive_rate AS prediction_actual_rate_gap",
-    )
+    return [
+        F.expr(f"{rate(column, window)} AS {name}_{kind}_positive_rate")
+        for column, kind in ((predicted, "predicted"), (actual, "actual"))
+        for window, name in (("train", "reference"), ("current", "current"))
+    ]
+
+
+LABEL_CHANGES = (
+    "(current_predicted_positive_rate - reference_predicted_positive_rate) * 100.0D AS predicted_positive_rate_change_pct_points",
+    "(current_actual_positive_rate - reference_actual_positive_rate) * 100.0D AS actual_positive_rate_change_pct_points",
+    "current_predicted_positive_rate - current_actual_positive_rate AS prediction_actual_rate_gap",
+)
+
+
+def label_mix_shift(preds: DataFrame, group_cols=(), predicted="predicted_label", actual="actual_label") -> DataFrame:
+    """Predicted and actual positive rates per window, their change, and the current predicted-actual gap."""
+    return preds.groupBy(*group_cols).agg(*_label_rates(preds, predicted, actual)).selectExpr("*", *LABEL_CHANGES)
 
 
 SCORE_ACTION = choose(
@@ -365,7 +367,8 @@ def prediction_drift_summary(
         aggregates.append(F.expr(f"count(*) {only} AS {name}_row_count"))
         for f, n in (("avg", "mean"), ("stddev_samp", "std"), ("min", "min"), ("max", "max")):
             aggregates.append(F.expr(f"{f}({s}) {only} AS {name}_score_{n}"))
-    basics = preds.groupBy(*group_cols).agg(*aggregates)
+    basics = preds.groupBy(*group_cols).agg(*aggregates, *_label_rates(preds, predicted, actual))
+    basics = basics.selectExpr("*", *LABEL_CHANGES)
     stats = with_ks_pvalue(distances(preds, [score], group_cols, quantiles=True, rows_per_bucket=rows_per_bucket))
     stats = stats.selectExpr(
         *keep,
@@ -377,7 +380,6 @@ def prediction_drift_summary(
         "wasserstein_distance",
     )
     joined = join_per_group(basics, stats, group_cols)
-    joined = join_per_group(joined, label_mix_shift(preds, group_cols, predicted, actual), group_cols)
     carried = [c for c in joined.columns if c not in (*group_cols, "psi", "ks_statistic", "ks_pvalue", "wasserstein_distance")]
     known = "reference_row_count > 0"
     drift = joined.selectExpr(

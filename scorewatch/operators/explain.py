@@ -26,6 +26,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SEED = 42
 REPEATS = 5
 ROWS_PER_SHUFFLE_BUCKET = 100_000
+ROWS_PER_TASK = 50_000
 
 
 def _inputs(df: DataFrame, features, extra=()) -> DataFrame:
@@ -39,6 +40,8 @@ def train_reviewer(df: DataFrame, features, target: str, kind: str = "boosted",
     label = f"double(int(coalesce({number_sql(target)}, 0.0D))) AS label"
     data = _inputs(train.selectExpr(label, *[f"`{f}`" for f in features]), features, ["label"])
     checkpoints(df.sparkSession)  # boosting cuts its lineage there
+    # every tree level is a job: a small window should not be cut into many tiny tasks
+    data = data.coalesce(max(1, data.count() // ROWS_PER_TASK))
     if kind == "forest":
         return RandomForestClassifier(numTrees=120, maxDepth=5, seed=SEED).fit(data)
     return GBTClassifier(maxIter=80, maxDepth=3, stepSize=0.06, subsamplingRate=0.9, seed=SEED).fit(data)

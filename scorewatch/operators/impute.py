@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.clean import number_sql
 from ..functions.text import quote
-from ..session import join_per_group
+from ..session import bounded, join_per_group
 from . import rank
 from .drift import long_values
 
@@ -41,7 +41,8 @@ def median_imputed(
     if not gaps:
         return df.selectExpr(*others, *[f"{number_sql(c)} AS `{c}`" for c in columns])
     source = df.where(F.col("win") == from_window) if from_window else df
-    filled = join_per_group(df, medians(source, gaps, group_cols, rows_per_bucket), group_cols)
+    values, small = bounded(medians(source, gaps, group_cols, rows_per_bucket), group_cols)
+    filled = join_per_group(df, values, group_cols, broadcast=small)
     return filled.selectExpr(
         *others,
         *[

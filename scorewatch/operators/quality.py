@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..config import Thresholds
 from ..functions.clean import number_sql
 from ..functions.text import choose, fixed, general, percent, quote, sentence
-from ..session import keyed_join, ordered
+from ..session import bounded, keyed_join, ordered
 from .drift import feature_profile
 
 FINDING = (
@@ -94,13 +94,18 @@ def contract_violations(
 # ---------------------------------------------------------------- single checks
 
 
-def duplicate_entity_rate(df: DataFrame, ids, group_cols=()) -> DataFrame:
-    """Share of rows after the first of their id (a NULL id is one id). Counts per id are combined map-side."""
-    per_id = df.groupBy(*group_cols, *ids).agg(F.expr("count(*) AS n"))
+def duplicate_entity_rate(df: DataFrame, ids, group_cols=(), also=()) -> DataFrame:
+    """Share of rows after the first of their id (a NULL id is one id). Counts per id are combined map-side.
+
+    `also` holds (name, condition) pairs whose share of rows is taken in the same pass.
+    """
+    counts = [F.expr("count(*) AS n"), *[F.expr(f"count_if({condition}) AS `{name}`") for name, condition in also]]
+    per_id = df.groupBy(*group_cols, *ids).agg(*counts)
     return per_id.groupBy(*group_cols).agg(
         F.expr("coalesce(sum(n), 0L) AS row_count"),
         F.expr("coalesce(sum(n - 1), 0L) AS duplicate_rows"),
         F.expr("coalesce(sum(n - 1) / sum(n), 0.0D) AS duplicate_rate"),
+        *[F.expr(f"coalesce(sum(`{name}`) / sum(n), 0.0D) AS `{name}`") for name, _ in also],
     )
 
 
@@ -125,11 +130,12 @@ def boundary_violations(
         *[f"`{g}`" for g in group_cols], *[f"{number_sql(f)} AS `{f}`" for f in features]
     )
     values = clean.unpivot(list(group_cols), list(features), "feature", "value").where("value IS NOT NULL")
-    outside = keyed_join(values, limits, keys, broadcast=not group_cols).where(
+    limits, small = bounded(limits, group_cols)
+    outside = keyed_join(values, limits, keys, broadcast=small).where(
         "value < lower_bound OR value > upper_bound"
     )
     counted = outside.groupBy(*keys).agg(F.expr("count(*) AS violations"))
-    joined = keyed_join(limits, counted, keys, "left", broadcast=not group_cols)
+    joined = keyed_join(limits, counted, keys, "left", broadcast=small)
     return joined.where("lower_bound IS NOT NULL AND upper_bound IS NOT NULL").selectExpr(
         *[f"`{k}`" for k in keys],
         "lower_bound",
@@ -272,11 +278,15 @@ def data_quality_report(
         )
     ]
 
-    # duplicates of both tables and both windows
+    # duplicates of both tables and both windows; the score range comes from the same pass over the predictions
+    scored = score in preds.columns
+    outside = [("out_of_range_rate", f"{number_sql(score)} < 0 OR {number_sql(score)} > 1")] if scored else []
+    scores = None
     for kind, df, base in (("features", features_df, 10), ("predictions", preds, 12)):
         if entity not in df.columns:
             continue
-        dup = duplicate_entity_rate(df, [entity], [*group_cols, "win"])
+        dup = duplicate_entity_rate(df, [entity], [*group_cols, "win"], outside if kind == "predictions" else ())
+        scores = dup if kind == "predictions" else None
         in_train = f"win = 'train' AND {str(kind == 'predictions').lower()}"
         parts.append(
             rows(
@@ -329,8 +339,8 @@ def data_quality_report(
             f"101 + 2 * map({numbered})[feature]",
         )
     )
-    if score in preds.columns:
-        scores = score_out_of_range(preds, score, group_cols)
+    if scored:
+        scores = score_out_of_range(preds, score, group_cols) if scores is None else scores
         parts.append(
             rows(
                 scores,

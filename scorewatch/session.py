@@ -54,6 +54,18 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def bounded(df: DataFrame, group_cols) -> tuple[DataFrame, bool]:
+    """A per-group table to be joined to big rows, and whether it may be broadcast.
+
+    Without groups its rows are fixed by the schema. With groups it is pinned and counted: past BROADCAST_ROWS
+    the join shuffles, and adaptive execution splits hot groups.
+    """
+    if not group_cols:
+        return df, True
+    small = pin(df)
+    return small, small.count() <= BROADCAST_ROWS
+
+
 def keyed_join(left: DataFrame, right: DataFrame, keys, how: str = "inner", broadcast: bool = False) -> DataFrame:
     """Equi-join on `keys` where null keys match each other; the result keeps the left key columns."""
     keys = list(keys)
@@ -63,14 +75,13 @@ def keyed_join(left: DataFrame, right: DataFrame, keys, how: str = "inner", broa
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"__{k}" for k in keys])
 
 
-def join_per_group(left: DataFrame, right: DataFrame, group_cols, how: str = "left") -> DataFrame:
+def join_per_group(left: DataFrame, right: DataFrame, group_cols, how: str = "left", broadcast: bool = False) -> DataFrame:
     """Attach one row per group. Without group columns `right` is one row, matched on a constant key.
 
-    The one-row side is broadcast (its size is fixed); a per-group side is left to Spark, which broadcasts
-    it only when its measured size allows and splits skewed keys otherwise.
+    The one-row side is broadcast (its size is fixed); a per-group side only when the caller checked its size.
     """
     if group_cols:
-        return keyed_join(left, right, group_cols, how)
+        return keyed_join(left, right, group_cols, how, broadcast)
     return keyed_join(
         left.withColumn("one_group", F.lit(1)), right.withColumn("one_group", F.lit(1)), ["one_group"], how, broadcast=True
     ).drop("one_group")
