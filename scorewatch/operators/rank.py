@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import lerp_sql
-from ..session import BROADCAST_ROWS, keyed_join
+from ..session import BROADCAST_ROWS, keyed_join, pin
 
 ROWS_PER_BUCKET = 1_000_000
 # At most this many keys are cut; every other key holds at most 1 / HOT_KEYS of all rows.
@@ -41,47 +41,53 @@ def measure(
     source_keys=(),
     fan_out: int = 1,
 ) -> Spread:
-    """Count rows per key (map-side combined) and sample bucket borders for the keys that need them.
+    """Count rows per group and sample bucket borders for the groups that need them.
 
-    `source` is the frame the rows were unpivoted from, `fan_out` keys per group: its row counts bound those of
-    every key and need no feature column, so they are looked at first.
+    `source` is the frame the rows were unpivoted from, with `fan_out` keys per group of `source_keys`: its row
+    counts bound those of every key and need no feature column. Without it the rows themselves are counted.
     """
-    if source is not None:
-        groups = source.groupBy(*source_keys).agg(F.count(F.lit(1)).alias("n"))
-        bound = groups.agg(F.count(F.lit(1)).alias("keys"), F.max("n").alias("largest")).first()
-        if (bound["largest"] or 0) <= rows_per_bucket:
-            return Spread(bound["keys"] * fan_out <= BROADCAST_ROWS, None)
-
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    seen = sizes.agg(F.count(F.lit(1)).alias("keys"), F.max("n").alias("largest")).first()
-    few = seen["keys"] <= BROADCAST_ROWS
-    if (seen["largest"] or 0) <= rows_per_bucket:
+    if source is None:
+        source, source_keys, fan_out = rows, keys, 1
+    source_keys = list(source_keys)
+    if source_keys:
+        groups = pin(source.groupBy(*source_keys).agg(F.count(F.lit(1)).alias("n")))  # looked at twice
+        few = groups.count() * fan_out <= BROADCAST_ROWS
+        large = groups.where(F.col("n") > rows_per_bucket).orderBy(F.desc("n"))
+        hot = large.limit(max(1, HOT_KEYS // fan_out)).collect()
+    else:
+        few = fan_out <= BROADCAST_ROWS
+        hot = [{"n": n} for n in [source.count()] if n > rows_per_bucket]
+    if not hot:
         return Spread(few, None)
 
-    hot = sizes.where(F.col("n") > rows_per_bucket).orderBy(F.desc("n")).limit(HOT_KEYS).collect()
-    total = sum(r["n"] for r in hot)
+    total = sum(r["n"] for r in hot) * fan_out
     per_bucket = max(rows_per_bucket, math.ceil(total / MAX_BUCKETS))
-    plan = [(*[r[k] for k in keys], math.ceil(r["n"] / per_bucket)) for r in hot]
+    plan = [(*[r[k] for k in source_keys], math.ceil(r["n"] / per_bucket)) for r in hot]
+    fraction = min(1.0, SAMPLE_PER_BUCKET * sum(p[-1] for p in plan) * fan_out / total)
+    narrow = rows.select(*keys, F.col(value).alias("v"))
     spark = rows.sparkSession
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in sizes.select(*keys).schema] + ["buckets int"])
-    wanted = spark.createDataFrame(plan, schema)
-    fraction = min(1.0, SAMPLE_PER_BUCKET * sum(p[-1] for p in plan) / total)
-    sampled = keyed_join(rows.select(*keys, F.col(value).alias("v")), wanted, keys, broadcast=True).sample(fraction, seed=17)
+    if source_keys:
+        layout = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*source_keys).schema]
+        wanted = spark.createDataFrame(plan, ", ".join([*layout, "buckets int"]))
+        sampled = keyed_join(narrow, wanted, source_keys, broadcast=True).sample(fraction, seed=17)
+    else:
+        sampled = narrow.sample(fraction, seed=17).withColumn("buckets", F.lit(plan[0][-1]))
     # one array per cut key, at most about SAMPLE_PER_BUCKET * MAX_BUCKETS values over all keys together
-    picked = sampled.groupBy(*keys).agg(F.array_sort(F.collect_list("v")).alias("s"), F.first("buckets").alias("buckets"))
-    borders = picked.select(
-        *keys,
-        F.array_distinct(
-            F.transform(
-                F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("buckets") - 1)),
-                lambda i: F.element_at("s", F.greatest(F.lit(1), (i * F.size("s") / F.col("buckets")).cast("int"))),
-            )
-        ).alias("cuts"),
+    picked = sampled.groupBy(*keys).agg(
+        F.expr("array_sort(collect_list(v)) AS s"), F.expr("first(buckets) AS buckets")
+    )
+    cuts = "element_at(s, greatest(1, int(i * size(s) / buckets)))"
+    borders = picked.selectExpr(
+        *[f"`{k}`" for k in keys],
+        f"array_distinct(transform(sequence(1, greatest(1, buckets - 1)), i -> {cuts})) AS cuts",
     ).collect()
+    if not borders:
+        return Spread(few, None)
     value_type = rows.schema[value].dataType.simpleString()
     packed = [(*[r[k] for k in keys], *_two_levels(r["cuts"])) for r in borders]
-    layout = schema.replace("buckets int", f"coarse array<{value_type}>, width int, fine array<array<{value_type}>>")
-    return Spread(few, spark.createDataFrame(packed, layout))
+    key_types = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keys).schema]
+    arrays = [f"coarse array<{value_type}>", "width int", f"fine array<array<{value_type}>>"]
+    return Spread(few, spark.createDataFrame(packed, ", ".join([*key_types, *arrays])))
 
 
 def _two_levels(cuts):
