@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, rules
+from . import licenses, main_text, minhash, mixing, pii, rules, secret_scan, warc
 from .common import table
 
 
@@ -10,13 +10,41 @@ def op2_mixing_sources(spark, d):
     return mixing.mix(table(spark, d, "documents"))
 
 
+def op3_minhash(spark, d):
+    return minhash.near_duplicates(table(spark, d, "documents"))
+
+
+def op4_license_scan(spark, d):
+    return licenses.scan(table(spark, d, "documents"))
+
+
 def op6_quality_rules(spark, d):
     return rules.quality(table(spark, d, "documents"))
 
 
+def op7_secret_scan(spark, d):
+    return secret_scan.scan(table(spark, d, "documents"))
+
+
+def op8_warc(spark, d):
+    return warc.round_trip(table(spark, d, "pages"))
+
+
+def op9_pii(spark, d):
+    return pii.scan(table(spark, d, "documents"))
+
+
+def op10_main_text(spark, d):
+    return main_text.extract(table(spark, d, "pages"))
+
+
 def queries():
     return {k: v for k, v in globals().items() if k.startswith("op")}
 
 
 def oracle_sql():
-    return {"op2_mixing_sources": mixing.ORACLE, "op6_quality_rules": rules.ORACLE}
+    return {
+        "op2_mixing_sources": mixing.ORACLE,
+        "op6_quality_rules": rules.ORACLE,
+        "op8_warc": warc.ORACLE,
+    }
