@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from . import licenses, main_text, minhash, mixing, pii, rules, secret_scan, warc
+from . import bm25, licenses, main_text, minhash, mixing, pii, rules, secret_scan, suffixes, warc
 from .common import table
 
 
+def op1_suffix_dedup(spark, d):
+    return suffixes.remove_repeats(table(spark, d, "documents"))
+
+
 def op2_mixing_sources(spark, d):
     return mixing.mix(table(spark, d, "documents"))
 
@@ -18,6 +22,10 @@ def op4_license_scan(spark, d):
     return licenses.scan(table(spark, d, "documents"))
 
 
+def op5_decontamination(spark, d):
+    return bm25.leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 def op6_quality_rules(spark, d):
     return rules.quality(table(spark, d, "documents"))
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import BROADCAST_ROWS, checkpoints, keyed_join, shared_path, stored
 
-__all__ = ["BROADCAST_ROWS", "checkpoints", "keyed_join", "shared_path", "stored"]
+__all__ = ["BROADCAST_ROWS", "Scratch", "checkpoints", "keyed_join", "shared_path", "stored"]
 
 # Characters that separate words: space and \t \n \v \f \r.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -53,3 +55,28 @@ def global_index(df: DataFrame, *order: Column) -> DataFrame:
         .withColumn("position", F.col("__start") + F.col("__row") - 1)
         .drop("__part", "__start", "__row")
     )
+
+
+class Scratch:
+    """Intermediate tables in the shared folder, dropped as soon as nothing later reads them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def put(self, df: DataFrame, name: str) -> DataFrame:
+        path = shared_path(self.spark, name)
+        df.write.parquet(path)
+        out = self.spark.read.parquet(path)
+        self.paths[id(out)] = (out, path)
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables, and let the driver's garbage collection release the shuffle files of finished plans."""
+        jvm = self.spark.sparkContext._jvm
+        for t in tables:
+            _, path = self.paths.pop(id(t))
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        gc.collect()
+        jvm.System.gc()
