@@ -18,6 +18,7 @@ from .impute import median_imputed
 K = 3
 SEEDS = range(10)
 PARALLEL_FITS = 5
+MAX_ITERATIONS = 300
 ROWS_PER_TASK = 50_000
 
 
@@ -58,7 +59,7 @@ def cluster_share_shift(
         points = train.coalesce(max(1, rows // ROWS_PER_TASK))
 
         def fit(seed):
-            return KMeans(k=k, seed=seed, maxIter=20).fit(points)
+            return KMeans(k=k, seed=seed, maxIter=MAX_ITERATIONS).fit(points)
 
         # independent runs, submitted side by side so that their short stages overlap
         with ThreadPoolExecutor(PARALLEL_FITS) as pool:

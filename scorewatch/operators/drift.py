@@ -15,6 +15,7 @@ from ..functions.kolmogorov import ks_pvalue
 from ..functions.text import choose, fixed, general, quote, sentence
 from ..session import join_per_group, keyed_join, ordered
 from . import rank
+from .selection import window_columns
 
 BINS = 10
 SHARE_FLOOR = "1E-6"
@@ -293,11 +294,15 @@ def material_missing(profile: DataFrame, points: float = 5.0) -> DataFrame:
 # ---------------------------------------------------------------- prediction scores
 
 
-def _label_rates(preds: DataFrame, predicted: str, actual: str) -> list:
-    """Aggregates: positive rate of the predicted and actual label per window."""
+def _label_rates(preds: DataFrame, predicted: str, actual: str, target: str | None = None) -> list:
+    """Aggregates: positive rate of the predicted and actual label per window; without labels the target stands in."""
+    held = window_columns(preds)
 
     def rate(column, window):
-        if column not in preds.columns:
+        present = (held or {}).get(window, preds.columns)
+        if column == actual and actual not in present and target:
+            column = target
+        if column not in present or column not in preds.columns:
             return "CAST(NULL AS DOUBLE)"
         return f"avg({number_sql(column)}) FILTER (WHERE win = '{window}')"
 
@@ -315,9 +320,11 @@ LABEL_CHANGES = (
 )
 
 
-def label_mix_shift(preds: DataFrame, group_cols=(), predicted="predicted_label", actual="actual_label") -> DataFrame:
+def label_mix_shift(
+    preds: DataFrame, group_cols=(), predicted="predicted_label", actual="actual_label", target: str | None = None
+) -> DataFrame:
     """Predicted and actual positive rates per window, their change, and the current predicted-actual gap."""
-    return preds.groupBy(*group_cols).agg(*_label_rates(preds, predicted, actual)).selectExpr("*", *LABEL_CHANGES)
+    return preds.groupBy(*group_cols).agg(*_label_rates(preds, predicted, actual, target)).selectExpr("*", *LABEL_CHANGES)
 
 
 SCORE_ACTION = choose(
@@ -347,6 +354,7 @@ def prediction_drift_summary(
     predicted="predicted_label",
     actual="actual_label",
     rows_per_bucket: int = rank.ROWS_PER_BUCKET,
+    target: str | None = None,
 ) -> DataFrame:
     """Score distributions of both windows, their drift and the label mix; level Unknown without reference scores."""
     group_cols = list(group_cols)
@@ -367,7 +375,7 @@ def prediction_drift_summary(
         aggregates.append(F.expr(f"count(*) {only} AS {name}_row_count"))
         for f, n in (("avg", "mean"), ("stddev_samp", "std"), ("min", "min"), ("max", "max")):
             aggregates.append(F.expr(f"{f}({s}) {only} AS {name}_score_{n}"))
-    basics = preds.groupBy(*group_cols).agg(*aggregates, *_label_rates(preds, predicted, actual))
+    basics = preds.groupBy(*group_cols).agg(*aggregates, *_label_rates(preds, predicted, actual, target))
     basics = basics.selectExpr("*", *LABEL_CHANGES)
     stats = with_ks_pvalue(distances(preds, [score], group_cols, quantiles=True, rows_per_bucket=rows_per_bucket))
     stats = stats.selectExpr(

@@ -123,12 +123,12 @@ PROFILE_VALUE = '{"max_findings":5,"simplify_language":true,"hide_technical_appe
 
 def calibration_recommendations(
     patterns: DataFrame, group_cols=(), current_lists: dict[str, list[str]] | None = None, health: DataFrame | None = None,
-    feedback: DataFrame | None = None,
+    feedback: DataFrame | None = None, matrix: DataFrame | None = None,
 ) -> DataFrame:
     """One reviewable recommendation per pattern, numbered REC_001... per review; none is applied.
 
-    `health` (one row per review with model_health_status) with `feedback` adds a human-review row for every
-    High Risk review that has no feedback at all.
+    `health` (one row per review with model_health_status) with `feedback` adds a human-review row for every review
+    that has no feedback at all and is High Risk, or has a High row in `matrix`, the feature-risk matrix.
     """
     keep, lists = _sql(group_cols), current_lists or {}
 
@@ -192,7 +192,11 @@ def calibration_recommendations(
         f"{pick([quote(k[5]) for k in kinds])} AS confidence",
     )
     if health is not None and feedback is not None:
-        risky = health.where("model_health_status = 'High Risk'")
+        risky = health.selectExpr(*keep, "model_health_status = 'High Risk' AS risky")
+        if matrix is not None:
+            rows_high = matrix.groupBy(*group_cols).agg(F.expr("bool_or(final_risk = 'High') AS high_row"))
+            risky = join_per_group(risky, rows_high, group_cols).selectExpr(*keep, "risky OR coalesce(high_row, false) AS risky")
+        risky = risky.where("risky")
         silent = (
             keyed_join(risky, feedback.select(*group_cols).distinct(), group_cols, "left_anti")
             if group_cols
@@ -242,10 +246,13 @@ def change_log(recommendations: DataFrame) -> DataFrame:
     )
 
 
-def proposed_config(active: DataFrame, recommendations: DataFrame, group_cols=()) -> DataFrame:
+def proposed_config(
+    active: DataFrame, recommendations: DataFrame, group_cols=(), reviews: DataFrame | None = None
+) -> DataFrame:
     """Active (path, value) rows overridden by the last recommendation per path, plus new paths and the status.
 
-    With groups one proposal per review that has recommendations; the active rows stay as they are.
+    With groups one proposal per row of `reviews` (without it: per review that has recommendations); the active rows
+    stay as they are.
     """
     keep, keys = _sql(group_cols), [*group_cols, "path"]
     changes = recommendations.where("target_config_path IS NOT NULL").groupBy(
@@ -254,7 +261,8 @@ def proposed_config(active: DataFrame, recommendations: DataFrame, group_cols=()
     version = active.agg(F.expr("max(config_version) AS based_on"))
     rows = active.where("path <> 'config_version'").select("path", "value")
     if group_cols:
-        reviews = recommendations.select(*group_cols).distinct()
+        named = recommendations if reviews is None else reviews
+        reviews = named.select(*group_cols).distinct()
         # the active config is one fixed list of paths: carried as one array row, opened per review
         packed = rows.agg(F.expr("sort_array(collect_list(struct(path, value))) AS config"))
         opened = reviews.withColumn("one", F.lit(1)).join(F.broadcast(packed.withColumn("one", F.lit(1))), "one")
@@ -268,6 +276,8 @@ def proposed_config(active: DataFrame, recommendations: DataFrame, group_cols=()
         "proposed IS NOT NULL AS changed",
     )
     count = recommendations.groupBy(*group_cols).agg(F.expr("count(*) AS n"))
+    if group_cols:
+        count = keyed_join(reviews, count, group_cols, "left").fillna(0, ["n"])
     header = join_per_group(count, version, ()) if not group_cols else count.withColumn("one", F.lit(1)).join(
         F.broadcast(version.withColumn("one", F.lit(1))), "one"
     )
@@ -275,6 +285,8 @@ def proposed_config(active: DataFrame, recommendations: DataFrame, group_cols=()
         *keep,
         "inline(array("
         "struct('config_version' AS path, 'v2_recommended' AS value),"
+        "struct('version' AS path, 'v2_recommended' AS value),"
+        "struct('generated_by' AS path, 'scorewatch' AS value),"
         "struct('based_on' AS path, based_on AS value),"
         "struct('approval_status' AS path, CASE WHEN n > 0 THEN 'pending_human_review'"
         " ELSE 'no_changes_recommended' END AS value)))",

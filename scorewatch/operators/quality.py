@@ -10,6 +10,7 @@ from ..functions.clean import number_sql
 from ..functions.text import choose, fixed, general, percent, quote, sentence
 from ..session import bounded, keyed_join, ordered
 from .drift import feature_profile
+from .selection import window_columns
 
 FINDING = (
     "config_version",
@@ -227,8 +228,9 @@ def data_quality_report(
     t, keep = thresholds, [f"`{g}`" for g in group_cols]
     profile = feature_profile(features_df, features, group_cols) if profile is None else profile
     if columns is None:
-        columns = {d: features_df.columns for d in ("train_features", "current_features")}
-        columns |= {d: preds.columns for d in ("current_predictions", "train_predictions")}
+        both = {"train", "current"}
+        held = {k: window_columns(df) or dict.fromkeys(both, df.columns) for k, df in (("features", features_df), ("predictions", preds))}
+        columns = {f"{w}_{k}": held[k][w] for k in held for w in ("train", "current") if w in held[k]}
     has_reference = "train_predictions" in columns
     src = sources or {}
     blank = "CAST(NULL AS STRING)"
@@ -286,7 +288,11 @@ def data_quality_report(
         if entity not in df.columns:
             continue
         dup = duplicate_entity_rate(df, [entity], [*group_cols, "win"], outside if kind == "predictions" else ())
-        scores = dup if kind == "predictions" else None
+        windows = [w for w in ("train", "current") if kind == "features" or w == "current" or has_reference]
+        # a window without rows has a rate of 0, not a missing finding
+        due = groups.selectExpr(*keep, f"explode(array({', '.join(quote(w) for w in windows)})) AS win")
+        dup = keyed_join(due, dup, [*group_cols, "win"], "left").fillna(0)
+        scores = dup if kind == "predictions" else scores
         in_train = f"win = 'train' AND {str(kind == 'predictions').lower()}"
         parts.append(
             rows(

@@ -83,14 +83,13 @@ def segment_performance(
     group_cols=(),
     thresholds: Thresholds = Thresholds(),
     bins: int = 4,
-    max_features: int = 5,
     rows_per_bucket: int = rank.ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Count, rates, calibration gap, lift, Brier score and risk per (feature, segment).
 
     Segments are quantile bins `(lo, hi]`; features with at most two values use the values themselves.
     """
-    features = list(features)[:max_features]
+    features = list(features)
     keys = [*group_cols, "feature"]
     key_sql = [f"`{k}`" for k in keys]
     cleaned = scored.selectExpr(
@@ -107,7 +106,7 @@ def segment_performance(
         "slot",
         F.expr(
             "CASE WHEN value IS NULL THEN 0"
-            " WHEN distinct_values <= 2 THEN CASE WHEN value = low OR int(low) = int(high) THEN 1 ELSE 2 END"
+            " WHEN distinct_values <= 2 THEN CASE WHEN value = low OR coalesce(try_cast(low AS BIGINT) = try_cast(high AS BIGINT), false) THEN 1 ELSE 2 END"
             " ELSE greatest(1, least(size(edges) - 1, size(filter(edges, e -> e < value)))) END"
         ),
     )
@@ -120,8 +119,8 @@ def segment_performance(
     )
     # at most bins + 1 rows per feature from here on; a NULL segment carries the edges of its feature too
     per_feature = f"(PARTITION BY {', '.join(key_sql)})"
-    low_label = "concat('value=', string(int(low)))"
-    high_label = "concat('value=', string(int(high)))"
+    low_label = "concat('value=', coalesce(string(try_cast(low AS BIGINT)), string(low)))"
+    high_label = "concat('value=', coalesce(string(try_cast(high AS BIGINT)), string(high)))"
     left = "CASE WHEN slot = 1 THEN get(shown, 0) - pow(10.0D, -digits) ELSE get(shown, slot - 1) END"
     segment = (
         "CASE WHEN slot = 0 THEN CASE WHEN coalesce(distinct_values, 0) <= 2 THEN 'missing' ELSE 'nan' END"
@@ -201,6 +200,8 @@ def segment_heatmap(report: DataFrame, group_cols=(), bins: int = 4, top: int =
         " ELSE 2 END, abs_calibration_gap DESC, segment) AS no",
     )
     ranked = numbered.selectExpr("*", f"dense_rank() OVER (PARTITION BY {per_group} ORDER BY worst DESC, feature) AS place")
-    slots = list(range(1, bins + 2))
+    # one number: a report made with more bins has more cells
+    most = numbered.agg(F.max("no")).first()[0] or 0
+    slots = list(range(1, max(most, bins + 1) + 1))
     pivot = ranked.where(F.col("place") <= top).groupBy(*keys).pivot("no", slots).agg(F.expr("first(abs_calibration_gap)"))
     return pivot.fillna(0.0).withColumnsRenamed({str(i): f"S{i}" for i in slots})

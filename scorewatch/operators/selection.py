@@ -54,8 +54,18 @@ def label_column(predictions: DataFrame, preferred: str | None = None) -> str |
 
 
 def stack_windows(train: DataFrame | None, current: DataFrame) -> DataFrame:
-    """Both windows as one frame with a `win` column; columns missing on one side become NULL."""
-    now = current.withColumn("win", F.lit(CURRENT))
-    if train is None:
-        return now
-    return train.withColumn("win", F.lit(TRAIN)).unionByName(now, allowMissingColumns=True)
+    """Both windows as one frame with a `win` column; columns missing on one side become NULL.
+
+    The columns that each window had travel in the metadata of `win` (see `window_columns`).
+    """
+    held = {CURRENT: current.columns} | ({} if train is None else {TRAIN: train.columns})
+    both = current.withColumn("win", F.lit(CURRENT))
+    if train is not None:
+        both = train.withColumn("win", F.lit(TRAIN)).unionByName(both, allowMissingColumns=True)
+    return both.withColumn("win", F.col("win").alias("win", metadata={"window_columns": held}))
+
+
+def window_columns(df: DataFrame) -> dict[str, list[str]] | None:
+    """Columns of each window before they were stacked; None for a frame stacked otherwise."""
+    found = next((f.metadata.get("window_columns") for f in df.schema.fields if f.name == "win"), None)
+    return {k: list(v) for k, v in found.items()} if found else None

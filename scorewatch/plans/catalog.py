@@ -26,8 +26,6 @@ from . import oracles
 from .review import Review
 
 FEATURES = views.FEATURES
-SEGMENT_FEATURES = FEATURES[:5]
-VIF_FEATURES = ["n_items", "qty", "price"]
 FLEET = ["model_id"]
 T = Thresholds()
 METADATA = {
@@ -240,16 +238,16 @@ def scored_features(spark, d):
 
 
 def segment_performance(spark, d):
-    return rounded(segments.segment_performance(_scored(spark, d), SEGMENT_FEATURES).drop("risk_reason"))
+    return rounded(segments.segment_performance(_scored(spark, d), FEATURES).drop("risk_reason"))
 
 
 def segment_summary(spark, d):
-    report = segments.segment_performance(_scored(spark, d, FLEET), SEGMENT_FEATURES, FLEET)
+    report = segments.segment_performance(_scored(spark, d, FLEET), FEATURES, FLEET)
     return rounded(segments.segment_summary(report, FLEET))
 
 
 def segment_heatmap(spark, d):
-    return rounded(segments.segment_heatmap(segments.segment_performance(_scored(spark, d), SEGMENT_FEATURES)))
+    return rounded(segments.segment_heatmap(segments.segment_performance(_scored(spark, d), FEATURES)))
 
 
 def overfitting_delta(spark, d):
@@ -260,7 +258,7 @@ def overfitting_delta(spark, d):
 
 
 def _vif(spark, d, groups=FLEET):
-    return collinearity.feature_vif(_window(views.features(spark, d), "train"), VIF_FEATURES, groups)
+    return collinearity.feature_vif(_window(views.features(spark, d), "train"), FEATURES, groups)
 
 
 def feature_vif(spark, d):
@@ -311,7 +309,6 @@ def _review(spark, d) -> Review:
         thresholds=T,
         bounds=views.BOUNDS,
         importance=explain.label_correlation_importance(features_df, FEATURES, "label", FLEET),
-        vif_features=VIF_FEATURES,
     )
 
 
@@ -392,7 +389,8 @@ def calibration_recommendations(spark, d):
 
 
 def proposed_config(spark, d):
-    return feedback.proposed_config(config_rows(spark, T), _recommendations(spark, d), ["run_id"])
+    reviews = views.runs(spark, d).select("run_id")
+    return feedback.proposed_config(config_rows(spark, T), _recommendations(spark, d), ["run_id"], reviews)
 
 
 def feedback_intake(spark, d):

@@ -11,7 +11,26 @@ from ..sources.review_views import (
     REVIEW_RUNS,
 )
 
-ALLOWED_DELTA = "1e-6"
+
+def _inverse_correlation() -> list[str]:
+    """CTE `vif`: the diagonal of each group's inverse correlation matrix, by sweeping one feature after the other."""
+    p = len(FEATURES)
+    cells = [(i, j) for i in range(p) for j in range(p)]
+    first = ", ".join("1.0 AS a{0}{0}".format(i) if i == j else f"corr({FEATURES[i]}, {FEATURES[j]}) AS a{i}{j}" for i, j in cells)
+    out = [f"sweep0 AS (SELECT g, {first} FROM feats WHERE win = 'train' GROUP BY g)"]
+    for k in range(p):
+        terms = []
+        for i, j in cells:
+            if i == k and j == k:
+                term = f"-1 / a{k}{k}"
+            elif i == k or j == k:
+                term = f"a{i}{j} / a{k}{k}"
+            else:
+                term = f"a{i}{j} - a{i}{k} * a{k}{j} / a{k}{k}"
+            terms.append(f"{term} AS a{i}{j}")
+        out.append(f"sweep{k + 1} AS (SELECT g, {', '.join(terms)} FROM sweep{k})")
+    rows = " UNION ALL ".join(f"SELECT g, '{f}' AS feature, -a{i}{i} AS vif FROM sweep{p}" for i, f in enumerate(FEATURES))
+    return [*out, f"vif AS ({rows})"]
 
 
 def _lerp(lo: str, hi: str, t: str) -> str:
@@ -180,12 +199,12 @@ def prelude(group: str = "0") -> str:
         " sum(positives) OVER (PARTITION BY g ORDER BY decile) / sum(positives) OVER (PARTITION BY g) AS capture FROM deciles)",
         # segments
         "joined AS (SELECT f.g, f.feature, f.value, p.score, p.actual_label AS y FROM"
-        " (SELECT g, entity_id, unnest(['n_items', 'qty', 'price', 'avg_discount', 'avg_tax']) AS feature,"
-        " unnest([n_items, qty, price, avg_discount, avg_tax]) AS value FROM feats WHERE win = 'current') f"
+        " (SELECT g, entity_id, unnest(['n_items', 'qty', 'price', 'avg_discount', 'avg_tax', 'urgent']) AS feature,"
+        " unnest([n_items, qty, price, avg_discount, avg_tax, urgent]) AS value FROM feats WHERE win = 'current') f"
         " JOIN cur p ON f.g = p.g AND f.entity_id = p.entity_id)",
         "g_num AS (SELECT g, feature, value, row_number() OVER (PARTITION BY g, feature ORDER BY value) - 1 AS rn,"
         " count(*) OVER (PARTITION BY g, feature) AS n FROM joined WHERE value IS NOT NULL)",
-        "g_q AS (SELECT g, feature, any_value(n) AS n, count(DISTINCT value) AS nd FROM g_num GROUP BY g, feature)",
+        "g_q AS (SELECT g, feature, any_value(n) AS n, count(DISTINCT value) AS nd, min(value) AS vlo, max(value) AS vhi FROM g_num GROUP BY g, feature)",
         "g_pos AS (SELECT g, feature, i, (n - 1) * i / CAST(least(4, nd) AS DOUBLE) AS p FROM g_q,"
         " (SELECT unnest(range(0, 5)) AS i) WHERE i <= least(4, nd))",
         _at_ranks("g_num", "g_pos", "g_e"),
@@ -193,9 +212,11 @@ def prelude(group: str = "0") -> str:
         "g_prec AS (SELECT g, feature, es, list_filter(range(3, 20), lambda p: len(list_distinct(list_transform(es,"
         f" lambda x: {_sig('x', 'p')}))) = len(es))[1] AS pr FROM g_edges)",
         f"g_lab AS (SELECT g, feature, es, pr, list_transform(es, lambda x: {_sig('x', 'pr')}) AS sh FROM g_prec)",
-        "g_slot AS (SELECT j.*, sh, pr, CASE WHEN value IS NULL THEN 0 ELSE greatest(1, least(len(es) - 1,"
-        " len(list_filter(es, lambda e: e < value)))) END AS slot FROM joined j JOIN g_lab USING (g, feature))",
-        "g_sum AS (SELECT g, feature, CASE WHEN slot = 0 THEN 'nan' ELSE '(' || CAST(CASE WHEN slot = 1 THEN sh[1] - pow(10.0, -pr)"
+        "g_slot AS (SELECT j.*, sh, pr, nd, vlo, vhi, CASE WHEN value IS NULL THEN 0 WHEN nd <= 2 THEN CASE WHEN value = vlo THEN 1"
+        " ELSE 2 END ELSE greatest(1, least(len(es) - 1,"
+        " len(list_filter(es, lambda e: e < value)))) END AS slot FROM joined j JOIN g_lab USING (g, feature) JOIN g_q USING (g, feature))",
+        "g_sum AS (SELECT g, feature, CASE WHEN nd <= 2 THEN CASE slot WHEN 0 THEN 'missing' WHEN 1 THEN 'value=' || CAST(vlo AS BIGINT)"
+        " ELSE 'value=' || CAST(vhi AS BIGINT) END WHEN slot = 0 THEN 'nan' ELSE '(' || CAST(CASE WHEN slot = 1 THEN sh[1] - pow(10.0, -pr)"
         " ELSE sh[slot] END AS VARCHAR) || ', ' || CAST(sh[slot + 1] AS VARCHAR) || ']' END AS segment, count(*) AS count,"
         " avg(score) AS avg_score, avg(y) AS actual_rate, avg(pow(score - y, 2)) AS brier_score, sum(y) AS pos"
         " FROM g_slot GROUP BY ALL)",
@@ -203,11 +224,8 @@ def prelude(group: str = "0") -> str:
         " actual_rate / (sum(pos) OVER f / sum(count) OVER f) AS lift_vs_overall, CASE WHEN count < 10 THEN 'Low'"
         " WHEN abs(avg_score - actual_rate) >= 0.2 THEN 'High' WHEN abs(avg_score - actual_rate) >= 0.1 THEN 'Medium'"
         " ELSE 'Low' END AS risk_level FROM g_sum WINDOW f AS (PARTITION BY g, feature))",
-        # collinearity, closed form of three features, and the importance stand-in
-        "rr AS (SELECT g, corr(n_items, qty) AS a, corr(n_items, price) AS b, corr(qty, price) AS c FROM feats"
-        " WHERE win = 'train' GROUP BY g)",
-        "vif AS (SELECT g, feature, CASE feature WHEN 'n_items' THEN 1 - c * c WHEN 'qty' THEN 1 - b * b ELSE 1 - a * a END"
-        " / (1 + 2 * a * b * c - a * a - b * b - c * c) AS vif FROM rr, (SELECT unnest(['n_items', 'qty', 'price']) AS feature))",
+        # collinearity and the importance stand-in
+        *_inverse_correlation(),
         "vifl AS (SELECT *, CASE WHEN vif >= 10 THEN 'High' WHEN vif >= 5 THEN 'Medium' ELSE 'Low' END AS vif_risk FROM vif)",
         "imp0 AS (SELECT g, feature, coalesce(abs(corr(value, label)), 0) AS imp FROM long WHERE win = 'train' AND value IS NOT NULL"
         " GROUP BY g, feature)",
@@ -416,9 +434,10 @@ def oracle_sql(config_rows) -> dict[str, str]:
         " count(*) FILTER (WHERE risk_level = 'High') AS high_risk_segments, count(*) FILTER (WHERE risk_level = 'Medium')"
         f" AS medium_risk_segments, {_r('max(abs(gap))', 'max_abs_calibration_gap')} FROM seg GROUP BY g",
         "segment_heatmap": one + ", no AS (SELECT feature, abs(gap) AS a, row_number() OVER (PARTITION BY feature ORDER BY"
-        " CASE risk_level WHEN 'High' THEN 0 WHEN 'Medium' THEN 1 ELSE 2 END, abs(gap) DESC, segment) AS s FROM seg) SELECT feature, "
+        " CASE risk_level WHEN 'High' THEN 0 WHEN 'Medium' THEN 1 ELSE 2 END, abs(gap) DESC, segment) AS s FROM seg),"
+        " worst AS (SELECT feature FROM seg GROUP BY feature ORDER BY max(abs(gap)) DESC, feature LIMIT 5) SELECT feature, "
         + ", ".join(_r(f"coalesce(max(a) FILTER (WHERE s = {i}), 0)", f"S{i}") for i in range(1, 6))
-        + " FROM no GROUP BY feature",
+        + " FROM no WHERE feature IN (SELECT feature FROM worst) GROUP BY feature",
         "overfitting_delta": f"SELECT run_id, {_r('train_auc', 'train_auc')}, {_r('validation_auc', 'validation_auc')},"
         f" {_r('train_auc - validation_auc', 'delta')}, CASE WHEN validation_auc IS NULL THEN 'Not Available' WHEN train_auc - validation_auc"
         " >= 0.07 THEN 'High' WHEN train_auc - validation_auc >= 0.03 THEN 'Medium' ELSE 'Low' END AS risk_level"
@@ -464,11 +483,12 @@ def oracle_sql(config_rows) -> dict[str, str]:
         "calibration_recommendations": RECOMMENDATIONS + " SELECT run_id, recommendation_id, change_type, target_config_path, feature,"
         " recommended_value, confidence FROM rec",
         "proposed_config": RECOMMENDATIONS + ", latest AS (SELECT run_id, target_config_path AS path, arg_max(recommended_value, no) AS value"
-        f" FROM rec GROUP BY ALL), active AS (SELECT * FROM (VALUES {config}) t(path, value)), runs AS (SELECT DISTINCT run_id FROM rec),"
-        " heads AS (SELECT * FROM (VALUES ('config_version', 'v2_recommended'), ('based_on', 'v1'), ('approval_status',"
-        " 'pending_human_review')) t(path, value)) SELECT run_id, path, value, true AS changed FROM latest UNION ALL SELECT run_id, path, value,"
+        f" FROM rec GROUP BY ALL), active AS (SELECT * FROM (VALUES {config}) t(path, value)), runs AS (SELECT run_id FROM ({REVIEW_RUNS}) r),"
+        " heads AS (SELECT * FROM (VALUES ('config_version', 'v2_recommended'), ('version', 'v2_recommended'), ('based_on', 'v1'),"
+        " ('generated_by', 'scorewatch')) t(path, value)), status AS (SELECT run_id, 'approval_status' AS path, CASE WHEN run_id IN"
+        " (SELECT run_id FROM rec) THEN 'pending_human_review' ELSE 'no_changes_recommended' END AS value FROM runs) SELECT run_id, path, value, true AS changed FROM latest UNION ALL SELECT run_id, path, value,"
         " false FROM runs, active WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.run_id = runs.run_id AND l.path = active.path)"
-        " UNION ALL SELECT run_id, path, value, false FROM runs, heads",
+        " UNION ALL SELECT run_id, path, value, false FROM runs, heads UNION ALL SELECT run_id, path, value, false FROM status",
         "feedback_intake": FEEDBACK + "SELECT CASE WHEN feedback_type IS NULL THEN 'rejected' ELSE 'accepted' END AS outcome,"
         " coalesce(feedback_type, '') AS feedback_type, count(*) AS events FROM feedback GROUP BY ALL",
     }

@@ -107,7 +107,13 @@ class Review:
     def score_drift(self) -> DataFrame:
         return pin(
             drift.prediction_drift_summary(
-                self.preds, self.score_col, self.groups, self.t, actual=self.label, rows_per_bucket=self.rows_per_bucket
+                self.preds,
+                self.score_col,
+                self.groups,
+                self.t,
+                actual=self.label,
+                target=self.target,
+                rows_per_bucket=self.rows_per_bucket,
             )
         )
 
@@ -202,11 +208,11 @@ class Review:
 
     @cached_property
     def segment_features(self) -> list[str]:
-        """The most important features of the one reviewed model, else the first declared ones."""
+        """The most important features of the one reviewed model; of several models all features."""
         if self.groups:
-            return self.features[:MAX_SEGMENT_FEATURES]
+            return self.features
         top = self.importance.orderBy("shap_rank").limit(MAX_SEGMENT_FEATURES).collect()
-        return [r["feature"] for r in top] or self.features[:MAX_SEGMENT_FEATURES]
+        return [r["feature"] for r in top] or self.features
 
     @cached_property
     def segments(self) -> DataFrame:
