@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..config import Thresholds
 from ..functions.clean import number_sql
 from ..functions.text import choose, fixed, general, percent, quote, sentence
-from ..session import bounded, keyed_join, ordered
+from ..session import bounded, join_per_group, keyed_join, ordered
 from .drift import feature_profile
 from .selection import window_columns
 
@@ -128,14 +128,19 @@ def boundary_violations(
     profile = feature_profile(df, features, group_cols) if profile is None else profile
     limits = feature_bounds(profile, bounds).select(*keys, "lower_bound", "upper_bound", "current_rows")
     clean = df.where("win = 'current'").selectExpr(
-        *[f"`{g}`" for g in group_cols], *[f"{number_sql(f)} AS `{f}`" for f in features]
+        *[f"`{g}`" for g in group_cols], *[f"{number_sql(f)} AS `value_{i}`" for i, f in enumerate(features)]
     )
-    values = clean.unpivot(list(group_cols), list(features), "feature", "value").where("value IS NOT NULL")
     limits, small = bounded(limits, group_cols)
-    outside = keyed_join(values, limits, keys, broadcast=small).where(
-        "value < lower_bound OR value > upper_bound"
+    # one row of limits per group beside the wide rows: nothing is unpivoted
+    sides = (("low", "lower_bound"), ("high", "upper_bound"))
+    wide = limits.groupBy(*group_cols).agg(
+        *[F.expr(f"max({c}) FILTER (WHERE feature = {quote(f)}) AS {n}_{i}") for i, f in enumerate(features) for n, c in sides]
     )
-    counted = outside.groupBy(*keys).agg(F.expr("count(*) AS violations"))
+    sums = join_per_group(clean, wide, group_cols, "inner", broadcast=small).groupBy(*group_cols).agg(
+        *[F.expr(f"count_if(value_{i} < low_{i} OR value_{i} > high_{i}) AS n_{i}") for i in range(len(features))]
+    )
+    pairs = ", ".join(f"named_struct('feature', {quote(f)}, 'violations', n_{i})" for i, f in enumerate(features))
+    counted = sums.selectExpr(*[f"`{g}`" for g in group_cols], f"inline(array({pairs}))")
     joined = keyed_join(limits, counted, keys, "left", broadcast=small)
     return joined.where("lower_bound IS NOT NULL AND upper_bound IS NOT NULL").selectExpr(
         *[f"`{k}`" for k in keys],

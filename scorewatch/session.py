@@ -43,8 +43,8 @@ def pin(df: DataFrame) -> DataFrame:
 
 
 def ordered(df: DataFrame, group_cols, *order) -> DataFrame:
-    """Sort a report. One review has a bounded number of rows: a single partition, no range sampling."""
-    return df.orderBy(*group_cols, *order) if group_cols else df.coalesce(1).sortWithinPartitions(*order)
+    """Sort a report without an exchange: one review is one bounded partition; of many, each partition is sorted."""
+    return df.sortWithinPartitions(*group_cols, *order) if group_cols else df.coalesce(1).sortWithinPartitions(*order)
 
 
 def stored(df: DataFrame, name: str = "table") -> DataFrame:
