@@ -11,6 +11,7 @@ from ..operators import (
     cluster,
     collinearity,
     drift,
+    evidence,
     explain,
     feedback,
     impute,
@@ -20,7 +21,8 @@ from ..operators import (
     runs,
     segments,
 )
-from ..session import stored
+from ..session import shared_path, stored
+from ..sources import readers, sinks
 from ..sources import review_views as views
 from . import oracles
 from .review import Review
@@ -401,8 +403,96 @@ def feedback_intake(spark, d):
     return both.groupBy("outcome", "feedback_type").agg(F.expr("count(*) AS events"))
 
 
+def legacy_feedback(spark, d):
+    signal = "CASE event_type WHEN 'view' THEN 'useful' WHEN 'click' THEN 'not useful' WHEN 'error' THEN 'false positive'"
+    old = views.events(spark, d).selectExpr(
+        "concat('agent_', string(user_id % 3)) AS agent", f"{signal} ELSE event_type END AS signal", "'' AS comment"
+    )
+    remapped = feedback.legacy_feedback(old)
+    return remapped.groupBy("feedback_type", "related_agent", "user_role").agg(F.expr("count(*) AS events"))
+
+
+def feedback_load(spark, d):
+    loaded = feedback.with_contract(views.feedback(spark, d))
+    return loaded.groupBy("run_id", "feedback_type", "feature", "severity").agg(F.expr("count(*) AS events"))
+
+
+def change_log(spark, d):
+    log = feedback.change_log(_recommendations(spark, d))
+    return log.select("run_id", "recommendation_id", "reason", "status", "note", "requires_human_approval")
+
+
+# ---------------------------------------------------------------- sources and sinks
+
+
+def table_scan(spark, d):
+    readers.require_paths(spark, [f"{d}/orders.parquet"])
+    found = readers.read_table(spark, f"{d}/orders.parquet").groupBy("o_orderpriority").agg(F.expr("count(*) AS orders"))
+    absent = readers.read_reference(spark, f"{d}/no_such_table.parquet") is None
+    return found.withColumn("reference_absent", F.lit(absent))
+
+
+def _window_counts(spark, d):
+    return views.features(spark, d).groupBy("model_id", "win").agg(F.expr("count(*) AS n"))
+
+
+def archived_reports(spark, d):
+    """Two runs kept, the second written twice: a rerun replaces itself only."""
+    path, report = shared_path(spark, "archive"), _window_counts(spark, d)
+    sinks.write_report(report, path, "run_a")
+    sinks.write_report(report, path, "run_b")
+    sinks.write_report(report.withColumn("n", F.expr("n * 2")), path, "run_b", replace=True)
+    return spark.read.parquet(path).select("run_id", "model_id", "win", "n")
+
+
+def nested_reports(spark, d):
+    path = shared_path(spark, "nested")
+    packet = evidence.evidence_packet(
+        views.features(spark, d).select("model_id").distinct(), {"windows": _window_counts(spark, d)}, FLEET
+    )
+    sinks.write_nested(packet, path, "run_a")
+    kept = spark.read.schema("model_id long, windows array<struct<win: string, n: long>>, run_id string").json(path)
+    return kept.selectExpr("run_id", "model_id", "inline(windows)")
+
+
+def upserted_sections(spark, d):
+    path, counts = shared_path(spark, "sections"), _window_counts(spark, d)
+    sinks.upsert_section(counts.where("win = 'train'"), path, "run_a", "windows")
+    sinks.upsert_section(counts, path, "run_a", "other")
+    sinks.upsert_section(counts.where("win = 'current'"), path, "run_a", "windows")
+    rows = spark.read.parquet(path).withColumn("r", F.from_json("payload", "model_id long, win string, n long"))
+    return rows.select("section", "r.*")
+
+
+def positional_scores(spark, d):
+    f = _window(views.features(spark, d), "current").withColumnRenamed("entity_id", "row_no")
+    p = _current(spark, d).withColumnRenamed("entity_id", "row_no")
+    return rounded(segments.scored_features(f, p, FEATURES, None, position="row_no"), "row_no", *FEATURES, "score", "label")
+
+
+def segment_order(spark, d):
+    report = segments.segment_performance(_scored(spark, d), FEATURES)
+    return report.select("feature", "segment", F.monotonically_increasing_id().alias("place"))
+
+
+def same_run_records(spark, d):
+    packet = views.runs(spark, d).where("validation_auc IS NOT NULL")
+    same = evidence.same_run(packet, views.feedback(spark, d))
+    return same.groupBy("run_id").agg(F.expr("count(*) AS records"))
+
+
 def queries():
     named = [
+        legacy_feedback,
+        feedback_load,
+        change_log,
+        table_scan,
+        archived_reports,
+        nested_reports,
+        upserted_sections,
+        positional_scores,
+        segment_order,
+        same_run_records,
         contract_violations,
         mean_shift,
         data_quality_report,

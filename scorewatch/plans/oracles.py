@@ -438,6 +438,30 @@ def oracle_sql(config_rows) -> dict[str, str]:
         " worst AS (SELECT feature FROM seg GROUP BY feature ORDER BY max(abs(gap)) DESC, feature LIMIT 5) SELECT feature, "
         + ", ".join(_r(f"coalesce(max(a) FILTER (WHERE s = {i}), 0)", f"S{i}") for i in range(1, 6))
         + " FROM no WHERE feature IN (SELECT feature FROM worst) GROUP BY feature",
+        "legacy_feedback": "SELECT CASE event_type WHEN 'view' THEN 'helpful' WHEN 'click' THEN 'not_helpful' WHEN 'error' THEN"
+        " 'false_alarm' ELSE event_type END AS feedback_type, 'agent_' || CAST(user_id % 3 AS VARCHAR) AS related_agent,"
+        " 'analyst' AS user_role, count(*) AS events FROM events GROUP BY ALL",
+        "feedback_load": FEEDBACK + "SELECT run_id, coalesce(feedback_type, '') AS feedback_type, feature, '' AS severity,"
+        " count(*) AS events FROM feedback GROUP BY ALL",
+        "change_log": RECOMMENDATIONS + " SELECT run_id, recommendation_id, CASE change_type"
+        " WHEN 'seasonal_feature_tagging' THEN 'Repeated false-alarm feedback for ' || feature || '; review seasonal tagging before suppression.'"
+        " WHEN 'increase_monitoring_priority' THEN 'Repeated accepted recommendations for ' || feature || ' support continued monitoring priority.'"
+        " WHEN 'report_profile_adjustment' THEN 'Repeated executive or client-safe feedback indicates that report language is too technical.'"
+        " ELSE 'Repeated rejection of ' || feature || ' indicates that escalation needs more supporting evidence.' END AS reason,"
+        " 'recommended' AS status, 'No changes are applied automatically.' AS note, true AS requires_human_approval FROM rec",
+        "table_scan": "SELECT o_orderpriority, count(*) AS orders, true AS reference_absent FROM orders GROUP BY o_orderpriority",
+        "archived_reports": one + ", c AS (SELECT model_id, win, count(*) AS n FROM feats GROUP BY model_id, win)"
+        " SELECT 'run_a' AS run_id, model_id, win, n FROM c UNION ALL SELECT 'run_b', model_id, win, 2 * n FROM c",
+        "nested_reports": one + "SELECT 'run_a' AS run_id, model_id, win, count(*) AS n FROM feats GROUP BY model_id, win",
+        "upserted_sections": one + ", c AS (SELECT model_id, win, count(*) AS n FROM feats GROUP BY model_id, win)"
+        " SELECT 'other' AS section, model_id, win, n FROM c UNION ALL SELECT 'windows', model_id, win, n FROM c WHERE win = 'current'",
+        "positional_scores": one + "SELECT f.entity_id AS row_no, "
+        + ", ".join(_r(f"f.{c}", c) for c in FEATURES)
+        + f", {_r('p.score', 'score')}, p.actual_label AS label FROM feats f JOIN cur p ON f.entity_id = p.entity_id WHERE f.win = 'current'",
+        "segment_order": one + "SELECT feature, segment, row_number() OVER (ORDER BY CASE risk_level WHEN 'High' THEN 0 WHEN 'Medium'"
+        " THEN 1 ELSE 2 END, abs(gap) DESC, feature, segment) - 1 AS place FROM seg",
+        "same_run_records": FEEDBACK + f"SELECT run_id, count(*) AS records FROM feedback WHERE run_id IN (SELECT run_id FROM"
+        f" ({REVIEW_RUNS}) r WHERE validation_auc IS NOT NULL) GROUP BY run_id",
         "overfitting_delta": f"SELECT run_id, {_r('train_auc', 'train_auc')}, {_r('validation_auc', 'validation_auc')},"
         f" {_r('train_auc - validation_auc', 'delta')}, CASE WHEN validation_auc IS NULL THEN 'Not Available' WHEN train_auc - validation_auc"
         " >= 0.07 THEN 'High' WHEN train_auc - validation_auc >= 0.03 THEN 'Medium' ELSE 'Low' END AS risk_level"

@@ -107,5 +107,9 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(REVIEW_RUNS.replace("FROM nation", "FROM {nation}"), nation=_read(spark, sf_dir, "nation"))
 
 
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "events")
+
+
 def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, "lineitem")
