@@ -48,7 +48,7 @@ TEMPLATES = (
     ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 )
-THRESHOLD = 0.85
+THRESHOLD = 0.9
 # A run may be this share longer than its template: room for inserted words.
 SLACK = 0.25
 
