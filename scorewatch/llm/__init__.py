@@ -1 +1,8 @@
 """Operators of a training-data pipeline over documents and web pages."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# tasks get the functions of this package with the plan: executors need not have it installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
