@@ -4,6 +4,7 @@ from helpers import SF, brute_components, rows, shingle_set, table, words
 
 import corpus_pipeline
 from scorewatch.llm import pii
+from scorewatch.llm.common import stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -28,37 +29,45 @@ def brute_quality(text):
     )
 
 
-def test_stages_against_brute_force(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    want = {r["doc_id"]: r["text"] for r in table("documents")}
+def test_run_against_brute_force(spark, monkeypatch):
+    """One run; what each stage got and gave is compared with plain definitions."""
+    seen = []
+
+    def watched(name, stage):
+        def call(session, docs, folder):
+            out = stored(stage(session, docs, folder), name)
+            seen.append((name, rows(docs), rows(out)))
+            return out
+
+        return name, call
+
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "quality_rules", "near_duplicates", "decontamination", "personal_data", "mixing_sources"
+    ]
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [watched(*s) for s in corpus_pipeline.STAGES])
+    last = rows(corpus_pipeline.run(spark, SF))
     items = [shingle_set(r["text"]) for r in table("benchmark")]
-    for name, stage in corpus_pipeline.STAGES:
-        got = rows(stage(spark, docs, SF))
-        have = {r["doc_id"]: r["text"] for r in got}
-        assert len(have) == len(got)
+    for name, before, after in seen:
+        given = {r["doc_id"]: r["text"] for r in before}
+        have = {r["doc_id"]: r["text"] for r in after}
+        assert len(have) == len(after) and have
         if name == "quality_rules":
-            want = {d: t for d, t in want.items() if brute_quality(t)}
+            want = {d: t for d, t in given.items() if brute_quality(t)}
         elif name == "near_duplicates":
-            root, _ = brute_components(want.items())
-            want = {d: t for d, t in want.items() if root[d] == d}
+            root, _ = brute_components(given.items())
+            want = {d: t for d, t in given.items() if root[d] == d}
         elif name == "decontamination":
-            want = {d: t for d, t in want.items() if not any(len(s & shingle_set(t)) >= 0.75 * len(s) for s in items)}
+            want = {d: t for d, t in given.items() if not any(len(s & shingle_set(t)) >= 0.75 * len(s) for s in items)}
         elif name == "personal_data":
-            assert have.keys() == want.keys()
+            assert have.keys() == given.keys()
             assert not any(pii.base_spans(t) for t in have.values())
-            assert all(have[d] == t for d, t in want.items() if not re.search("[0-9@]", t))
+            assert all(have[d] == t for d, t in given.items() if not re.search("[0-9@]", t))
             want = have
         else:
-            total = sum(len(words(t)) for t in want.values())
-            assert abs(sum(r["taken"] for r in got) - total) <= len(want)
-            assert all(0 < r["taken"] <= 3 * r["size"] for r in got)
-            assert have.items() <= want.items()
+            total = sum(len(words(t)) for t in given.values())
+            assert abs(sum(r["taken"] for r in after) - total) <= len(given)
+            assert all(0 < r["taken"] <= 3 * r["size"] for r in after)
+            assert have.items() <= given.items() and len(last) == len(after)
             continue
         assert have == want, name
-        assert list(got[0]) == COLUMNS
-        docs = spark.createDataFrame(got, docs.schema)
-
-
-def test_run_is_repeatable(spark):
-    one, two = (sorted(map(str, rows(corpus_pipeline.run(spark, SF)))) for _ in range(2))
-    assert one == two and one
+        assert list(after[0]) == COLUMNS
