@@ -5,11 +5,12 @@
 2. Documents with equal sets form one class (map-side minimum); all further work is on classes.
 3. Every bucket of a band links its classes to a hub, so a bucket proposes as many pairs as it has members. The order
    that picks hubs differs between bands. Proposals whose collision-corrected estimate is far below the threshold are
-   dropped (five standard deviations and more); the rest is decided on the full sets.
+   dropped (four and a half standard deviations); the rest is decided on the full sets.
 4. Components by alternating large-star and small-star rounds.
 5. Buckets that still hold several components are gone through in blocks of at most `BLOCK` classes a side: signatures
    first, then the sets of those with a likely partner in another component, until each such pair is decided or its
-   classes are in one component. Blocks of a large bucket are separate groups of rows.
+   classes are in one component. Blocks of a large bucket are separate groups of rows, and a pair is looked at in the
+   first band that it shares only.
 6. The links found join the components.
 
 A pair at a similarity of exactly 0.75 is missed by all bands with a probability of 5e-6, more similar ones more rarely.
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import stored
+from .common import Scratch
 from .hashing import mixed, shingles, texts, word_hashes
 
 SHINGLE = 5
@@ -37,8 +38,8 @@ BANDS = 32
 BAND_ROWS = 4
 BITS = 4
 # Estimates have a standard deviation of at most 0.045; proposals this far below the threshold are dropped.
-MARGIN = 0.25
-BLOCK = 256
+MARGIN = 0.2
+BLOCK = 1024
 # Orders that pick hubs, one after the other over the bands; any values do.
 ORDERS = (0x0, 0x2A5D3B9C6E, 0x3C96A5E1D7, 0x15E8C3F49B)
 
@@ -115,24 +116,22 @@ def sketches(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(sketch, SKETCH_SQL)
 
 
-def shingle_sets(docs: DataFrame) -> DataFrame:
-    """fp1, fp2 and the packed sorted set of each document."""
+def shingle_sets(held: DataFrame) -> DataFrame:
+    """cls and its packed sorted set, from rows with doc_id, text, cls, f1, f2; texts of other classes are left out."""
 
     def sets(batches):
         for batch in batches:
-            f1s, f2s, packs = [], [], []
+            keys, packs = [], []
+            wanted = zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)))
             with np.errstate(over="ignore"):
-                for text in texts(batch.column(0)):
-                    s = shingles(word_hashes(text), SHINGLE)
-                    f1, f2 = fingerprint(s)
-                    f1s.append(f1)
-                    f2s.append(f2)
-                    packs.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(f1s, pa.int64()), pa.array(f2s, pa.int64()), pa.array(packs, pa.binary())], ["fp1", "fp2", "set"]
-            )
+                for text, (cls, f1, f2) in zip(texts(batch.column(0)), wanted):
+                    found = shingles(word_hashes(text), SHINGLE)
+                    if fingerprint(found) == (f1, f2):
+                        keys.append(cls)
+                        packs.append(found.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(packs, pa.binary())], ["cls", "set"])
 
-    return docs.select("text").mapInArrow(sets, "fp1 long, fp2 long, set binary")
+    return held.select("text", "cls", "f1", "f2").mapInArrow(sets, "cls long, set binary")
 
 
 @F.pandas_udf(T.DoubleType())
@@ -160,22 +159,22 @@ def components(edges: DataFrame) -> DataFrame:
     Alternating large-star and small-star rounds: each is a minimum per node (map-side) and a join back to the edges,
     so a node with very many neighbours is an ordinary skewed join key.
     """
-    e = stored(edges.where("u <> v").selectExpr("greatest(u, v) AS u", "least(u, v) AS v").distinct(), "edges")
+    s = Scratch(edges.sparkSession)
+    e = s.put(edges.where("u <> v").selectExpr("greatest(u, v) AS u", "least(u, v) AS v").distinct(), "edges")
     seen = None
     while True:
-        state = e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.shiftright(F.xxhash64("v", "u"), 32))).first()
+        state = e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))).first()
         if state == seen:
             return e.selectExpr("u AS node", "v AS root").union(e.selectExpr("v AS node", "v AS root").distinct())
         seen = state
-        both = stored(e.union(e.selectExpr("v AS u", "u AS v")), "both")
-        low = stored(both.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m")), "low")
+        both = s.put(e.union(e.selectExpr("v AS u", "u AS v")), "both")
+        low = s.put(both.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m")), "low")
         large = both.join(low, F.col("u") == F.col("w")).where("v > u").selectExpr("v AS u", "least(u, m) AS v")
-        large = stored(large.distinct(), "large")
-        low = stored(large.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m")), "low")
-        small = large.join(low, F.col("u") == F.col("w"))
-        e = stored(
-            small.where("v <> m").selectExpr("v AS u", "m AS v").union(low.selectExpr("w AS u", "m AS v")).distinct(), "small"
-        )
+        large = s.put(large.distinct(), "large")
+        lower = s.put(large.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m")), "lower")
+        small = large.join(lower, F.col("u") == F.col("w")).where("v <> m").selectExpr("v AS u", "m AS v")
+        done, e = e, s.put(small.union(lower.selectExpr("w AS u", "m AS v")).distinct(), "small")
+        s.drop(done, both, low, large, lower)
 
 
 def _grouped(batches, key, work):
@@ -206,6 +205,8 @@ def _sides(part):
 def _likely(part):
     left, right = _sides(part)
     comp = part["root"].to_numpy()
+    band = part["band"].iloc[0]
+    bands = np.array(part["bands"].tolist(), dtype=np.int64)[:, :band]
     rows = np.frombuffer(b"".join(part["bits"]), np.uint8).reshape(len(part), -1)
     n = part["n_shingles"].to_numpy()
     wanted = np.zeros(len(part), bool)
@@ -214,9 +215,10 @@ def _likely(part):
         other = other[np.minimum(n[other], n[x]) >= THRESHOLD * np.maximum(n[other], n[x]) - 1e-9]
         if len(other):
             hit = other[estimate(rows[other], rows[x][None]) >= THRESHOLD - MARGIN]
+            hit = hit[~(bands[hit] == bands[x]).any(1)]
             wanted[hit] = True
             wanted[x] |= len(hit) > 0
-    return part.loc[wanted, ["bucket", "i", "j", "own", "cls", "root"]]
+    return part.loc[wanted, ["bucket", "i", "j", "own", "cls", "root", "bits"]]
 
 
 def _decided(part):
@@ -262,8 +264,9 @@ def _pairs_with(pairs: DataFrame, side: DataFrame, column: str) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per document."""
-    sketch = stored(sketches(docs), "sketches")
-    classes = stored(
+    s = Scratch(docs.sparkSession)
+    sketch = s.put(sketches(docs), "sketches")
+    classes = s.put(
         sketch.where("doc_id IS NOT NULL AND n_shingles > 0")
         .groupBy("fp1", "fp2")
         .agg(F.min("doc_id").alias("first_doc"), *[F.first(c).alias(c) for c in ("n_shingles", "bits", "bands")])
@@ -272,7 +275,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     member = classes.select("cls", F.posexplode("bands").alias("band", "bucket"))
     flip = F.element_at(F.array(*[F.lit(o) for o in ORDERS]), F.col("band") % len(ORDERS) + 1)
-    hubs = stored(
+    hubs = s.put(
         member.groupBy("bucket", flip.alias("flip"))
         .agg(F.min(F.col("cls").bitwiseXOR(flip)).alias("low"), F.count("*").alias("n"))
         .where("n > 1")
@@ -280,30 +283,41 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "hubs",
     )
     proposed = member.join(hubs, F.col("bucket") == F.col("hub_bucket")).where("cls <> hub")
-    pairs = stored(proposed.selectExpr("greatest(cls, hub) AS u", "least(cls, hub) AS v").distinct(), "proposed")
-    likely = stored(
+    pairs = s.put(proposed.selectExpr("greatest(cls, hub) AS u", "least(cls, hub) AS v").distinct(), "proposed")
+    likely = s.put(
         _pairs_with(pairs, classes, "bits").where(_estimated("a", "b") >= THRESHOLD - MARGIN).select("u", "v"), "likely"
     )
+    s.drop(pairs)
 
     def sets_of(wanted: DataFrame) -> DataFrame:
         """cls, set for the classes named in `wanted`, made anew from the texts of their first documents."""
-        named = classes.join(wanted.select("cls").distinct(), "cls", "left_semi").select("cls", "first_doc", "fp1", "fp2")
-        ids = stored(named, "named")
-        chosen = docs.join(ids.selectExpr("first_doc AS doc_id").distinct(), "doc_id", "left_semi")
-        return stored(shingle_sets(chosen).join(ids, ["fp1", "fp2"]).select("cls", "set").dropDuplicates(["cls"]), "sets")
+        named = s.put(
+            classes.join(wanted.select("cls").distinct(), "cls", "left_semi").selectExpr(
+                "cls", "first_doc AS doc_id", "fp1 AS f1", "fp2 AS f2"
+            ),
+            "named",
+        )
+        held = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(named, "doc_id")
+        found = s.put(shingle_sets(held), "sets")
+        if found.count() > named.count():  # rows that repeat a doc_id
+            found = s.put(found.dropDuplicates(["cls"]), "single")
+        return found
 
     ends = likely.selectExpr("u AS cls").union(likely.selectExpr("v AS cls"))
-    confirmed = stored(_pairs_with(likely, sets_of(ends), "set").where(_confirmed("a", "b")).select("u", "v"), "links")
-    rooted = stored(components(confirmed), "roots")
+    sets = sets_of(ends)
+    confirmed = s.put(_pairs_with(likely, sets, "set").where(_confirmed("a", "b")).select("u", "v"), "links")
+    s.drop(sets, likely)
+    rooted = s.put(components(confirmed), "roots")
+    s.drop(confirmed)
 
     # buckets of three and more that still hold several components
     placed = classes.select("cls", "n_shingles", "bits", "bands").join(
         rooted.withColumnRenamed("node", "cls"), "cls", "left"
     )
-    placed = stored(placed.withColumn("root", F.coalesce("root", "cls")), "placed")
-    in_bucket = placed.select("cls", "root", F.explode("bands").alias("bucket"))
+    placed = s.put(placed.withColumn("root", F.coalesce("root", "cls")), "placed")
+    in_bucket = placed.select("cls", "root", F.posexplode("bands").alias("band", "bucket"))
     large = hubs.where("n > 2").select("hub_bucket")
-    split = stored(
+    split = s.put(
         in_bucket.join(large, F.col("bucket") == F.col("hub_bucket"), "left_semi")
         .groupBy(F.col("bucket").alias("open_bucket"))
         .agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n"))
@@ -311,27 +325,35 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .select("open_bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")),
         "open",
     )
+    s.drop(hubs)
     own = F.pmod(F.xxhash64("cls"), F.col("blocks").cast("long")).cast("int")
     opened = (
-        in_bucket.join(split, F.col("bucket") == F.col("open_bucket"))
-        .select("bucket", "cls", "root", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-        .select("bucket", "cls", "root", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+        placed.select("*", F.posexplode("bands").alias("band", "bucket"))
+        .join(split, F.col("bucket") == F.col("open_bucket"))
+        .withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            "bucket", "band", "cls", "root", "own", "bits", "bands", "n_shingles",
+            F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+        )
+    )
+    waiting = s.put(
+        _blocks(opened, _likely, "bucket long, i int, j int, own int, cls long, root long, bits binary"), "waiting"
     )
-    opened = opened.join(placed.select("cls", "bits", "n_shingles"), "cls")
-    waiting = stored(_blocks(opened, _likely, "bucket long, i int, j int, own int, cls long, root long"), "waiting")
-    with_sets = waiting.join(sets_of(waiting), "cls").join(placed.select("cls", "bits"), "cls")
-    late = stored(_blocks(with_sets, _decided, "u long, v long"), "late")
-
-    over = rooted.selectExpr("node AS u", "root AS v").union(late)
-    rooted = components(over)
-    whole = stored(
+    sets = sets_of(waiting)
+    late = s.put(_blocks(waiting.join(sets, "cls"), _decided, "u long, v long"), "late")
+    s.drop(sets, waiting, split, placed)
+
+    rooted = components(rooted.selectExpr("node AS u", "root AS v").union(late))
+    whole = s.put(
         classes.join(rooted.withColumnRenamed("node", "cls"), "cls", "left").select(
             "fp1", "fp2", "first_doc", F.coalesce("root", "cls").alias("root")
         ),
         "whole",
     )
-    lowest = stored(whole.groupBy("root").agg(F.min("first_doc").alias("component_id")), "lowest")
-    answer = stored(whole.join(lowest, "root").select("fp1", "fp2", "component_id"), "answer")
+    lowest = s.put(whole.groupBy("root").agg(F.min("first_doc").alias("component_id")), "lowest")
+    answer = s.put(whole.join(lowest, "root").select("fp1", "fp2", "component_id"), "answer")
+    s.drop(classes, whole, lowest)
     rows = sketch.select("doc_id", "n_shingles", "fp1", "fp2").join(answer, ["fp1", "fp2"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return rows.select(
@@ -344,5 +366,5 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The documents without those that a smaller doc_id of their component stands for."""
-    gone = stored(near_duplicates(docs).where("NOT kept").select("doc_id").distinct(), "gone")
+    gone = Scratch(docs.sparkSession).put(near_duplicates(docs).where("NOT kept").select("doc_id").distinct(), "gone")
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
