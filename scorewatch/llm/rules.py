@@ -152,7 +152,9 @@ def accepted(docs: DataFrame, policy: str = POLICY) -> DataFrame:
     """The documents that a policy keeps, in their own columns. Row by row: no join back to the text."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     carried = docs.select(row.alias("doc_id"), "text")  # the whole row travels where the ledger has the id
-    return judged(ledger(carried), policy).where("kept").select("doc_id.*")
+    # a row number keeps the filter above the ledger: pushed below it, every use of a measurement would compute it anew
+    book = ledger(carried).withColumn("row_no", F.monotonically_increasing_id())
+    return judged(book, policy).where("kept AND row_no >= 0").select("doc_id.*")
 
 
 ORACLE = r"""
