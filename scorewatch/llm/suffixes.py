@@ -55,18 +55,19 @@ def _anchored(docs: DataFrame, length: int) -> DataFrame:
     def cut(batches):
         for batch in batches:
             ids = batch.column(1).to_numpy()
-            parts = []
+            parts, held = [], 0
             with np.errstate(over="ignore"):
                 for text, text_id in zip(texts(batch.column(0)), ids):
                     for seed, anchor, first, last, name in blocks(text, length):
                         n = len(seed)
+                        held += n
                         parts.append(
                             (seed.view(np.int64), name.view(np.int64), np.full(n, text_id), np.full(n, len(text)))
                             + (anchor, (anchor - first).astype(np.int32), (last - first).astype(np.int32))
                         )
-                        if sum(len(p[0]) for p in parts) > 100_000:
+                        if held > 100_000:
                             yield _batch([np.concatenate(c) for c in zip(*parts)], schema)
-                            parts = []
+                            parts, held = [], 0
             if parts:
                 yield _batch([np.concatenate(c) for c in zip(*parts)], schema)
 
@@ -99,11 +100,18 @@ def _contexts(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(cut, CONTEXT)
 
 
-def _salted(key: int, *parts) -> np.uint64:
-    h = np.array([key], dtype=np.int64).view(np.uint64)
+def _flat(column):
+    """All bytes of a binary column as one array, and where each row starts in it."""
+    _, offsets, data = column.cast(pa.large_binary()).buffers()
+    at = np.frombuffer(offsets, dtype=np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data, dtype=np.uint8)[at[0] : at[-1]], at[:-1] - at[0]
+
+
+def _salted(key: np.ndarray, *parts) -> np.ndarray:
+    h = key.view(np.uint64)
     for p in parts:
-        h = mixed(h ^ (np.uint64(p) + np.uint64(0x51ED270B)))
-    return h[0]
+        h = mixed(h ^ (np.asarray(p).astype(np.uint64) + np.uint64(0x51ED270B)))
+    return h
 
 
 QUARTER = "cls long, core long, hull long, quarter int, low int, high int"
@@ -119,24 +127,22 @@ def _quarters(contexts: DataFrame) -> DataFrame:
 
     def cut(batches):
         for batch in batches:
-            data = batch.to_pydict()
-            out = []
+            if not batch.num_rows:
+                continue
+            cls, key, before, span = (batch.column(c).to_numpy() for c in ("cls", "key", "before", "span"))
+            before, span = before.astype(np.int64), span.astype(np.int64)
             with np.errstate(over="ignore"):
-                for cls, key, before, span, part in zip(*(data[c] for c in ("cls", "key", "before", "span", "bytes"))):
-                    sums = prefix_sums(np.frombuffer(part, np.uint8))
-                    near, far = before - span, before
-                    for q in range(QUARTERS):
-                        low, high = max(near, edges[q]), min(far, edges[q + 1] - 1)
-                        if low > high:
-                            continue
-                        at = np.array([before - edges[q], before - high])
-                        size = np.array([LENGTH - (edges[q + 1] - 1 - edges[q]), LENGTH + high - low])
-                        core, hull = names(sums, at, size)
-                        core = core ^ _salted(key, q, 0)
-                        hull = hull ^ _salted(key, low, high + 1000)
-                        out.append((cls, core.view(np.int64), hull.view(np.int64), q, low, high))
-            if out:
-                yield _batch([np.array(c) for c in zip(*out)], schema)
+                flat, base = _flat(batch.column("bytes"))
+                sums = prefix_sums(flat)
+                for q in range(QUARTERS):
+                    low, high = np.maximum(before - span, edges[q]), np.minimum(before, edges[q + 1] - 1)
+                    ok = np.flatnonzero(low <= high)
+                    low, high, k, at = low[ok], high[ok], key[ok], (base + before)[ok]
+                    core = names(sums, at - edges[q], LENGTH - (edges[q + 1] - 1 - edges[q])) ^ _salted(k, q, 0)
+                    hull = names(sums, at - high, LENGTH + high - low) ^ _salted(k, low, high + 1000)
+                    quarter = np.full(len(ok), q, np.int32)
+                    found = (cls[ok], core.view(np.int64), hull.view(np.int64), quarter, low, high)
+                    yield _batch([c.astype(f.type.to_pandas_dtype()) for c, f in zip(found, schema)], schema)
 
     return contexts.mapInArrow(cut, QUARTER)
 
@@ -150,18 +156,21 @@ def _windows(rows: DataFrame) -> DataFrame:
 
     def cut(batches):
         for batch in batches:
-            data = batch.to_pydict()
-            parts = []
+            if not batch.num_rows:
+                continue
+            cls, key, before = (batch.column(c).to_numpy() for c in ("cls", "key", "before"))
+            spans = batch.column("open")
+            row = np.repeat(np.arange(len(cls)), spans.value_lengths().to_numpy())
+            low, high = (c.to_numpy().astype(np.int64) for c in spans.flatten().flatten())
+            size = high - low + 1
+            ends = np.cumsum(size)
+            offset = np.arange(ends[-1]) - np.repeat(ends - size - low, size)
+            row = np.repeat(row, size)
             with np.errstate(over="ignore"):
-                for cls, key, before, part, spans in zip(*(data[c] for c in ("cls", "key", "before", "bytes", "open"))):
-                    sums = prefix_sums(np.frombuffer(part, np.uint8))
-                    offsets = np.concatenate([np.arange(s["low"], s["high"] + 1) for s in spans])
-                    found = names(sums, before - offsets, LENGTH)
-                    salt = np.array([key], dtype=np.int64).view(np.uint64)
-                    found = mixed(found ^ mixed(salt + offsets.astype(np.uint64)))
-                    parts.append((np.full(len(offsets), cls), found.view(np.int64), offsets.astype(np.int32)))
-            if parts:
-                yield _batch([np.concatenate(c) for c in zip(*parts)], schema)
+                flat, base = _flat(batch.column("bytes"))
+                found = names(prefix_sums(flat), (base + before)[row] - offset, LENGTH)
+                found = mixed(found ^ mixed(key[row].view(np.uint64) + offset.astype(np.uint64)))
+            yield _batch([cls[row], found.view(np.int64), offset.astype(np.int32)], schema)
 
     return rows.select("cls", "key", "before", "bytes", "open").mapInArrow(cut, WINDOW)
 
