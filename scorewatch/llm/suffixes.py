@@ -233,12 +233,12 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     seeds = s.put(
         anchored.groupBy(F.col("key").alias("seed")).agg(F.count("*").alias("n")).where("n > 1").select("seed"), "seeds"
     )
-    # equal texts have equal blocks: they are counted together from here on
-    hits = s.put(
-        anchored.join(seeds, F.col("key") == F.col("seed")).groupBy("key", "name", *place).agg(F.count("*").alias("times")),
-        "hits",
-    )
+    # written before it is counted: a join whose rows an aggregate takes as they lie would not be split at hot seeds
+    shared = s.put(anchored.join(seeds, F.col("key") == F.col("seed")).select("key", "name", *place), "shared")
     s.drop(anchored, seeds)
+    # equal texts have equal blocks: they are counted together from here on
+    hits = s.put(shared.groupBy("key", "name", *place).agg(F.count("*").alias("times")), "hits")
+    s.drop(shared)
     classes = s.put(
         hits.groupBy("key", "name")
         .agg(F.sum("times").alias("times"), *[F.first(c).alias(c) for c in place])
