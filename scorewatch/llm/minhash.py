@@ -256,10 +256,14 @@ def _blocks(rows: DataFrame, work, schema: str) -> DataFrame:
 
 
 def _pairs_with(pairs: DataFrame, side: DataFrame, column: str) -> DataFrame:
-    """Attach `column` of both ends of (u, v) pairs as a and b."""
+    """Attach `column` of both ends of (u, v) pairs as a and b.
+
+    Merge joins here and wherever texts or sets move: pairs grow with the corpus, so that a plan which broadcasts them
+    while they are few would say nothing about the plan at size.
+    """
     one = side.select(F.col("cls").alias("u"), F.col(column).alias("a"))
     two = side.select(F.col("cls").alias("v"), F.col(column).alias("b"))
-    return pairs.join(one, "u").join(two, "v")
+    return pairs.join(one.hint("merge"), "u").join(two.hint("merge"), "v")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -297,7 +301,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             ),
             "named",
         )
-        held = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(named, "doc_id")
+        held = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(named.hint("merge"), "doc_id")
         found = s.put(shingle_sets(held), "sets")
         if found.count() > named.count():  # rows that repeat a doc_id
             found = s.put(found.dropDuplicates(["cls"]), "single")
@@ -341,7 +345,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         _blocks(opened, _likely, "bucket long, i int, j int, own int, cls long, root long, bits binary"), "waiting"
     )
     sets = sets_of(waiting)
-    late = s.put(_blocks(waiting.join(sets, "cls"), _decided, "u long, v long"), "late")
+    late = s.put(_blocks(waiting.join(sets.hint("merge"), "cls"), _decided, "u long, v long"), "late")
     s.drop(sets, waiting, split, placed)
 
     rooted = components(rooted.selectExpr("node AS u", "root AS v").union(late))
