@@ -1,14 +1,17 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped to lines (the page's text blocks, in page order). A line's weight is the length of its text outside
-links, and 0 in boilerplate: menus, headers, footers, sidebars, notices, adverts, forms, comments, and everything beside
-an article where the page marks one. Weights are summed over sliding windows of lines; a surge is where the sums leave 0,
-a dive where they fall back, and the text between the heaviest surge and its dive is kept. Inside a marked article every
-stretch is kept.
+links, and 0 in boilerplate: menus, headers, footers, sidebars, notices, adverts, forms, comments. An article element is
+a weight: a line inside one counts MARKED times, its links too. Weights are summed over sliding windows of lines that do
+not cross an article's border; a stretch runs from where the sums leave 0 to its dive, where they fall back, and surges
+where they reach SURGE. The stretch with the most weight, surging ones first, names the main container: the articles, if
+it lies in one, else the innermost element around its lines. Every stretch of that container is kept; where the container
+is the whole body, every one that surges. Lines without weight are kept inside a stretch, and beside it in a container
+smaller than the body, unless WINDOW or more follow each other: those are link lists.
 
 Defined cases: a null or empty page gives an empty text; a page without any weighted line too; unclosed or stray tags
-never fail; character references are decoded once; very long pages are parsed whole in one linear scan; repeated rows
-and null ids are rows of their own; an empty table gives no rows. Other columns are ignored.
+never fail; omitted end tags are implied; character references are decoded once; very long pages are parsed whole in one
+linear scan; repeated rows and null ids are rows of their own; an empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,8 +25,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 WINDOW = 3
-# A stretch without a window of this many characters is no main text, unless the page has no better one.
+# A stretch without a window of this weight is no main text, unless the page has no better one or it is in its container.
 SURGE = 80
+# Weight of a character inside an article element.
+MARKED = 10
 
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[a-zA-Z/!?][^>]*+\Z|[^<]++|<""",
@@ -45,6 +50,17 @@ BOILERPLATE = {
 }
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 ARTICLE = {"article", "main"}
+WHOLE = {None, "html", "body"}
+# An open element that the start of another one ends, where its end tag was left out.
+ENDS_P = {
+    "address", "article", "aside", "blockquote", "center", "details", "dialog", "div", "dl", "fieldset", "figcaption", "figure",
+    "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "menu", "nav", "ol", "p", "pre", "section",
+    "table", "ul",
+}
+IMPLIED = {t: {"p"} for t in ENDS_P} | {
+    "li": {"p", "li"}, "dt": {"p", "dt", "dd"}, "dd": {"p", "dt", "dd"}, "option": {"option"}, "optgroup": {"option", "optgroup"},
+    "td": {"p", "td", "th"}, "th": {"p", "td", "th"}, "tr": {"p", "td", "th", "tr"}, "tbody": {"p", "td", "th", "tr", "tbody", "thead"},
+}
 
 
 def _named_boilerplate(attributes: str) -> bool:
@@ -57,19 +73,76 @@ def _named_boilerplate(attributes: str) -> bool:
     return False
 
 
-def lines_of(page: str):
-    """(text, weight, in article) per block with text, in page order; weight 0 in boilerplate."""
-    out, parts, weight = [], [], 0
-    dropped: list[str] = []  # open elements inside a dropped one, it first
-    articles, links = 0, 0
+class _Tree:
+    """The open elements of a page: blocks, and inside a dropped element all. Elements are numbered in page order."""
+
+    def __init__(self):
+        self.open: list[int] = []  # numbers, outermost first
+        self.tags: list[str] = []
+        self.parents: list[int | None] = []
+        self.ends: list[int] = []  # first number after the element
+        self.where: dict[str, list[int]] = {}  # tag -> depths at which it is open
+        self.articles: list[int] = []  # depths of the open articles
+        self.dropped: int | None = None  # depth of the dropped element
+
+    def push(self, tag: str, article: bool = False, dropped: bool = False) -> None:
+        depth = len(self.open)
+        self.parents.append(self.open[-1] if self.open else None)
+        self.open.append(len(self.tags))
+        self.tags.append(tag)
+        self.ends.append(0)
+        self.where.setdefault(tag, []).append(depth)
+        if article:
+            self.articles.append(depth)
+        if dropped:
+            self.dropped = depth
+
+    def cut(self, depth: int) -> None:
+        """Close all elements from this depth on."""
+        while len(self.open) > depth:
+            number = self.open.pop()
+            self.where[self.tags[number]].pop()
+            self.ends[number] = len(self.tags)
+        if self.articles and self.articles[-1] >= depth:
+            self.articles = [d for d in self.articles if d < depth]
+        if self.dropped is not None and self.dropped >= depth:
+            self.dropped = None
+
+    def end(self, tag: str) -> None:
+        """An end tag. A stray one is ignored; only its own, body and html close an article."""
+        at = self.where.get(tag)
+        if at and (tag in ARTICLE or tag in WHOLE or not self.articles or at[-1] > self.articles[-1]):
+            self.cut(at[-1])
+
+    def imply(self, tag: str) -> None:
+        """A start tag ends what it cannot be inside of."""
+        ended = IMPLIED.get(tag)
+        while ended:
+            depth = len(self.open) - 1
+            while depth >= 0 and self.tags[self.open[depth]] in INLINE:
+                depth -= 1
+            if depth < 0 or self.tags[self.open[depth]] not in ended:
+                break
+            self.cut(depth)
+
+
+def _lines(page: str):
+    """Lines (text, weight, in article, number of the innermost block) in page order, and the tree of the page's blocks.
+
+    A dropped element is one line without text and weight.
+    """
+    out, parts, weight, linked = [], [], 0, 0
+    tree, links = _Tree(), 0
 
     def flush():
-        nonlocal parts, weight
+        nonlocal parts, weight, linked
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append((text, weight, articles > 0))
-            parts, weight = [], 0
+                inside = bool(tree.articles)
+                heavy = MARKED * (weight + linked) if inside else weight
+                out.append((text, heavy, inside, tree.open[-1] if tree.open else None))
+            parts, weight, linked = [], 0, 0
 
     at, end, folded = 0, len(page), None
     while at < end:
@@ -79,10 +152,12 @@ def lines_of(page: str):
         if tag is None:
             piece = m[0]
             if piece[0] != "<" or piece == "<":  # else a comment, a declaration or a tag cut off by the end
-                if not dropped:
+                if tree.dropped is None:
                     text = html.unescape(piece)
                     parts.append(text)
-                    if not links:
+                    if links:
+                        linked += len(text.strip())
+                    else:
                         weight += len(text.strip())
             continue
         tag, closing, attributes = tag.lower(), bool(m[1] or m[4]), m[3] or m[6] or ""
@@ -93,15 +168,15 @@ def lines_of(page: str):
             close = folded.find(f"</{tag}", at)
             at = end if close < 0 else (page.find(">", close) + 1 or end)
             continue
-        if dropped:
-            if not closing and tag not in VOID and tag == dropped[0]:
-                dropped.append(tag)
-            elif closing and tag == dropped[0]:
-                dropped.pop()
-            elif closing and tag in ("body", "html") or (closing and tag in ARTICLE and articles):
-                dropped.clear()  # never closed
-                articles -= tag in ARTICLE and articles > 0
-            continue
+        if tree.dropped is not None:
+            if closing:
+                tree.end(tag)
+                continue
+            tree.imply(tag)
+            if tree.dropped is not None:
+                if tag not in VOID and not attributes.rstrip().endswith("/"):
+                    tree.push(tag)
+                continue
         if tag in INLINE and not (attributes and not closing and tag not in VOID and _named_boilerplate(attributes)):
             if tag == "a":
                 links = 0 if closing else 1
@@ -109,43 +184,92 @@ def lines_of(page: str):
         flush()
         links = 0
         if closing:
-            if tag in ARTICLE and articles:
-                articles -= 1
-        elif tag in VOID:
+            tree.end(tag)
+            continue
+        tree.imply(tag)
+        if tag in VOID:
             pass
         elif tag in ARTICLE and not _named_boilerplate(attributes):
-            articles += 1
-        elif (tag in DROPPED and not (tag == "header" and articles)) or (
+            tree.push(tag, article=True)
+        elif (tag in DROPPED and not (tag == "header" and tree.articles)) or (
             tag not in ("html", "body") and attributes and _named_boilerplate(attributes)
         ):
+            out.append(("", 0, bool(tree.articles), tree.open[-1] if tree.open else None))
             if not attributes.rstrip().endswith("/"):
-                dropped.append(tag)
-            out.append(("", 0, articles > 0))
+                tree.push(tag, dropped=True)
+        else:
+            tree.push(tag)
     flush()
-    return out
+    tree.cut(0)
+    return out, tree
+
+
+def _stretches(lines) -> list[tuple[bool, int, int, int]]:
+    """(surges, weight, first, last) of each stretch; first and last are its outer lines with weight."""
+    weights = [line[1] for line in lines]
+    found, begin = [], 0
+    while begin < len(lines):
+        border = begin
+        while border < len(lines) and lines[border][2] == lines[begin][2]:
+            border += 1
+        start = None
+        for i in range(begin, border + 1):
+            ahead = sum(weights[i : min(i + WINDOW, border)]) if i < border else 0
+            if ahead and start is None:
+                start, peak = i, 0
+            if ahead:
+                peak = max(peak, ahead)
+            elif start is not None:  # dive
+                first = next(k for k in range(start, i) if weights[k])
+                found.append((peak >= SURGE, sum(weights[start:i]), first, i - 1))
+                start = None
+        begin = border
+    return found
+
+
+def _container(lines, tree: _Tree, first: int, last: int) -> int | None:
+    """The innermost element around the lines with weight; around a single line's block its parent."""
+    inner = [n for _, w, _, n in lines[first : last + 1] if w]
+    if None in inner:
+        return None
+    low, high = min(inner), max(inner)
+    at = tree.parents[low] if low == high and tree.tags[low] not in WHOLE else low
+    while at is not None and tree.ends[at] <= high:
+        at = tree.parents[at]
+    return at
 
 
 def main_text(page: str | None) -> str:
-    lines = lines_of(page or "")
-    if any(inside for _, _, inside in lines):
-        return "\n".join(text for text, _, inside in lines if inside and text)
-    weights = [w for _, w, _ in lines]
-    best, start = (False, 0, 0, 0), None
-    for i in range(len(weights) + 1):
-        ahead = sum(weights[i : i + WINDOW]) if i < len(weights) else 0
-        if ahead and start is None:
-            start = i  # surge
-        if not ahead and start is not None:  # dive
-            sums = [sum(weights[k : k + WINDOW]) for k in range(start, i)]
-            best = max(best, (max(sums) >= SURGE, sum(weights[start:i]), -start, i))
-            start = None
-    _, total, begin, stop = best
-    if not total:
+    lines, tree = _lines(page or "")
+    stretches = _stretches(lines)
+    if not stretches:
         return ""
-    kept = lines[-begin:stop]
-    while kept and not kept[0][1]:
-        kept = kept[1:]
-    return "\n".join(text for text, w, _ in kept if text and w)
+    _, _, first, last = max(stretches, key=lambda s: (s[0], s[1], -s[2]))
+    marked = lines[first][2]
+    at = None if marked else _container(lines, tree, first, last)
+    whole = not marked and (at is None or tree.tags[at] in WHOLE)
+
+    def belongs(i: int) -> bool:
+        _, _, inside, n = lines[i]
+        if marked or inside:
+            return marked and inside
+        return at is None or (n is not None and at <= n < tree.ends[at])
+
+    kept = [False] * len(lines)
+    for surges, _, a, b in stretches:
+        if (surges or not whole or a == first) and belongs(a):
+            for i in range(a, b + 1):
+                kept[i] = belongs(i)
+    if not whole:  # lines without weight beside a stretch
+        i = 0
+        while i < len(lines):
+            j = i
+            while j < len(lines) and belongs(j) and not lines[j][1]:
+                j += 1
+            if j - i < WINDOW:
+                kept[i:j] = [True] * (j - i)
+            i = max(j, i + 1)
+    return "\n".join(line[0] for line, keep in zip(lines, kept) if keep and line[0])
 
 
 @F.pandas_udf(T.StringType())

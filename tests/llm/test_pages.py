@@ -86,3 +86,30 @@ def test_nested_captures(spark, tmp_path):
     assert (one["kind"], two["kind"]) == ("revisit", "response")
     assert one["refers_to"] == two["record_id"] and one["refers_to_page"] == 2
     assert one["request"]["target_uri"] == "http://a" and two["response"]["payload_bytes"] == 2000
+
+
+def test_article_tags_taken_out():
+    """The distribution alone, on every test page without its article tags, and with the article cut by a list of links."""
+    import re
+
+    links = "".join(f"<li><a href=x>link {i}</a></li>" for i in range(5))
+    for p in table("pages", "/root/testdata/sf0.01"):
+        want = main_text.main_text(p["html"])
+        assert main_text.main_text(re.sub("</?article>", "", p["html"])) == want
+        cut = p["html"].replace("<article>", '<div class="text">').replace("</article>", f"</div><ul>{links}</ul>")
+        assert main_text.main_text(cut) == want
+    assert want
+
+
+def test_every_stretch_of_the_container():
+    links = "".join(f"<li><a href=x>link {i}</a></li>" for i in range(5))
+    long, small = "<p>" + "long words of the main text " * 6 + "</p>", "<p>its smaller half</p>"
+    page = f"<body><p>beside</p><ul>{links}</ul><div>{long}<p><a href=x>wholly a link</a></p>{long}<ul>{links}</ul>{small}</div></body>"
+    text = main_text.main_text(page)
+    assert text.split("\n")[1::2] == ["wholly a link", "its smaller half"] and "link 0" not in text and "beside" not in text
+
+
+def test_article_is_a_weight():
+    long = "words of the main text " * 40
+    assert main_text.main_text(f"<div><p>{long}</p></div><article>Teaser</article>") == long.strip()
+    assert main_text.main_text(f"<p>{'beside ' * 20}</p><article><h1>{'a b ' * 10}</h1><p>x</p></article>") == ("a b " * 10).strip() + "\nx"
