@@ -1,7 +1,7 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped to lines (the page's text blocks, in page order). A line's weight is the length of its text outside
-links, and 0 in boilerplate: menus, headers, footers, sidebars, notices, adverts, forms, comments. An article element is
+links, and 0 in boilerplate: menus, headers, footers, sidebars, notices, adverts, forms, comments, by element, class, role or id of a block. An article element is
 a weight: a line inside one counts MARKED times, its links too. Weights are summed over sliding windows of lines that do
 not cross an article's border; a stretch runs from where the sums leave 0 to its dive, where they fall back, and surges
 where they reach SURGE. The stretch with the most weight, surging ones first, names the main container: the articles, if
@@ -34,7 +34,7 @@ TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[a-zA-Z/!?][^>]*+\Z|[^<]++|<""",
     re.S,
 )
-NAMES = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 RAW = ("script", "style", "noscript", "template", "textarea", "svg", "iframe", "object", "math", "canvas", "title")
 DROPPED = {"head", "nav", "footer", "aside", "form", "button", "select", "dialog", "menu", "fieldset", "header", "audio", "video"}
 VOID = {"br", "hr", "img", "input", "meta", "link", "wbr", "source", "track", "area", "base", "col", "embed", "param"}
@@ -48,6 +48,12 @@ BOILERPLATE = {
     "notice", "popup", "promo", "promoted", "related", "share", "sharing", "sidebar", "social", "sponsor", "sponsored",
     "subscribe", "toolbar", "widget", "contentinfo", "complementary", "search", "alert", "login", "signup", "reply", "replies",
 }
+# With words of BOILERPLATE only, these still make a clear name: related-posts, comments-area, left-sidebar.
+BESIDE = {
+    "area", "bar", "block", "bottom", "box", "button", "buttons", "container", "icons", "inner", "left", "links", "list", "outer",
+    "page", "posts", "right", "site", "top", "wrap", "wrapper",
+}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 ARTICLE = {"article", "main"}
 WHOLE = {None, "html", "body"}
@@ -63,13 +69,29 @@ IMPLIED = {t: {"p"} for t in ENDS_P} | {
 }
 
 
-def _named_boilerplate(attributes: str) -> bool:
-    for name, a, b, c in NAMES.findall(attributes):
-        if name.lower() in ("hidden", "aria-hidden"):
-            if name.lower() == "hidden" or (a or b or c).lower() == "true":
-                return True
-        elif any(w.lower() in BOILERPLATE for w in WORDS.findall(a or b or c)):
+def _boilerplate_token(token: str, inside: bool) -> bool:
+    words = {w.lower() for w in WORDS.findall(token)}
+    if not inside:  # any word will do; an entry's or article's header is its title
+        return bool(words & BOILERPLATE) and not (
+            words & BOILERPLATE == {"header"} and words & {"entry", "post", "article", "content", "section", "title"}
+        )
+    return bool(words & BOILERPLATE) and words <= BOILERPLATE | BESIDE and "header" not in words
+
+
+def _named_boilerplate(tag: str, attributes: str, inside: bool) -> bool:
+    """Hidden, or boilerplate by class, id or role; inside an article by clear names only.
+
+    Inline elements and headings are never named so; ids of others than div and ul may be the slug of a title.
+    """
+    for name, a, b, c in ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), a or b or c
+        if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
             return True
+        if tag in INLINE or tag in HEADINGS:
+            continue
+        if name in ("class", "role") or (name == "id" and tag in ("div", "ul")):
+            if any(_boilerplate_token(t, inside) for t in value.split()):
+                return True
     return False
 
 
@@ -177,8 +199,10 @@ def _lines(page: str):
                 if tag not in VOID and not attributes.rstrip().endswith("/"):
                     tree.push(tag)
                 continue
-        if tag in INLINE and not (attributes and not closing and tag not in VOID and _named_boilerplate(attributes)):
-            if tag == "a":
+        if tag in INLINE:
+            if tag not in VOID and not closing and attributes and _named_boilerplate(tag, attributes, False):
+                tree.push(tag, dropped=True)  # hidden; its paragraph goes on
+            elif tag == "a":
                 links = 0 if closing else 1
             continue
         flush()
@@ -189,10 +213,10 @@ def _lines(page: str):
         tree.imply(tag)
         if tag in VOID:
             pass
-        elif tag in ARTICLE and not _named_boilerplate(attributes):
+        elif tag in ARTICLE and not _named_boilerplate(tag, attributes, True):
             tree.push(tag, article=True)
         elif (tag in DROPPED and not (tag == "header" and tree.articles)) or (
-            tag not in ("html", "body") and attributes and _named_boilerplate(attributes)
+            tag not in ("html", "body") and attributes and _named_boilerplate(tag, attributes, bool(tree.articles))
         ):
             out.append(("", 0, bool(tree.articles), tree.open[-1] if tree.open else None))
             if not attributes.rstrip().endswith("/"):

@@ -113,3 +113,27 @@ def test_article_is_a_weight():
     long = "words of the main text " * 40
     assert main_text.main_text(f"<div><p>{long}</p></div><article>Teaser</article>") == long.strip()
     assert main_text.main_text(f"<p>{'beside ' * 20}</p><article><h1>{'a b ' * 10}</h1><p>x</p></article>") == ("a b " * 10).strip() + "\nx"
+
+
+@pytest.mark.parametrize(
+    "inside, want",
+    [
+        ('<h2 id="related-work">Related work</h2><p>a</p>', "Related work\na"),
+        ('<section id="search"><p>a</p></section>', "a"),
+        ('<p id="social-impact">a</p>', "a"),
+        ('<div class="entry-header"><h1>T</h1></div><p>a</p>', "T\na"),
+        ('<p>one <span class="ad-hoc">two</span> three</p>', "one two three"),
+        ('<p>one <span hidden>two</span> three</p>', "one three"),
+        ('<p title="a hidden gem" data-id="search">a</p>', "a"),
+        ('<p class="notice">x<p>a<p>b', "a\nb"),
+        ('<p class="notice">x <b>y<p>a</p>', "a"),
+        ('<ul><li class="ad">x<li>a<li>b</ul>', "a\nb"),
+        ('<table><tr><td class="ad">x<td>a<tr><td>b</table>', "a\nb"),
+        ('<div><div class="share">x<span>y</div></div><p>a</p>', "a"),
+        ('<section><div class="share">x<p>y</section><p>a</p>', "a"),
+        ('<div class="related-posts"><p>x</p></div><div id="comments"><div>x</div>x</div><p>a</p>', "a"),
+        ('<p>a</p><div class="share">x', "a"),
+    ],
+)
+def test_names_and_omitted_end_tags(inside, want):
+    assert main_text.main_text(f"<body><article>{inside}</article><p>after</p></body>") == want
