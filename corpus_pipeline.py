@@ -29,7 +29,10 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the words that the mix takes of them; those it takes nothing of go."""
+    """Documents with the texts that the mix takes of them in `emitted`; those it takes nothing of go.
+
+    `mixing.emitted` makes these texts rows of their own.
+    """
     return mixing.mixed_documents(docs)
 
 

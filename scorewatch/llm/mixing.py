@@ -7,6 +7,7 @@ aggregates over the table of sources, so neither sources nor documents meet in o
 Every document is repeated `floor(target / source_size)` times whole; the remaining fraction of a repetition takes a
 seeded run of its words, rounded up or down by a seeded draw, so a source's words meet its target to within the
 rounding of its documents. Draws are hashes of seed and doc_id: reruns, layout and cluster size do not matter.
+`mix` plans, `mixed_documents` adds the texts of the mix to each document, and `emitted` makes them rows of their own.
 
 Defined cases: a null or empty text has size 0 and is taken 0 times; a null source is a source, last in order; a source
 without words gets target 0; null ids draw alike; repeated rows are documents of their own; an empty table gives no
@@ -90,13 +91,41 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: in
     return rows.select("doc_id", "size", "source_size", "target", "taken", "whole", "part_words", "part_start")
 
 
+def cut_words(text: Column, start: Column, n: Column) -> Column:
+    """The run of n words from word `start` (0 is the first), with the blanks between them as they are."""
+    pieces = F.split(text, r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")  # a word with the blanks before it
+    run = F.array_join(F.slice(pieces, start.cast("int") + 1, n.cast("int")), "")
+    return F.regexp_replace(run, r"\A[\x20\x09-\x0D]+", "")
+
+
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
-    """The documents that the mix takes at least a word of, in all their columns, with the columns of `mix`."""
+    """The documents that the mix takes at least a word of, in all their columns, with the columns of `mix` and `emitted`.
+
+    `emitted` holds the texts that the document gives to the mix: the whole text `whole` times, then the run of
+    `part_words` words from `part_start`, if any.
+    """
     names = ("size", "source_size", "target", "taken", "whole", "part_words", "part_start")
-    kept = docs.drop(*names)
+    kept = docs.drop(*names, "emitted")
     sizes = stored(docs.select("source", word_count(text_of()).alias("size")), "sizes")
     rows = _with_targets(kept.withColumn("size", word_count(text_of())), sizes, weights, max_epochs)
-    return repetitions(rows, seed).where("taken > 0").select(*kept.columns, *names)
+    copies = F.array_repeat(F.col("text"), F.col("whole").cast("int"))
+    part = F.array(cut_words(F.col("text"), F.col("part_start"), F.col("part_words")))
+    texts = F.when(F.col("part_words") > 0, F.concat(copies, part)).otherwise(copies)
+    rows = repetitions(rows, seed).where("taken > 0").withColumn("emitted", texts)
+    return rows.select(*kept.columns, *names, "emitted")
+
+
+def emitted(mixed: DataFrame) -> DataFrame:
+    """The mix: one row per whole repetition and one per cut run, its words in `text`, numbered by `repetition`.
+
+    `mixed` are rows of `mixed_documents`; n_chars, where there, follows the text.
+    """
+    names = ("size", "source_size", "target", "taken", "whole", "part_words", "part_start", "emitted")
+    columns = [c for c in mixed.columns if c not in names]
+    rows = mixed.select(*[c for c in columns if c != "text"], F.posexplode("emitted").alias("repetition", "text"))
+    if "n_chars" in columns:
+        rows = rows.withColumn("n_chars", F.length("text").cast(mixed.schema["n_chars"].dataType))
+    return rows.select(*columns, "repetition")
 
 
 ORACLE = f"""

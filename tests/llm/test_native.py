@@ -47,3 +47,35 @@ def test_policies_and_ablations(spark):
     assert kept("base-1") == {1, 2} and kept("web-1") == {1}
     out = {r["rule"]: (r["n_failed"], r["n_only"]) for r in rows(rules.ablations(book, "web-1"))}
     assert out["symbols"] == (1, 1) and out["few_words"] == (1, 1) and out["repeated_windows"][0] == 1
+
+
+def test_emitted_words_meet_the_targets(spark):
+    """Words counted in the emitted texts: 3 copies of a, over one of b, under one of c."""
+    docs = [(i, s, f" {s}{i} \n" + " ".join(f"{s}{i}-{k}" for k in range(n - 1)) + "\t", 0)
+            for s, many, n in (("a", 5, 7), ("b", 40, 30), ("c", 200, 25)) for i in range(many)]
+    df = spark.createDataFrame([(f"{s}{i}", s, t, n) for i, s, t, n in docs], "doc_id string, source string, text string, n_chars int")
+    mixed = mixing.mixed_documents(df)
+    plan = {r["doc_id"]: r for r in rows(mixed)}
+    got = rows(mixing.emitted(mixed))
+    assert list(got[0]) == ["doc_id", "source", "text", "n_chars", "repetition"]
+    texts, words = {f"{s}{i}": t for i, s, t, _ in docs}, {"a": 0, "b": 0, "c": 0}
+    for r in got:
+        p, given = plan[r["doc_id"]], texts[r["doc_id"]].split()
+        words[r["source"]] += len(r["text"].split())
+        assert r["n_chars"] == len(r["text"])
+        if r["repetition"] < p["whole"]:
+            assert r["text"] == texts[r["doc_id"]]
+        else:
+            assert r["repetition"] == p["whole"]
+            assert r["text"].split() == given[p["part_start"] : p["part_start"] + p["part_words"]] and r["text"] in texts[r["doc_id"]]
+    targets = {r["source"]: r["target"] for r in plan.values()}
+    many = {"a": 5, "b": 40, "c": 200}
+    assert targets["a"] == 105 and targets["b"] > 1200 and targets["c"] < 5000
+    assert all(abs(words[s] - targets[s]) <= many[s] for s in words)
+    assert len(got) == sum(p["whole"] + (p["part_words"] > 0) for p in plan.values())
+
+
+def test_emitted_edges(spark):
+    mixed = mixing.mixed_documents(spark.createDataFrame(EDGES, SCHEMA))
+    got = rows(mixing.emitted(mixed))
+    assert sum(len(r["text"].split()) for r in got) == sum(r["taken"] for r in rows(mixed))
