@@ -144,12 +144,22 @@ class SkipChain:
             adam.step("emission", model.emission, g)
         return model
 
-    def marginals(self, rows, chain, skip, rounds: int = 30, damping: float = 0.3, settled: float = 1e-4):
-        """Loopy sum-product on all graphs of a batch at once: log beliefs, nodes x tags."""
+    def marginals(
+        self, rows, chain, skip, rounds: int = 500, damping: float = 0.3, settled: float = 1e-4, hubs=(), graph_of=None
+    ):
+        """Loopy sum-product on all graphs of a batch at once: log beliefs, nodes x tags.
+
+        hubs: rows (hub, occurrence, node, listens). A node that listens gets one agreement message, from the node most
+        clearly tagged among the other occurrences of its hubs; for two single-node occurrences that is a skip edge.
+        graph_of: a graph number per node; a graph stays as it is once its messages are settled.
+        """
         unary = self.emission[rows].sum(1)
+        n, k = unary.shape
         edges = np.concatenate([np.asarray(chain).reshape(-1, 2), np.asarray(skip).reshape(-1, 2)]).astype(int)
-        if not len(edges):
+        hubs = np.asarray(hubs, dtype=int).reshape(-1, 4)
+        if not len(edges) and not len(hubs):
             return unary - _logsumexp(unary, 1)[:, None]
+        graph_of = np.zeros(n, int) if graph_of is None else np.asarray(graph_of)
         tables = np.concatenate(
             [
                 np.broadcast_to(self.transition, (len(chain), *self.transition.shape)),
@@ -160,16 +170,56 @@ class SkipChain:
         target = np.concatenate([edges[:, 1], edges[:, 0]])
         tables = np.concatenate([tables, tables.transpose(0, 2, 1)])
         reverse = np.concatenate([np.arange(len(edges)) + len(edges), np.arange(len(edges))])
-        sent = np.zeros((len(source), unary.shape[1]))
-        for _ in range(rounds):
-            belief = unary.copy()
-            np.add.at(belief, target, sent)
-            out = _logsumexp((belief[source] - sent[reverse])[:, :, None] + tables, 1)
+        sent = np.zeros((len(source), k))
+        heard = np.zeros((n, k))
+        active = np.ones(graph_of.max(initial=0) + 1, bool)
+        for turn in range(rounds):
+            # a graph that swings is damped more
+            keep = damping if turn < 100 else max(damping, 0.7)
+            e = np.flatnonzero(active[graph_of[source]]) if len(source) else np.zeros(0, int)
+            own = unary.copy()
+            np.add.at(own, target, sent)
+            out = _logsumexp(((own + heard)[source[e]] - sent[reverse[e]])[:, :, None] + tables[e], 1)
             out -= _logsumexp(out, 1)[:, None]
-            change = np.abs(out - sent).max()
-            sent = damping * sent + (1 - damping) * out
-            if change < settled:
+            change = np.zeros(len(active))
+            np.maximum.at(change, graph_of[source[e]], np.abs(out - sent[e]).max(1, initial=0))
+            if len(hubs):
+                h = hubs[active[graph_of[hubs[:, 2]]]]
+                new = self._heard(own, h)
+                moved = active[graph_of]
+                np.maximum.at(change, graph_of[moved], np.abs(new - heard)[moved].max(1, initial=0))
+                heard[moved] = keep * heard[moved] + (1 - keep) * new[moved]
+            sent[e] = keep * sent[e] + (1 - keep) * out
+            active &= change >= settled
+            if not active.any():
                 break
-        belief = unary.copy()
+        belief = unary + heard
         np.add.at(belief, target, sent)
         return belief - _logsumexp(belief, 1)[:, None]
+
+    def _heard(self, own, hubs):
+        """Messages over the hubs, given each node's belief without them; 0 for nodes that hear nothing."""
+        out = np.zeros_like(own)
+        if not len(hubs):
+            return out
+        own = own - _logsumexp(own, 1)[:, None]
+        clear = own[:, 1:].max(1) - own[:, 0]
+        # per hub its clearest occurrence, and the clearest node of another occurrence
+        order = np.lexsort((hubs[:, 2], -clear[hubs[:, 2]], hubs[:, 0]))
+        ranked = hubs[order]
+        first = np.flatnonzero(np.r_[True, ranked[1:, 0] != ranked[:-1, 0]])
+        size = np.diff(np.r_[first, len(ranked)])
+        best = np.repeat(first, size)
+        other = np.where(ranked[:, 1] != ranked[best, 1], np.arange(len(ranked)), len(ranked))
+        second = np.repeat(np.minimum.reduceat(other, first), size)
+        speaker = np.where(ranked[:, 1] == ranked[best, 1], second, best)
+        heard = (ranked[:, 3] == 1) & (speaker < len(ranked))
+        listener, speaker = ranked[heard, 2], ranked[speaker[heard], 2]
+        # over several hubs the clearest speaker counts, once
+        order = np.lexsort((speaker, -clear[speaker], listener))
+        listener, speaker = listener[order], speaker[order]
+        top = np.r_[True, listener[1:] != listener[:-1]] if len(listener) else np.zeros(0, bool)
+        listener, speaker = listener[top], speaker[top]
+        message = _logsumexp(own[speaker][:, :, None] + self.agreement, 1) if len(listener) else own[:0]
+        out[listener] = message - _logsumexp(message, 1)[:, None] if len(listener) else message
+        return out

@@ -1,10 +1,12 @@
 """Personal data by a skip-chain conditional random field, next to fixed patterns.
 
 Nodes are the pieces of a text that hold a digit or an @ (others are outside by constraint, which splits the field
-exactly). Neighbouring nodes share a transition potential; occurrences of an equal or similar piece anywhere in a
-document (same digits, or same letters and digits) are linked in order of place, one link per occurrence, and share an
-agreement potential. Loopy sum-product messages over all documents of a batch settle the labels, so an entity recognised
-in one place is recognised in its other places.
+exactly). Neighbouring nodes share a transition potential. Occurrences of an equal or similar entity anywhere in a document
+meet in one hub per likeness: the same digits, over neighbouring digit groups too ('4111 1111 1111 1111'), the same last
+10 of more digits ('+12125557713', '(212) 555-7713'), the same letters and digits, or the same short address. Every
+occurrence gets an agreement message from the most clearly recognised other one, however many there are and however far
+away. Loopy sum-product messages over all documents of a batch settle the labels, so an entity recognised in one place
+is recognised in its other places.
 
 The field is fitted by pseudo-likelihood on a bounded sample of documents (`sample`, the smallest hashes of doc_id, and at
 most `sample_nodes` nodes), labelled by the patterns, with seeded made-up sentences; the driver gets feature rows, never
@@ -121,29 +123,83 @@ def node_features(text: str, start: int, end: int) -> list[int]:
     )
 
 
+GROUP = re.compile(r"[+(]*[0-9][0-9()+/.-]*")
+
+
 def _likeness(piece: str) -> str | None:
-    """What equal or similar pieces have in common; short pieces are like nothing."""
-    digits = "".join(c for c in piece if "0" <= c <= "9")
-    if len(digits) >= 7:
-        return digits
+    """What equal or similar pieces without enough digits have in common; short pieces but addresses are like nothing."""
     key = "".join(c for c in piece.lower() if c.isalnum())
-    return key if len(key) >= 6 else None
+    if len(key) >= 6:
+        return key
+    return piece.lower() if "@" in piece or piece.count(".") == 3 else None
+
+
+def _digits(piece: str) -> str:
+    return "".join(c for c in piece if "0" <= c <= "9")
+
+
+def _occurrences(pieces: list[str], joined: set[int]) -> dict[str, list[tuple[int, int, str | None]]]:
+    """Likeness key -> its occurrences (first node, last node, last 10 digits if it has so many with its neighbours).
+
+    Digits are compared over 7 to 19 of them in whole neighbouring groups: as they are, and by the last 10.
+    """
+    found: dict[str, list[tuple[int, int, str | None]]] = {}
+    for j, piece in enumerate(pieces):
+        digits, i, keys = _digits(piece), j, {}
+        if len(digits) < 7:
+            key = _likeness(piece)
+            if key is not None:
+                keys["a" + key] = j
+        ten = None
+        while len(digits) <= 19 or i == j:
+            if len(digits) >= 7:
+                keys.setdefault(digits, i)
+            if len(digits) >= 10 and ten is None:
+                ten = digits[-10:]
+                keys.setdefault(ten, i)
+            if i not in joined or not GROUP.fullmatch(pieces[i]) or not GROUP.fullmatch(pieces[i - 1]):
+                break
+            i -= 1
+            digits = _digits(pieces[i]) + digits
+        for key, i in keys.items():
+            mine = found.setdefault(key, [])
+            if not mine or mine[-1][1] < i:  # occurrences do not overlap
+                mine.append((i, j, ten))
+    return {k: v for k, v in found.items() if len(v) > 1}
+
+
+def _hubs(found) -> list[tuple[int, int, int, int]]:
+    """(hub, occurrence, node, listens). Of a short number that ends several longer ones these only speak."""
+    out, occurrence = [], 0
+    for hub, (key, places) in enumerate(found.items()):
+        longer = {ten for _, _, ten in places if ten is not None} if key.isdigit() and len(key) < 10 else set()
+        for i, j, ten in places:
+            out += [(hub, occurrence, k, int(len(longer) < 2 or ten is None)) for k in range(i, j + 1)]
+            occurrence += 1
+    return out
 
 
-def graph(text: str):
-    """(nodes, feature rows, chain edges, skip edges) of one document; edges as pairs of node numbers."""
+def linked(text: str):
+    """(nodes, feature rows, chain edges, skip edges, hubs) of one document; edges as pairs of node numbers.
+
+    Skip edges lead from one occurrence to the next: what the agreement is fitted on.
+    """
     nodes = nodes_of(text)
     rows = [node_features(text, a, b) for a, b in nodes]
-    chain, skip, last = [], [], {}
-    for i, (a, b) in enumerate(nodes):
-        if i and a - nodes[i - 1][1] <= 2 and "\n" not in text[nodes[i - 1][1] : a]:
-            chain.append((i - 1, i))
-        key = _likeness(text[a:b])
-        if key is not None:
-            if key in last and (last[key], i) != (chain[-1] if chain else None):
-                skip.append((last[key], i))
-            last[key] = i
-    return nodes, rows, chain, skip
+    chain = [
+        (i - 1, i)
+        for i in range(1, len(nodes))
+        if nodes[i][0] - nodes[i - 1][1] <= 2 and "\n" not in text[nodes[i - 1][1] : nodes[i][0]]
+    ]
+    near = set(chain)
+    found = _occurrences([text[a:b] for a, b in nodes], {b for _, b in chain})
+    skip = {(p[1], q[1]) for places in found.values() for p, q in zip(places, places[1:])} - near
+    return nodes, rows, chain, sorted(skip), _hubs(found)
+
+
+def graph(text: str):
+    """(nodes, feature rows, chain edges, skip edges) of one document."""
+    return linked(text)[:4]
 
 
 def tagged_graph(text: str):
@@ -164,6 +220,15 @@ def made_up(seed: int = 5, n: int = 400):
         yield f"mail {name}@mail{d(1)}.example.com or contact {name}@localhost now ", (1, 1)
         yield f"server {'.'.join(str(r.randint(0, 255)) for _ in range(4))} at {d(2)} with {d(1)}.{d(1)}.{d(1)} ", (2, 0, 0)
         yield f"in {r.randint(1900, 2030)} the {d(5)} and {d(16)} of {d(9)} ", None
+        # an entity cued once and found again in another form; the same forms alone or harmless in both places
+        bare, harmless = d(10), d(10)
+        yield f"call (+1 {bare[:3]}) {bare[3:6]}-{bare[6:]} today, and then {bare} of ", (4, 4, 4, 4)
+        yield f"and {r.choice(('', '+1'))}{bare} is the {r.choice(('phone', 'tel', 'call'))} ({bare[:3]}) {bare[3:6]}-{bare[6:]} ", (4, 4, 4)
+        yield f"the {harmless} and {d(10)} of {harmless} in {harmless} ", (0, 0, 0, 0)
+        handle = f"{r.choice('abcdefgh')}{d(2)}@{r.choice(('mailhost', 'intranet', 'office'))}"
+        yield f"contact {handle} now, then see {handle} of ", (1, 1)
+        yield f"write {handle} of the ", (1,)
+        yield f"see {handle} of the ", (0,)
 
 
 def made_up_graphs(seed: int = 5):
@@ -219,7 +284,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, sample_nodes: int = SAMPLE_NODES)
 
 def method_labels(texts: list[str], model: SkipChain) -> list[list[tuple[int, int, int]]]:
     """Per text its labelled nodes (kind number, start, end), neighbours of one kind joined."""
-    graphs = [graph(t) for t in texts]
+    graphs = [linked(t) for t in texts]
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     at = 0
     while at < len(graphs):
@@ -229,12 +294,16 @@ def method_labels(texts: list[str], model: SkipChain) -> list[list[tuple[int, in
             stop += 1
         if size:
             part = graphs[at:stop]
-            rows, _, chain, skip = _merged((r, [0] * len(r), c, s) for _, r, c, s in part)
-            belief = model.marginals(rows, chain, skip)
+            rows, graph_of, chain, _ = _merged((r, [i] * len(r), c, []) for i, (_, r, c, _, _) in enumerate(part))
+            hubs, n, m = [], 0, 0
+            for nodes, _, _, _, own in part:
+                hubs += [(h + m, o + m, k + n, w) for h, o, k, w in own]
+                n, m = n + len(nodes), m + 1 + max((o for _, o, _, _ in own), default=0)
+            belief = model.marginals(rows, chain, np.zeros((0, 2), int), hubs=hubs, graph_of=graph_of)
             best = belief.argmax(1)
             sure = belief.max(1) >= np.log(CERTAIN)
             k = 0
-            for i, (nodes, _, near, _) in enumerate(part, at):
+            for i, (nodes, _, near, _, _) in enumerate(part, at):
                 follows = {b for _, b in near}
                 for j, (a, b) in enumerate(nodes):
                     tag = int(best[k + j]) if sure[k + j] else 0

@@ -193,3 +193,60 @@ def test_mask_keeps_rows_and_columns(spark):
     assert got.columns == df.columns and got.count() == df.count()
     by = {r["doc_id"]: r["text"] for r in rows(got)}
     assert by[9] == "mail [EMAIL] now" and by[1] is None and by[6] == EDGES[7][1]
+
+
+@pytest.fixture(scope="module")
+def made_up_field():
+    return pii.SkipChain.fit(*pii._merged(pii.made_up_graphs()), len(pii.TAGS))
+
+
+@pytest.mark.parametrize(
+    "cue, bare, kind",
+    [
+        ("call me at +1 (212) 555-7713 today. ", "and 2125557713 again. ", "PHONE"),
+        ("tel +1 (212) 555-7713 so ", "and 212-555-7713 so ", "PHONE"),
+        ("mail a12@mailhost now ", "see a12@mailhost of ", "EMAIL"),
+    ],
+)
+def test_many_occurrences_of_an_entity_cued_once(made_up_field, cue, bare, kind):
+    """Cued in the first, a middle or the last place, each of a hundred places is labelled; never cued, none."""
+    for cued in (None, 0, 50, 99):
+        text = ("nothing here " * 5).join(cue if i == cued else bare for i in range(100))
+        base, added = next(pii.spans_of([text], made_up_field))
+        assert pii.mask_text(text, base + added).count(f"[{kind}]") == (0 if cued is None else 100)
+
+
+@pytest.mark.parametrize(
+    "one, two, alike",
+    [
+        ("4111 1111 1111 1111", "4111-1111-1111-1111", True),
+        ("030 1234 5678", "030 1234 5678", True),
+        ("+12125557713", "(212) 555-7713", True),
+        ("+1 (212) 555-7713", "2125557713", True),
+        ("(212) 555-7713", "555-7713", True),
+        ("a@b.c", "A@b.c", True),
+        ("10.0.0.1", "10.0.0.1", True),
+        ("(212) 555-7713", "(415) 555-7714", False),
+        ("(212) 555-7713", "(415) 555-7713", False),
+    ],
+)
+def test_alike_entities_meet_in_a_hub(one, two, alike):
+    text = f"x {one} and then {two} y"
+    nodes, _, _, _, hubs = pii.linked(text)
+    border = text.index("then")
+    meet = {}
+    for h, _, k, listens in hubs:
+        if listens:
+            meet.setdefault(h, set()).add(nodes[k][0] < border)
+    assert any(len(s) == 2 for s in meet.values()) == alike
+
+
+def test_a_hub_of_two_is_a_skip_edge(made_up_field):
+    import numpy as np
+
+    r = np.random.default_rng(0)
+    nodes = r.integers(0, crf.ROWS, (4, 8))
+    chain = np.array([[0, 1], [2, 3]])
+    a = made_up_field.marginals(nodes, chain, np.array([[1, 3]]), settled=1e-9)
+    b = made_up_field.marginals(nodes, chain, np.zeros((0, 2), int), settled=1e-9, hubs=[(0, 0, 1, 1), (0, 1, 3, 1)])
+    assert np.abs(a - b).max() < 1e-6
