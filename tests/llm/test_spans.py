@@ -250,3 +250,16 @@ def test_a_hub_of_two_is_a_skip_edge(made_up_field):
     a = made_up_field.marginals(nodes, chain, np.array([[1, 3]]), settled=1e-9)
     b = made_up_field.marginals(nodes, chain, np.zeros((0, 2), int), settled=1e-9, hubs=[(0, 0, 1, 1), (0, 1, 3, 1)])
     assert np.abs(a - b).max() < 1e-6
+
+
+def test_secrets_known_by_what_is_around_them():
+    model = crf.Chain.fit(list(secret_scan.made_up_runs()), 3)
+    for line, secret in (
+        ("pwd = hunterTwoHunter", "hunterTwoHunter"),
+        ("Bearer correct-horse-battery-staple", "correct-horse-battery-staple"),
+        ("passphrase: correct horse battery staple", "correct horse battery staple"),
+    ):
+        text = f"some text here\n{line}\nand more of the text"
+        assert [text[a:b] for a, b in secret_scan.method_spans(text, model)] == [secret]
+    for plain in ("a state-of-the-art key point", "the key idea of the private garden", "on the getUserName page"):
+        assert secret_scan.method_spans(plain, model) == []
