@@ -2,7 +2,23 @@
 
 from __future__ import annotations
 
-from . import bm25, licenses, main_text, minhash, mixing, pii, rules, secret_scan, suffixes, warc
+import public_tokenizers
+
+from . import (
+    bm25,
+    licenses,
+    main_text,
+    minhash,
+    mixing,
+    periodic_runs,
+    pii,
+    resampling,
+    rules,
+    secret_scan,
+    suffixes,
+    token_counts,
+    warc,
+)
 from .common import table
 
 
@@ -46,6 +62,18 @@ def op10_main_text(spark, d):
     return main_text.extract(table(spark, d, "pages"))
 
 
+def op11_resampling(spark, d):
+    return resampling.resample(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+def op12_token_counts(spark, d):
+    return token_counts.token_counts(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op13_periodic_runs(spark, d):
+    return periodic_runs.periodic_runs(table(spark, d, "documents"), periodic_runs.planted)
+
+
 def queries():
     return {k: v for k, v in globals().items() if k.startswith("op")}
 
