@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+from bisect import bisect_right
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -57,6 +58,24 @@ def global_index(df: DataFrame, *order: Column) -> DataFrame:
     )
 
 
+class Covered:
+    """The places that some spans cover; looked up in logarithmic time."""
+
+    def __init__(self, spans):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for a, b in sorted(spans):
+            if self.ends and a <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def meets(self, start: int, end: int) -> bool:
+        at = bisect_right(self.ends, start)
+        return at < len(self.ends) and self.starts[at] < end
+
+
 class Scratch:
     """Intermediate tables in the shared folder, dropped as soon as nothing later reads them."""
 

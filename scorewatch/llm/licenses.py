@@ -137,9 +137,11 @@ def phrase_places(words: list[str], phrases) -> list[tuple[int, str]]:
     joined = f" {' '.join(words)} "
     out = []
     for phrase, label in phrases:
-        target, at = f" {phrase} ", -1
+        target, at, counted, word = f" {phrase} ", -1, 0, 0
         while (at := joined.find(target, at + 1)) >= 0:
-            out.append((joined.count(" ", 0, at), label))
+            word += joined.count(" ", counted, at)  # blanks since the last place: each is counted once
+            counted = at
+            out.append((word, label))
     return out
 
 

@@ -29,13 +29,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_of
+from .common import Covered, text_of
 from .crf import SkipChain, feature_rows
 
 KINDS = ("email", "ip", "card", "phone")
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
-CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+# Possessive and anchored at the start of a run, so that no place is looked at again and again: the same matches.
+LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
+IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 TAGS = ("outside", *KINDS)
@@ -61,11 +63,24 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def emails(text: str) -> list[tuple[int, int]]:
+    """Leftmost non-overlapping addresses: every @, extended to both sides."""
+    out, low, at = [], 0, text.find("@")
+    while at >= 0:
+        begin = at
+        while begin > low and text[begin - 1] in LOCAL:
+            begin -= 1
+        m = DOMAIN.match(text, at + 1) if begin < at else None
+        if m is not None:
+            out.append((begin, m.end()))
+        low = m.end() if m is not None else at + 1
+        at = text.find("@", low)
+    return out
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind number, start, end), by kind, then start."""
-    out = []
-    if "@" in text:
-        out += [(0, *m.span()) for m in EMAIL.finditer(text)]
+    out = [(0, a, b) for a, b in emails(text)]
     if ANCHOR.search(text):
         for m in IP.finditer(text):
             if all(len(p.lstrip("0")) <= 3 and int(p[-3:]) <= 255 for p in m[0].split(".")):
@@ -118,7 +133,7 @@ def node_features(text: str, start: int, end: int) -> list[int]:
             16 <= len(digits) <= 19 and not letters and luhn(digits),
             f"{piece[:1] if piece[:1] in '+(' else 'x'}:{')' in piece}",
             cue.lastindex if cue else 0,
-            all(p.isdigit() and len(p) <= 3 and int(p) < 256 for p in piece.split(".")) and piece.count(".") == 3,
+            piece.count(".") == 3 and all(p.isascii() and p.isdigit() and len(p) <= 3 and int(p) < 256 for p in piece.split(".")),
         )
     )
 
@@ -205,7 +220,8 @@ def graph(text: str):
 def tagged_graph(text: str):
     nodes, rows, chain, skip = graph(text)
     spans = base_spans(text)
-    tags = [next((k + 1 for k, x, y in spans if a < y and b > x), 0) for a, b in nodes]
+    kinds = [Covered((x, y) for n, x, y in spans if n == k) for k in range(len(KINDS))]
+    tags = [next((k + 1 for k, c in enumerate(kinds) if c.meets(a, b)), 0) for a, b in nodes]
     return rows, tags, chain, skip
 
 
@@ -322,7 +338,8 @@ def spans_of(texts: list[str], model: SkipChain):
     """Per text (base spans, added spans), each (kind number, start, end) by kind, then start."""
     for text, labelled in zip(texts, method_labels(texts, model)):
         base = base_spans(text)
-        yield base, sorted(s for s in labelled if not any(s[1] < y and s[2] > x for _, x, y in base))
+        known = Covered((a, b) for _, a, b in base)
+        yield base, sorted(s for s in labelled if not known.meets(s[1], s[2]))
 
 
 def joined(base, added=()) -> str:
