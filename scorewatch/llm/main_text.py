@@ -2,7 +2,8 @@
 
 Markup is stripped to lines (the page's text blocks, in page order). A line's weight is the length of its text outside
 links, and 0 in boilerplate: menus, headers, footers, sidebars, notices, adverts, forms, comments, by element, class, role or id of a block. An article element is
-a weight: a line inside one counts MARKED times, its links too. Weights are summed over sliding windows of lines that do
+a weight: a line inside one counts MARKED times, its links too; a main element is one unless the articles inside it have
+more text than the rest of it, then only its h1 titles stay with them. Weights are summed over sliding windows of lines that do
 not cross an article's border; a stretch runs from where the sums leave 0 to its dive, where they fall back, and surges
 where they reach SURGE. The stretch with the most weight, surging ones first, names the main container: the articles, if
 it lies in one, else the innermost element around its lines. Every stretch of that container is kept; where the container
@@ -10,8 +11,9 @@ is the whole body, every one that surges. Lines without weight are kept inside a
 smaller than the body, unless WINDOW or more follow each other: those are link lists.
 
 Defined cases: a null or empty page gives an empty text; a page without any weighted line too; unclosed or stray tags
-never fail; omitted end tags are implied; character references are decoded once; very long pages are parsed whole in one
-linear scan; repeated rows and null ids are rows of their own; an empty table gives no rows. Other columns are ignored.
+never fail; omitted end tags are implied; character references are decoded once; very long pages are parsed whole in time
+that grows with their length (once a quoted attribute runs to the end of the page, later ones are followed over QUOTED
+characters only); repeated rows and null ids are rows of their own; an empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,11 +32,13 @@ SURGE = 80
 # Weight of a character inside an article element.
 MARKED = 10
 
-TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[a-zA-Z/!?][^>]*+\Z|[^<]++|<""",
-    re.S,
-)
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+QUOTING = re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+""")
+OTHER = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<[a-zA-Z/!?][^>]*+\Z|[^<]++|<", re.S)
+# Characters of a tag within which quotes are followed, after the quotes of another tag have run to the end of the page.
+QUOTED = 256
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+FOREIGN = ("svg", "math")  # a slash at the end of their start tag closes them
 RAW = ("script", "style", "noscript", "template", "textarea", "svg", "iframe", "object", "math", "canvas", "title")
 DROPPED = {"head", "nav", "footer", "aside", "form", "button", "select", "dialog", "menu", "fieldset", "header", "audio", "video"}
 VOID = {"br", "hr", "img", "input", "meta", "link", "wbr", "source", "track", "area", "base", "col", "embed", "param"}
@@ -48,11 +52,24 @@ BOILERPLATE = {
     "notice", "popup", "promo", "promoted", "related", "share", "sharing", "sidebar", "social", "sponsor", "sponsored",
     "subscribe", "toolbar", "widget", "contentinfo", "complementary", "search", "alert", "login", "signup", "reply", "replies",
 }
-# With words of BOILERPLATE only, these still make a clear name: related-posts, comments-area, left-sidebar.
+# Words of BOILERPLATE that have no other meaning: they make a clear name beside any word.
+CLEAR = {
+    "advert", "adverts", "advertisement", "advertisements", "breadcrumb", "breadcrumbs", "comment", "comments", "cookie",
+    "cookies", "disqus", "footer", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "popup", "promo",
+    "promoted", "sidebar", "sponsor", "sponsored", "subscribe", "toolbar", "widget", "widgets",
+}
+BOILERPLATE |= CLEAR
+# The others make a clear name with words of BOILERPLATE and these: related-posts, left-sidebar, ad-slot, social-media-links.
 BESIDE = {
-    "area", "bar", "block", "bottom", "box", "button", "buttons", "container", "icons", "inner", "left", "links", "list", "outer",
-    "page", "posts", "right", "site", "top", "wrap", "wrapper",
+    "area", "articles", "bar", "block", "bottom", "box", "button", "buttons", "container", "content", "entries", "field", "form",
+    "global", "icons", "inner", "input", "items", "leaderboard", "left", "link", "links", "list", "media", "news", "outer", "page",
+    "pages", "placement", "posts", "products", "reading", "right", "section", "site", "slot", "space", "stories", "topics", "top",
+    "unit", "videos", "wrap", "wrapper", "zone",
 }
+# A header is boilerplate inside an article only where it is the site's.
+SITE = {"site", "global"}
+# What a name says of its block's surroundings or state (has-sidebar, comments-open) does not name the block.
+STATE = {"no", "has", "with", "without", "is", "open", "closed", "enabled", "disabled", "none"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 ARTICLE = {"article", "main"}
@@ -71,11 +88,15 @@ IMPLIED = {t: {"p"} for t in ENDS_P} | {
 
 def _boilerplate_token(token: str, inside: bool) -> bool:
     words = {w.lower() for w in WORDS.findall(token)}
+    if words & STATE:
+        return False
     if not inside:  # any word will do; an entry's or article's header is its title
         return bool(words & BOILERPLATE) and not (
             words & BOILERPLATE == {"header"} and words & {"entry", "post", "article", "content", "section", "title"}
         )
-    return bool(words & BOILERPLATE) and words <= BOILERPLATE | BESIDE and "header" not in words
+    if words & CLEAR:
+        return True
+    return bool(words & BOILERPLATE) and words <= BOILERPLATE | BESIDE and ("header" not in words or bool(words & SITE))
 
 
 def _named_boilerplate(tag: str, attributes: str, inside: bool) -> bool:
@@ -104,6 +125,7 @@ class _Tree:
         self.parents: list[int | None] = []
         self.ends: list[int] = []  # first number after the element
         self.where: dict[str, list[int]] = {}  # tag -> depths at which it is open
+        self.blocks: list[int] = []  # depths of the open elements that are not inline
         self.articles: list[int] = []  # depths of the open articles
         self.dropped: int | None = None  # depth of the dropped element
 
@@ -114,6 +136,8 @@ class _Tree:
         self.tags.append(tag)
         self.ends.append(0)
         self.where.setdefault(tag, []).append(depth)
+        if tag not in INLINE:
+            self.blocks.append(depth)
         if article:
             self.articles.append(depth)
         if dropped:
@@ -125,8 +149,9 @@ class _Tree:
             number = self.open.pop()
             self.where[self.tags[number]].pop()
             self.ends[number] = len(self.tags)
-        if self.articles and self.articles[-1] >= depth:
-            self.articles = [d for d in self.articles if d < depth]
+        for depths in (self.blocks, self.articles):
+            while depths and depths[-1] >= depth:
+                depths.pop()
         if self.dropped is not None and self.dropped >= depth:
             self.dropped = None
 
@@ -139,13 +164,28 @@ class _Tree:
     def imply(self, tag: str) -> None:
         """A start tag ends what it cannot be inside of."""
         ended = IMPLIED.get(tag)
-        while ended:
-            depth = len(self.open) - 1
-            while depth >= 0 and self.tags[self.open[depth]] in INLINE:
-                depth -= 1
-            if depth < 0 or self.tags[self.open[depth]] not in ended:
-                break
-            self.cut(depth)
+        while ended and self.blocks and self.tags[self.open[self.blocks[-1]]] in ended:
+            self.cut(self.blocks[-1])
+
+    def article(self) -> int | None:
+        """Number of the innermost open article."""
+        return self.open[self.articles[-1]] if self.articles else None
+
+
+def _token(page: str, at: int, reach: int | None):
+    """(whole token, tag name or None, whether it closes, attributes, place after it, reach) of the token at a place.
+
+    reach: None while quotes may be followed to the end of the page, else the number of characters they are followed.
+    """
+    m = TAG.match(page, at) if page[at] == "<" else None
+    if m is not None:
+        stop = QUOTING.match(page, m.end(), len(page) if reach is None else m.end() + reach).end()
+        if not page.startswith(">", stop):  # quotes that do not close: the tag ends at the first >
+            stop, reach = page.find(">", m.end()), QUOTED
+        if stop >= 0:
+            return page[at : stop + 1], m[2].lower(), bool(m[1]), page[m.end() : stop], stop + 1, reach
+    m = OTHER.match(page, at)
+    return m[0], None, False, "", m.end(), reach
 
 
 def _lines(page: str):
@@ -161,18 +201,13 @@ def _lines(page: str):
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                inside = bool(tree.articles)
-                heavy = MARKED * (weight + linked) if inside else weight
-                out.append((text, heavy, inside, tree.open[-1] if tree.open else None))
+                out.append((text, weight, linked, tree.article(), tree.open[-1] if tree.open else None))
             parts, weight, linked = [], 0, 0
 
-    at, end, folded = 0, len(page), None
+    at, end, folded, reach = 0, len(page), None, None
     while at < end:
-        m = TOKEN.match(page, at)
-        at = m.end()
-        tag = m[2] or m[5]
+        piece, tag, closing, attributes, at, reach = _token(page, at, reach)
         if tag is None:
-            piece = m[0]
             if piece[0] != "<" or piece == "<":  # else a comment, a declaration or a tag cut off by the end
                 if tree.dropped is None:
                     text = html.unescape(piece)
@@ -182,14 +217,15 @@ def _lines(page: str):
                     else:
                         weight += len(text.strip())
             continue
-        tag, closing, attributes = tag.lower(), bool(m[1] or m[4]), m[3] or m[6] or ""
-        if not closing and tag in RAW:
+        if not closing and tag in RAW and not (tag in FOREIGN and attributes.endswith("/")):
             folded = page.lower() if folded is None else folded
             if len(folded) != end:  # a letter whose lower case is longer: search as written
                 folded = page
             close = folded.find(f"</{tag}", at)
             at = end if close < 0 else (page.find(">", close) + 1 or end)
             continue
+        if tag in FOREIGN and tree.dropped is None:
+            continue
         if tree.dropped is not None:
             if closing:
                 tree.end(tag)
@@ -218,14 +254,34 @@ def _lines(page: str):
         elif (tag in DROPPED and not (tag == "header" and tree.articles)) or (
             tag not in ("html", "body") and attributes and _named_boilerplate(tag, attributes, bool(tree.articles))
         ):
-            out.append(("", 0, bool(tree.articles), tree.open[-1] if tree.open else None))
+            out.append(("", 0, 0, tree.article(), tree.open[-1] if tree.open else None))
             if not attributes.rstrip().endswith("/"):
                 tree.push(tag, dropped=True)
         else:
             tree.push(tag)
     flush()
     tree.cut(0)
-    return out, tree
+    return _marked(out, tree), tree
+
+
+def _marked(lines, tree: _Tree):
+    """Lines as (text, weight, in article, innermost block)."""
+    main_of: list[int | None] = []  # per element the main element around it, itself included
+    in_article: list[bool] = []
+    for n, (tag, parent) in enumerate(zip(tree.tags, tree.parents)):
+        main_of.append(n if tag == "main" else None if parent is None else main_of[parent])
+        in_article.append(parent is not None and (in_article[parent] or tree.tags[parent] == "article"))
+    balance = dict.fromkeys(main_of, 0)  # text of a main element's articles less the rest of its text
+    for _, weight, linked, n, _ in lines:
+        if n is not None:
+            balance[main_of[n]] = balance.get(main_of[n], 0) + (weight + linked) * (-1 if tree.tags[n] == "main" else 1)
+    out = []
+    for text, weight, linked, n, block in lines:
+        inside = n is not None and (
+            tree.tags[n] != "main" or in_article[n] or balance[n] <= 0 or (block is not None and tree.tags[block] == "h1")
+        )
+        out.append((text, MARKED * (weight + linked) if inside else weight, inside, block))
+    return out
 
 
 def _stretches(lines) -> list[tuple[bool, int, int, int]]:

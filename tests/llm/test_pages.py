@@ -1,4 +1,5 @@
 import hashlib
+import re
 
 import pytest
 from helpers import rows, table
@@ -137,3 +138,46 @@ def test_article_is_a_weight():
 )
 def test_names_and_omitted_end_tags(inside, want):
     assert main_text.main_text(f"<body><article>{inside}</article><p>after</p></body>") == want
+
+
+BESIDE = ["comments-section", "user-comments", "post-comments", "reader-comments", "comment-respond", "comment-thread",
+          "comment-body", "related-articles", "related-stories", "ad-slot", "ad-unit", "main-nav", "post-navigation",
+          "footer-widgets", "search-form", "site-header", "social-media-links", "sidebarRight", "newsletter-signup"]
+KEPT = ["entry-header", "related-work", "ad-hoc", "social-impact", "search-results-of-a-study", "has-sidebar", "comments-open", "notice-of-motion"]
+
+
+@pytest.mark.parametrize("around", ["<main>{}</main>", "<article>{}</article>", "<main><article>{}</article></main>"])
+def test_named_blocks_inside_the_text(around):
+    for name in BESIDE:
+        page = around.format(f'<h1>T</h1><p>one</p><div class="{name}"><p>words of others, long enough to be text</p></div><p>two</p>')
+        assert main_text.main_text(page) == "T\none\ntwo", name
+    page = around.format('<p>one</p><div id="disqus_thread"><p>words</p></div><p>two</p>')
+    assert main_text.main_text(page) == "one\ntwo"
+    for name in KEPT:
+        page = around.format(f'<p>one</p><div class="{name}"><p>of the text</p></div><p>two</p>')
+        assert main_text.main_text(page) == "one\nof the text\ntwo", name
+
+
+@pytest.mark.parametrize("drawing", ['<svg class="i"/>', "<svg><path d='x'/>x</svg>", "<math/>", "<svg>x<p>y</svg >", '<svg a="/>"/>'])
+def test_drawings(drawing):
+    page = f"<article><p>first paragraph</p>{drawing}<p>second one</p><p>third</p></article>"
+    assert main_text.main_text(page) == "first paragraph\nsecond one\nthird"
+
+
+def test_article_inside_main():
+    long = "words of the article " * 10
+    page = f"<main><h1>Title</h1><p>by someone</p><article><p>{long}</p></article><div><p>more to read here</p></div></main>"
+    assert main_text.main_text(page) == f"Title\n{long.strip()}"
+    page = f"<main><h1>Title</h1><p>{long}</p><div><article><p>a short reply</p></article></div></main>"
+    assert main_text.main_text(page) == f"Title\n{long.strip()}\na short reply"
+
+
+def test_generated_pages_with_named_blocks():
+    """The articles of the test pages inside a main element, between blocks of every listed name."""
+    for i, p in enumerate(table("pages", "/root/testdata/sf0.01")):
+        want = main_text.main_text(p["html"])
+        name = BESIDE[i % len(BESIDE)]
+        other = f'<div class="x {name}"><p>Words of a block that is no part of the text, but long enough to look like it.</p></div>'
+        page = p["html"].replace("<article>", f"<main>{other}<article>").replace("</article>", f"{other}</article>{other}</main>")
+        assert main_text.main_text(page) == want, name
+        assert main_text.main_text(re.sub("</?article>", "", page)) == want, name
