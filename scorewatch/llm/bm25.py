@@ -6,17 +6,19 @@ in blocks of `ITEM_BLOCK`; each word knows, per block, its largest share there.
 as long as the longest item lies inside one of them.
 
 A search goes through the passages of a batch of documents at once. Essential words first: an item's rarest words, such
-that the others together stay below `REST`; the largest essential shares of a passage's words in a block, plus what the
+that the others together stay below `REST` and below the threshold, so that no item reaches it without one of them; the largest essential shares of a passage's words in a block, plus what the
 other words can add at most, bound every score in that block, and blocks that cannot reach the threshold are skipped.
 In the blocks left all items are scored in full. Items at or above the threshold are verified on the document: the share
-of the item's five-word shingles found there, those of its question (all sentences but the last) and of its answer (the
-last sentence, with the shingles that lead into it).
+of the item's five-word shingles found there must reach `overlap`, and where an item has a question (all sentences but the
+last) and an answer (the last sentence, with the shingles that lead into it) each must have `part` of its own found there:
+a question with another answer is no leak. An item or question under five words is one run of its own length, looked for
+among all runs of so many words of the document.
 
 Statistics (document frequencies, lengths) cover all items. The index is built in parts of at most `PART_WORDS` words of
 test items, and every part is searched with all documents, so its memory does not grow with the number of items.
 
-Defined cases: null and empty texts match nothing; an item or a text under five words is one shingle; items without words
-are no items; equal item rows count once; items with equal texts are found each; repeated document rows are found each;
+Defined cases: null and empty texts match nothing; a short item is found wherever its words stand in a row; items without
+words are no items; a threshold of 0 or less is refused; equal item rows count once; items with equal texts are found each; repeated document rows are found each;
 empty tables give no rows. Of the documents doc_id and text are read, of the items item_id and text.
 """
 
@@ -38,11 +40,14 @@ from .hashing import shingles, texts, word_hashes
 K1, B = 1.2, 0.75
 # Share of an item's own score at which it is retrieved, and of its shingles at which it counts as leaked.
 SCORE, OVERLAP = 0.6, 0.75
+# Share of its question's, and of its answer's, shingles that must be there besides.
+PART = 0.5
 REST = 0.3
 ITEM_BLOCK = 16
 PART_WORDS = 2_000_000
 # Words searched at once by a task.
 BATCH_WORDS = 1 << 20
+SHINGLE = 5
 SENTENCE = re.compile(r"(?<=[.!?])\s+")
 
 
@@ -61,12 +66,17 @@ class Index:
     n_blocks: int
     item_ids: list
     longest: int
-    questions: list  # shingle hashes per item
+    questions: list  # (shingle hashes, words per shingle) per item
     answers: list
 
     @classmethod
-    def build(cls, items: list[tuple[object, str]], df: dict[int, int], n_items: int, mean_length: float) -> Index:
-        """items: (item_id, text); df: items that hold a word, by hash, over all items."""
+    def build(
+        cls, items: list[tuple[object, str]], df: dict[int, int], n_items: int, mean_length: float, most_rest: float = REST
+    ) -> Index:
+        """items: (item_id, text); df: items that hold a word, by hash, over all items.
+
+        most_rest: what the words that are not essential may add up to; at most the threshold of the searches.
+        """
         rows, rest, questions, answers, longest = [], [], [], [], 1
         for i, (_, text) in enumerate(items):
             hashes = word_hashes(np.frombuffer(text.encode(), np.uint8))
@@ -81,7 +91,7 @@ class Index:
             share = weight / weight.sum()
             order = np.argsort(-share, kind="stable")
             left = 1 - np.cumsum(share[order])
-            needed = int(np.argmax(left < REST)) + 1
+            needed = int(np.argmax(left < most_rest)) + 1
             essential = np.zeros(len(words), bool)
             essential[order[:needed]] = True
             rest.append(share[~essential].sum())
@@ -151,12 +161,13 @@ def _ranges(starts: np.ndarray, rows: np.ndarray):
 
 
 def question_and_answer(text: str):
-    """Shingle hashes of an item: those of its question, and those that hold a word of its answer."""
+    """(shingle hashes, words per shingle) of an item's question, and of the shingles that hold a word of its answer."""
     parts = SENTENCE.split(text.strip())
     hashes = word_hashes(np.frombuffer(text.encode(), np.uint8))
     before = len(word_hashes(np.frombuffer(" ".join(parts[:-1]).encode(), np.uint8)))
     question = shingles(hashes[:before]) if before else np.zeros(0, np.uint64)
-    return question, np.setdiff1d(shingles(hashes), question, assume_unique=True)
+    answer = np.setdiff1d(shingles(hashes), question, assume_unique=True)
+    return (question, min(SHINGLE, before)), (answer, min(SHINGLE, len(hashes)))
 
 
 def passages_of(words: np.ndarray, longest: int):
@@ -175,7 +186,7 @@ def passages_of(words: np.ndarray, longest: int):
     return passage, np.repeat(words[at], size), n
 
 
-def _found(batch_texts, index: Index, score: float, overlap: float):
+def _found(batch_texts, index: Index, score: float, overlap: float, part: float):
     """Rows (text number, item number, score, overlap, question overlap, answer overlap, passages) of leaked items."""
     held, pending, n_pending = [], 0, 0
 
@@ -198,16 +209,18 @@ def _found(batch_texts, index: Index, score: float, overlap: float):
             seen = best.setdefault((o, i), [0.0, 0])
             seen[0] = max(seen[0], v)
             seen[1] += 1
-        sets: dict[int, np.ndarray] = {}
+        sets: dict[tuple[int, int], np.ndarray] = {}
         for (o, i), (v, times) in sorted(best.items()):
             number, hashes, _ = held[o]
-            if o not in sets:
-                sets[o] = shingles(hashes)
-            q, a = index.questions[i], index.answers[i]
-            in_q, in_a = (int(np.isin(x, sets[o]).sum()) for x in (q, a))
-            share = (in_q + in_a) / max(1, len(q) + len(a))
-            if share >= overlap:
-                yield number, i, v, share, in_q / len(q) if len(q) else None, in_a / len(a) if len(a) else None, times
+            there, total, shares = 0, 0, []
+            for names, size in (index.questions[i], index.answers[i]):
+                if len(names) and (o, size) not in sets:
+                    sets[o, size] = shingles(hashes, size)
+                n = int(np.isin(names, sets[o, size]).sum()) if len(names) else 0
+                there, total = there + n, total + len(names)
+                shares.append(n / len(names) if len(names) else None)
+            if there >= overlap * total and all(s is None or s >= part for s in shares):
+                yield number, i, v, there / total, *shares, times
         held, pending, n_pending = [], 0, n_pending + 1
 
     for number, text in enumerate(batch_texts):
@@ -224,8 +237,10 @@ def _found(batch_texts, index: Index, score: float, overlap: float):
 FOUND = "doc_id long, item_id long, score double, overlap double, question_overlap double, answer_overlap double, n_passages long"
 
 
-def indexes(items: DataFrame, part_words: int = PART_WORDS):
-    """The index in parts, one at a time."""
+def indexes(items: DataFrame, part_words: int = PART_WORDS, score: float = SCORE):
+    """The index in parts, one at a time, for searches at a threshold of `score` or more."""
+    if score <= 0:
+        raise ValueError("the threshold must be above 0")
     rows = items.select(F.col("item_id").cast("long").alias("item_id"), text_of().alias("text")).distinct()
     words = F.regexp_extract_all(lower_ascii(F.col("text")), F.lit(f"({WORD})"), F.lit(1))
     rows = stored(rows.withColumn("n_words", F.size(words).cast("long")).where("n_words > 0"), "items")
@@ -258,22 +273,34 @@ def indexes(items: DataFrame, part_words: int = PART_WORDS):
         found = rows.where(F.col("part") == p).select("item_id", "text").orderBy("item_id", "text").collect()
         if found:
             with np.errstate(over="ignore"):
-                yield Index.build([(r[0], r[1]) for r in found], df, n_items, n_words / n_items)
+                yield Index.build([(r[0], r[1]) for r in found], df, n_items, n_words / n_items, min(REST, score))
+
+
+def _shared(docs: DataFrame, index: Index):
+    """The index as plain arrays, bounded by `part_words`: a broadcast is read where this package need not be."""
+    return docs.sparkSession.sparkContext.broadcast(vars(index))
 
 
-def leaks(docs: DataFrame, items: DataFrame, score: float = SCORE, overlap: float = OVERLAP, part_words: int = PART_WORDS):
-    """One row per document and item that it holds: retrieved at `score`, verified at `overlap`. No shuffle."""
+def leaks(
+    docs: DataFrame,
+    items: DataFrame,
+    score: float = SCORE,
+    overlap: float = OVERLAP,
+    part_words: int = PART_WORDS,
+    part: float = PART,
+):
+    """One row per document and item that it holds: retrieved at `score`, verified at `overlap` and `part`. No shuffle."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = None
-    for index in indexes(items, part_words):
-        shared = spark.sparkContext.broadcast(index)  # bounded by `part_words`
+    for index in indexes(items, part_words, score):
+        shared = _shared(docs, index)
 
         def scan(batches, shared=shared):
-            index = shared.value
+            index = Index(**shared.value)
             with np.errstate(over="ignore"):
                 for batch in batches:
-                    found = list(_found(texts(batch.column(1)), index, score, overlap))
+                    found = list(_found(texts(batch.column(1)), index, score, overlap, part))
                     if found:
                         ids = batch.column(0).take(pa.array([f[0] for f in found]))
                         items = pa.array([index.item_ids[f[1]] for f in found], pa.int64())
@@ -282,25 +309,26 @@ def leaks(docs: DataFrame, items: DataFrame, score: float = SCORE, overlap: floa
                         names = [c.split()[0] for c in FOUND.split(", ")]
                         yield pa.RecordBatch.from_arrays([ids, items, *rest, times], names)
 
-        part = rows.mapInArrow(scan, FOUND)
-        out = part if out is None else out.unionByName(part)
+        more = rows.mapInArrow(scan, FOUND)
+        out = more if out is None else out.unionByName(more)
     return spark.createDataFrame([], FOUND) if out is None else out
 
 
-def _leaked(shared, score: float, overlap: float):
+def _leaked(shared, score: float, overlap: float, part: float):
     @F.pandas_udf(T.BooleanType())
     def leaked(column: pd.Series) -> pd.Series:
         with np.errstate(over="ignore"):
             views = (np.frombuffer((t if isinstance(t, str) else "").encode(), np.uint8) for t in column)
-            hit = {f[0] for f in _found(views, shared.value, score, overlap)}
+            hit = {f[0] for f in _found(views, Index(**shared.value), score, overlap, part)}
         return pd.Series([i in hit for i in range(len(column))], dtype=bool)
 
     return leaked
 
 
-def decontaminated(docs: DataFrame, items: DataFrame, score: float = SCORE, overlap: float = OVERLAP) -> DataFrame:
+def decontaminated(
+    docs: DataFrame, items: DataFrame, score: float = SCORE, overlap: float = OVERLAP, part: float = PART
+) -> DataFrame:
     """The documents that hold no test item, in their own columns. A filter: no shuffle, no join."""
-    for index in indexes(items):
-        leaked = _leaked(docs.sparkSession.sparkContext.broadcast(index), score, overlap)
-        docs = docs.where(~leaked("text"))
+    for index in indexes(items, score=score):
+        docs = docs.where(~_leaked(_shared(docs, index), score, overlap, part)("text"))
     return docs

@@ -83,3 +83,94 @@ def test_defined_cases(spark):
     assert bm25.leaks(df.limit(0), items).count() == 0 and bm25.leaks(df, items.limit(0)).count() == 0
     kept = bm25.decontaminated(df, items.where("item_id = 1"))
     assert kept.columns == df.columns and kept.count() == df.count() - 1
+
+
+def runs(words_, size):
+    return {tuple(words_[i : i + size]) for i in range(len(words_) - size + 1)}
+
+
+def test_short_items_and_parts_against_brute_force(spark):
+    """Items of one to eight words, in one part or two, whole, cut, or with another answer, inside longer texts."""
+    r = random.Random(8)
+    pick = lambda n: [r.choice("abcdefghijklmnopqrstuvwxyz") * 2 for _ in range(n)]
+    items, parts = [], []
+    for i in range(60):
+        q, a = pick(r.choice((0, 0, 1, 2, 3, 4, 5, 7))), pick(r.randint(1, 6))
+        text = " ".join([*q[:-1], q[-1] + "?", *a] if q else a)
+        items.append((i, text))
+        parts.append((words(text), len(q)))
+    docs = [(0, "alpha"), (1, None)]
+    for i in range(400):
+        middle, n = parts[r.randrange(60)]
+        middle = r.choice((middle, middle[1:], middle[:n], middle[:n] + pick(3), pick(4) + middle[n:], middle[:-1]))
+        docs.append((i + 2, " ".join(pick(r.randint(0, 30)) + middle + pick(r.randint(0, 30)))))
+    want = set()
+    for d, text in docs:
+        w = words(text)
+        for (i, _), (item, n) in zip(items, parts):
+            question = runs(item[:n], min(5, n)) if n else set()
+            answer = runs(item, min(5, len(item))) - question
+            found = [len(p & runs(w, len(next(iter(p))))) if p else 0 for p in (question, answer)]
+            shares = [f / len(p) for f, p in zip(found, (question, answer)) if p]
+            if sum(found) >= 0.75 * (len(question) + len(answer)) and min(shares) >= 0.5:
+                want.add((d, i))
+    df, tests = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in rows(bm25.leaks(df, tests))}
+    assert got == want and len(want) > 300
+    kept = {r["doc_id"] for r in rows(bm25.decontaminated(df, tests))}
+    assert kept == {d for d, _ in docs} - {d for d, _ in want}
+
+
+def test_a_question_with_another_answer_is_no_leak(spark):
+    items = spark.createDataFrame(
+        [(1, "which of the seven rivers of the old land is the longest one of all? the blue river"), (2, "alpha beta gamma"),
+         (3, "what is this? delta epsilon"), (4, "two words. yes it is")],
+        "item_id long, text string",
+    )
+    docs = spark.createDataFrame(
+        [(1, "x which of the seven rivers of the old land is the longest one of all? nobody knows it y"),
+         (2, "x which of the seven rivers of the old land is the longest one of all? the blue river y"),
+         (3, "so alpha beta gamma is it"), (4, "and what is this? delta epsilon or so"), (5, "here are two words. yes it is so")],
+        "doc_id long, text string",
+    )
+    assert {(r["doc_id"], r["item_id"]) for r in rows(bm25.leaks(docs, items))} == {(2, 1), (3, 2), (4, 3), (5, 4)}
+
+
+def test_low_thresholds_lose_nothing(spark):
+    """Below the share that words which are not essential may add: every score of plain BM25 at the threshold is found."""
+    r = random.Random(6)
+    texts = [" ".join(f"w{min(39, int(r.expovariate(0.1)))}" for _ in range(r.randint(3, 12))) for _ in range(30)]
+    sets = [set(t.split()) for t in texts]
+    h = lambda t: bm25.word_hashes(np.frombuffer(t.encode(), np.uint8))
+    with np.errstate(over="ignore"):
+        df = {int(h(f"w{k}")[0].view(np.int64)): sum(f"w{k}" in s for s in sets) for k in range(40)}
+        mean = sum(len(t.split()) for t in texts) / 30
+        full = bm25.Index.build(list(enumerate(texts)), df, 30, mean, 1e-12)
+        index = bm25.Index.build(list(enumerate(texts)), df, 30, mean, min(bm25.REST, 0.1))
+        for k in range(40):
+            word = index.numbered(h(f"w{k}"))
+            word = word[word >= 0]
+            found = [x.search(np.zeros(len(word), int), word, 1, 0.1) for x in (index, full)]
+            assert found[0][1].tolist() == found[1][1].tolist()
+    with pytest.raises(ValueError):
+        next(bm25.indexes(spark.createDataFrame([(1, "a")], "item_id long, text string"), score=0.0))
+
+
+def test_workers_need_not_have_the_package():
+    """The driver alone finds the package: broadcasts and functions bring all that tasks use."""
+    import pathlib
+    import subprocess
+    import sys
+
+    root = str(pathlib.Path(__file__).resolve().parents[2])
+    code = f"""
+import sys; sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+from scorewatch.llm import bm25
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.driver.host", "127.0.0.1").getOrCreate()
+docs = spark.createDataFrame([(1, "x one two three four five six y")], "doc_id long, text string")
+items = spark.createDataFrame([(7, "one two three four five six")], "item_id long, text string")
+print("FOUND", bm25.leaks(docs, items).collect()[0]["item_id"], bm25.decontaminated(docs, items).count())
+"""
+    said = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd="/", timeout=300)
+    assert "FOUND 7 0" in said.stdout, said.stderr[-2000:]
