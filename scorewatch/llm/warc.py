@@ -3,7 +3,10 @@
 Every page becomes a transaction of three records: request, response (or revisit) and metadata. Requests and metadata
 name the record they belong to in WARC-Concurrent-To; revisits name the record with the payload in WARC-Refers-To.
 Spark's text writer lays the records out with the record terminator as line separator; archives are read as bytes and
-parsed by Content-Length, so payloads may hold anything, record headers included.
+parsed by Content-Length, so payloads may hold anything, record headers included. Payloads and HTTP headers are read back
+with their records: size and digest are taken from the payload that was read, a capture holds its response with payload
+and headers, and a revisit is resolved to the payload of the record it refers to. A query that asks for no payload does
+not carry any: they stay in the table of records.
 
 Defined cases: a null page has an empty payload; a null address leaves out WARC-Target-URI; line breaks in an address
 are percent-encoded; pages under `min_revisit` bytes are always responses; of equal payloads the largest page_id is the
@@ -32,8 +35,11 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 RECORD = (
     "kind string, record_id string, concurrent_to string, refers_to string, target_uri string, block_bytes long,"
-    " payload_bytes long, payload_digest string, fields map<string,string>"
+    " payload_bytes long, payload_digest string, fields map<string,string>, first_line string, http map<string,string>,"
+    " payload binary"
 )
+# Payload bytes that a reader hands on at once.
+HANDED_BYTES = 16 << 20
 
 
 def _record_id(*parts: Column) -> Column:
@@ -146,6 +152,13 @@ def _header(stream) -> dict[str, str]:
     return _fields(lines)
 
 
+def _http(block: bytes):
+    """(first line, headers, payload) of an HTTP message."""
+    head, _, payload = block.partition(b"\r\n\r\n")
+    first, *lines = head.split(b"\r\n")
+    return first.decode("utf-8"), _fields(lines), payload
+
+
 def records(content: bytes):
     """Records of one gzipped archive, streamed: only one block is held at a time."""
     stream = io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(content)), 1 << 20)
@@ -159,9 +172,10 @@ def records(content: bytes):
         block = stream.read(n)
         if len(block) != n:
             raise ValueError("archive ends inside a record")
-        kind, size, digest, fields = h["warc-type"], None, None, {}
+        kind, size, digest, fields, first, http, payload = h["warc-type"], None, None, {}, None, {}, None
+        if h.get("content-type", "").startswith("application/http"):
+            first, http, payload = _http(block)
         if kind == "response":
-            payload = memoryview(block)[block.index(b"\r\n\r\n") + 4 :]
             size, digest = len(payload), hashlib.sha1(payload).hexdigest()
             if h["warc-payload-digest"] != f"sha1:{digest}":
                 raise ValueError(f"payload of {h['warc-record-id']} does not match its digest")
@@ -179,18 +193,29 @@ def records(content: bytes):
             size,
             digest,
             fields,
+            first,
+            http,
+            payload if kind == "response" else None,
         )
 
 
 def _parsed(batches):
-    names = [c.split(" ")[0] for c in RECORD.replace(" map<string,string>", " map").split(", ")]
-    names = [n.strip() for n in names]
+    names = [c.strip().split(" ")[0] for c in RECORD.replace("<string,string>", "").split(",")]
+
+    def handed(rows):
+        return pd.DataFrame(rows, columns=names).astype({"payload_bytes": "Int64", "block_bytes": "Int64"})
+
     for batch in batches:
         for content in batch["content"]:
-            rows = list(records(content))
-            for at in range(0, len(rows), 20_000):
-                part = pd.DataFrame(rows[at : at + 20_000], columns=names)
-                yield part.astype({"payload_bytes": "Int64", "block_bytes": "Int64"})
+            rows, size = [], 0
+            for row in records(content):
+                rows.append(row)
+                size += 1024 + row[5]
+                if size >= HANDED_BYTES:
+                    yield handed(rows)
+                    rows, size = [], 0
+            if rows:
+                yield handed(rows)
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
@@ -201,36 +226,63 @@ def assemble(found: DataFrame) -> DataFrame:
     """One row per capture: kind, record_id, refers_to, refers_to_page and nested request, response, metadata.
 
     Requests and metadata are matched to their record through WARC-Concurrent-To and the address. A transaction lacking
-    one of them keeps a null there.
+    one of them keeps a null there. Only revisits are joined to the record they refer to.
     """
+    main = found.where(F.col("kind").isin("response", "revisit")).drop("concurrent_to", "fields")
     side = {}
-    for kind in ("request", "metadata"):
+    for kind, columns in (("request", ["block_bytes", "first_line", "http"]), ("metadata", ["block_bytes", "fields"])):
         one = found.where(F.col("kind") == kind).dropDuplicates(["record_id"])
         side[kind] = one.select(
             F.col("concurrent_to").alias(f"{kind}_of"),
             F.col("target_uri").alias(f"{kind}_uri"),
-            F.struct("record_id", "target_uri", "block_bytes", "fields").alias(kind),
+            *[F.col(c).alias(f"{kind}_{c}") for c in ("record_id", *columns)],
         )
-    main = found.where(F.col("kind").isin("response", "revisit")).select(
-        "kind",
-        "record_id",
-        "refers_to",
-        "target_uri",
-        F.struct("record_id", "target_uri", "block_bytes", "payload_bytes", "payload_digest").alias("response"),
-    )
-    for kind, rows in side.items():
+
+    def with_side(rows: DataFrame, kind: str) -> DataFrame:
         on = (F.col("record_id") == F.col(f"{kind}_of")) & F.col("target_uri").eqNullSafe(F.col(f"{kind}_uri"))
-        main = main.join(rows, on, "left").drop(f"{kind}_of", f"{kind}_uri")
-    captures = stored(main, "captures")
+        return rows.join(side[kind], on, "left").drop(f"{kind}_of")
+
     holders = stored(
-        captures.where("kind = 'response'")
-        .select(
-            F.col("record_id").alias("held_by"), F.col("metadata.fields")["page-id"].cast("long").alias("refers_to_page")
-        )
+        with_side(main.where("kind = 'response'").select("record_id", "target_uri"), "metadata")
+        .select(F.col("record_id").alias("held_by"), F.col("metadata_fields")["page-id"].cast("long").alias("refers_to_page"))
         .dropDuplicates(["held_by"]),
         "holders",
     )
-    return captures.join(holders, F.col("refers_to") == F.col("held_by"), "left").drop("held_by")
+    revisits = main.where("refers_to IS NOT NULL").join(holders, F.col("refers_to") == F.col("held_by"), "left")
+    rest = main.where("refers_to IS NULL").withColumn("refers_to_page", F.lit(None).cast("long"))
+    whole = with_side(with_side(revisits.drop("held_by").unionByName(rest), "request"), "metadata")
+
+    def nested(kind: str, *columns: str) -> Column:
+        own = [F.col(f"{kind}_{c}").alias(c) for c in ("record_id", "target_uri", *columns)]
+        return F.when(F.col(f"{kind}_record_id").isNotNull(), F.struct(*own)).alias(kind)
+
+    whole = whole.withColumnsRenamed({"request_uri": "request_target_uri", "metadata_uri": "metadata_target_uri"})
+    response = ["record_id", "target_uri", "block_bytes", "payload_bytes", "payload_digest", "first_line", "http", "payload"]
+    return whole.select(
+        "kind",
+        "record_id",
+        "refers_to",
+        "refers_to_page",
+        nested("request", "block_bytes", "first_line", "http"),
+        F.struct(*response).alias("response"),
+        nested("metadata", "block_bytes", "fields"),
+    )
+
+
+def resolved(captures: DataFrame) -> DataFrame:
+    """page_id, url, html of every capture; a revisit has the payload of the record that it refers to."""
+    url = F.regexp_replace(F.regexp_replace("response.target_uri", "%0D", "\r"), "%0A", "\n")
+    page = captures.select(
+        F.col("metadata.fields")["page-id"].cast("long").alias("page_id"), url.alias("url"), "refers_to", "response.payload"
+    )
+    held = captures.where("kind = 'response'").select(F.col("record_id").alias("held_by"), F.col("response.payload").alias("held"))
+    revisits = page.where("refers_to IS NOT NULL").join(
+        held.dropDuplicates(["held_by"]), F.col("refers_to") == F.col("held_by"), "left"
+    )
+    both = page.where("refers_to IS NULL").select("page_id", "url", "payload").unionAll(
+        revisits.select("page_id", "url", F.col("held").alias("payload"))
+    )
+    return both.select("page_id", "url", F.decode("payload", "UTF-8").alias("html"))
 
 
 def round_trip(pages: DataFrame) -> DataFrame:

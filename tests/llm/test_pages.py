@@ -87,6 +87,28 @@ def test_nested_captures(spark, tmp_path):
     assert (one["kind"], two["kind"]) == ("revisit", "response")
     assert one["refers_to"] == two["record_id"] and one["refers_to_page"] == 2
     assert one["request"]["target_uri"] == "http://a" and two["response"]["payload_bytes"] == 2000
+    assert bytes(two["response"]["payload"]) == b"x" * 2000 and one["response"]["payload"] is None
+    assert two["response"]["first_line"] == "HTTP/1.1 200 OK" and two["response"]["http"]["content-length"] == "2000"
+    assert one["request"]["first_line"] == "GET http://a HTTP/1.1" and one["response"]["http"]["content-type"].startswith("text/html")
+
+
+def test_pages_are_read_back(spark, tmp_path):
+    """Every page, revisits resolved, with the html that was written."""
+    tricky = "é\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\n\r\n\x00 " * 60
+    own = [(-1, "http://a/b c", tricky), (-2, None, tricky), (-3, "u", ""), (-4, "u", "x" * 3000), (-5, "u", "x" * 3000)]
+    data = own + [(p["page_id"], p["url"], p["html"]) for p in table("pages", "/root/testdata/sf0.001")]
+    pages = spark.createDataFrame(data, "page_id long, url string, html string")
+    warc.write_archives(pages, str(tmp_path / "w"))
+    got = warc.resolved(warc.assemble(warc.read_records(spark, str(tmp_path / "w"))))
+    assert sorted((tuple(r) for r in got.collect()), key=str) == sorted(data, key=str)
+
+
+def test_a_query_without_payloads_reads_none(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "http://a", "x" * 2000)], "page_id long, url string, html string")
+    warc.write_archives(pages, str(tmp_path / "w"))
+    found = warc.stored(warc.read_records(spark, str(tmp_path / "w")), "records")
+    plan = warc.assemble(found).select("kind", "response.payload_digest", "metadata.fields")._jdf.queryExecution().executedPlan()
+    assert "payload_digest:string" in plan.toString() and "payload:binary" not in plan.toString()
 
 
 def test_article_tags_taken_out():
