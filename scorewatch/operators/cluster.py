@@ -1,39 +1,162 @@
-"""Population-mix shift: k-means on the train window, share of both windows per cluster."""
+"""Population-mix shift: k-means on the train window of every review at once, share of both windows per cluster.
+
+Lloyd's iteration runs for all reviews (`group_cols`) and all starts together: one aggregate per step. Tasks assign their
+rows to the nearest centres batch by batch and send one partial sum per review, start and cluster; the sums of a step are
+the centres of the next. Reviews whose starts have all settled are no longer read.
+
+Starts are fixed by the data alone, so that any layout of the rows gives the same result and plain SQL can repeat the
+steps: start 0 cuts the train rows into k bands by the sum of their standardised features, start i by feature i, at the
+borders that cut a normal distribution into equal parts. The centres of the bands are the first centres.
+"""
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import sys
+from statistics import NormalDist
 
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Thresholds
 from ..functions.text import quote
+from ..session import BROADCAST_ROWS, discard, join_per_group, pin, stored
 from . import rank
 from .impute import median_imputed
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 K = 3
+# Starts tried: the sum of all features, then the features in order.
 SEEDS = range(10)
-PARALLEL_FITS = 5
-MAX_ITERATIONS = 300
-ROWS_PER_TASK = 50_000
-
-
-def standardised(df: DataFrame, features) -> DataFrame:
-    """Features scaled by the train window's mean and population deviation (constants are only centred)."""
-    train = df.where("win = 'train'")
-    # one row of 2 * features numbers
-    moments = train.agg(
-        *[F.expr(f"avg(`{f}`) AS `{f}|m`") for f in features], *[F.expr(f"stddev_pop(`{f}`) AS `{f}|s`") for f in features]
-    ).first()
-    scaled = [
-        f"(`{f}` - {float(moments[f'{f}|m'] or 0.0)!r}D) / {float(moments[f'{f}|s'] or 0.0) or 1.0!r}D AS `{f}`"
+MAX_ITERATIONS = 60
+# A start has settled when no centre moves further than this, in standard deviations.
+SETTLED = 1e-9
+# Centres of the reviews iterated together hold at most so many numbers; further reviews follow.
+NUMBERS = 2_000_000
+# Cells of a batch that are looked at together.
+CELLS = 1 << 20
+
+
+def borders(k: int) -> list[float]:
+    """Where a standard normal distribution falls into k equal parts."""
+    return [NormalDist().inv_cdf(i / k) for i in range(1, k)]
+
+
+def standardised(df: DataFrame, features, group_cols=()) -> tuple[DataFrame, DataFrame]:
+    """Rows (review_no, win, features) scaled by the train window's mean and population deviation, and the numbered reviews.
+
+    Constant features are only centred. `review_no` is dense from 0.
+    """
+    train = [
+        f"{agg}(`{f}`) FILTER (WHERE win = 'train') AS `{f}|{name}`"
         for f in features
+        for agg, name in (("avg", "m"), ("stddev_pop", "s"))
     ]
-    return df.selectExpr("win", *scaled)
+    keys = list(group_cols)
+    moments = df.groupBy(*keys).agg(*[F.expr(t) for t in train])  # a row per review
+    order = ", ".join(f"`{g}`" for g in keys) or "1"
+    reviews = pin(moments.selectExpr("*", f"int(row_number() OVER (ORDER BY {order}) - 1) AS review_no"))
+    few = not keys or reviews.count() <= BROADCAST_ROWS
+    joined = join_per_group(df, reviews, keys, "inner", broadcast=few)
+    scaled = [
+        f"(`{f}` - `{f}|m`) / CASE WHEN `{f}|s` > 0 THEN `{f}|s` ELSE 1.0D END AS `{f}`" for f in features
+    ]
+    return joined.selectExpr("review_no", "win", *scaled), reviews.select(*keys, "review_no")
+
+
+def _nearest(x: np.ndarray, centres: np.ndarray):
+    """Cluster and squared distance of each row for each start (rows x starts); a missing centre is nan and never nearest."""
+    best = np.full((len(x), len(centres)), np.inf)
+    which = np.zeros(best.shape, int)
+    for s, of in enumerate(centres):
+        for c, centre in enumerate(of):
+            d = ((x - centre) ** 2).sum(1)
+            nearer = d < best[:, s]  # false for nan
+            best[nearer, s] = d[nearer]
+            which[nearer, s] = c
+    return which, best
+
+
+def _bands(x: np.ndarray, seeds, k: int) -> np.ndarray:
+    score = np.stack([x.sum(1) / np.sqrt(x.shape[1]) if s == 0 else x[:, s - 1] for s in seeds], axis=1)
+    return np.searchsorted(np.array(borders(k)), score, side="left")
+
+
+def _partial_sums(rows: DataFrame, features, centres: dict | None, seeds, k: int):
+    """Sums per review, start and cluster: rows, current rows, squared distances of train rows, and train feature sums.
+
+    centres: review -> starts x clusters x features; None assigns to the bands of the starts.
+    """
+    features, seeds = list(features), list(seeds)
+    names = [f"s{j}" for j in range(len(features))]
+    step = max(1, CELLS // max(1, len(features)))
+
+    def partial(batches):
+        for batch in batches:
+            found = []
+            for start in range(0, len(batch), step):
+                part = batch.iloc[start : start + step]
+                review, cells = part["review_no"].to_numpy(), part[features].to_numpy(dtype=float)
+                train = (part["win"] == "train").to_numpy()
+                order = np.argsort(review, kind="stable")
+                edges = np.flatnonzero(np.diff(review[order])) + 1
+                for own in np.split(order, edges):
+                    if not len(own) or (centres is not None and int(review[own[0]]) not in centres):
+                        continue
+                    x, is_train = cells[own], train[own]
+                    if centres is None:
+                        which, far = _bands(x, seeds, k), np.zeros((len(x), len(seeds)))
+                    else:
+                        which, far = _nearest(x, centres[int(review[own[0]])])
+                    for s in range(len(seeds)):
+                        for c in range(k):
+                            here = (which[:, s] == c) & np.isfinite(far[:, s])
+                            fit = here & is_train
+                            if here.any():
+                                counts = (int(fit.sum()), int((here & ~is_train).sum()), float(far[fit, s].sum()))
+                                found.append((int(review[own[0]]), s, c, *counts, *x[fit].sum(0).tolist()))
+            if found:
+                yield pd.DataFrame(found, columns=["review_no", "seed", "cluster", "train", "current", "cost", *names])
+
+    schema = "review_no int, seed int, cluster int, train long, current long, cost double, " + ", ".join(f"{n} double" for n in names)
+    sums = ["train", "current", "cost", *names]
+    if centres is not None:  # rows come sorted by review: settled ones are skipped where the file says so
+        rows = rows.where(F.col("review_no").between(min(centres), max(centres)))
+        if len(centres) <= 1000:
+            rows = rows.where(F.col("review_no").isin(*centres))
+    found = rows.select("review_no", "win", *features).mapInPandas(partial, schema)
+    return found.groupBy("review_no", "seed", "cluster").agg(*[F.sum(n).alias(n) for n in sums])
+
+
+def _next_centres(sums, features, n_seeds: int, k: int) -> dict[int, np.ndarray]:
+    """review -> starts x clusters x features from the summed rows; a cluster without train rows has no centre."""
+    out: dict[int, np.ndarray] = {}
+    for r in sums:
+        if r["train"]:
+            of = out.setdefault(r["review_no"], np.full((n_seeds, k, len(features)), np.nan))
+            of[r["seed"], r["cluster"]] = np.array([r[f"s{j}"] for j in range(len(features))]) / r["train"]
+    return out
+
+
+def _fitted(train: DataFrame, features, seeds, k: int, max_iterations: int) -> dict[int, np.ndarray]:
+    """Centres of every review and start after the iteration. The driver holds at most `NUMBERS` numbers."""
+    fitted = _next_centres(_partial_sums(train, features, None, seeds, k).collect(), features, len(seeds), k)
+    moving = dict(fitted)
+    for _ in range(max_iterations):
+        if not moving:
+            break
+        after = _next_centres(_partial_sums(train, features, moving, seeds, k).collect(), features, len(seeds), k)
+        still = {}
+        for review, before in moving.items():
+            fitted[review] = now = after[review]
+            same = (np.isnan(before) & np.isnan(now)) | (np.abs(before - now) <= SETTLED)
+            if not same.all():
+                still[review] = now
+        moving = still
+    return fitted
 
 
 def cluster_share_shift(
@@ -43,43 +166,50 @@ def cluster_share_shift(
     k: int = K,
     seeds=SEEDS,
     rows_per_bucket: int = rank.ROWS_PER_BUCKET,
+    group_cols=(),
+    max_iterations: int = MAX_ITERATIONS,
 ) -> DataFrame:
-    """Share of the train and current rows per cluster in percent, and the change in points.
+    """Per review the share of the train and current rows per cluster in percent, and the change in points.
 
-    Missing values take the train median. Each seed starts one k-means run and the cheapest is kept; clusters
-    are numbered by their centres so that reruns agree.
+    Missing values take the train median. Of all starts the one with the smallest sum of squared distances is kept;
+    clusters are numbered by their centres. A review without train rows has no clusters: its shares are 0.
     """
-    filled = median_imputed(df.select("win", *features), features, from_window="train", rows_per_bucket=rows_per_bucket)
-    vectors = VectorAssembler(inputCols=list(features), outputCol="features").transform(standardised(filled, features))
-    vectors = vectors.select("win", "features")
-    train = vectors.where("win = 'train'").select("features").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        rows = train.count()  # fills the cache once before the runs share it
-        # every iteration is a job: a small window should not be cut into many tiny tasks
-        points = train.coalesce(max(1, rows // ROWS_PER_TASK))
-
-        def fit(seed):
-            return KMeans(k=k, seed=seed, maxIter=MAX_ITERATIONS).fit(points)
-
-        # independent runs, submitted side by side so that their short stages overlap
-        with ThreadPoolExecutor(PARALLEL_FITS) as pool:
-            fits = list(pool.map(inheritable_thread_target(df.sparkSession)(fit), seeds))
-    finally:
-        train.unpersist()
-    best = min(fits, key=lambda m: m.summary.trainingCost)
-    centres = [tuple(c) for c in best.clusterCenters()]
-    number = {old: new for new, old in enumerate(sorted(range(len(centres)), key=lambda i: centres[i]))}
-    cases = " ".join(f"WHEN {old} THEN {new}" for old, new in number.items())
-    counts = best.transform(vectors).groupBy("prediction").agg(
-        F.expr("count_if(win = 'train') AS train"), F.expr("count_if(win = 'current') AS current")
+    features, keys = list(features), list(group_cols)
+    seeds = [s for s in seeds if s <= len(features)]
+    filled = median_imputed(
+        df.select("win", *keys, *features), features, keys, from_window="train", rows_per_bucket=rows_per_bucket
     )
-    named = counts.selectExpr(f"CASE prediction {cases} END AS cluster", "train", "current")
-    every = df.sparkSession.range(k).selectExpr("int(id) AS cluster").join(named, "cluster", "left")
-    # k rows
+    scaled, reviews = standardised(filled, features, keys)
+    rows = stored(scaled.sortWithinPartitions("review_no"), "standardised")  # read once a step
+    spark, total = df.sparkSession, reviews.count()
+    at_once = max(1, NUMBERS // (len(seeds) * k * max(1, len(features))))
+    parts = []
+    for first in range(0, total, at_once):
+        own = rows if total <= at_once else rows.where(F.col("review_no").between(first, first + at_once - 1))
+        centres = _fitted(own.where("win = 'train'"), features, seeds, k, max_iterations)
+        found: dict[int, dict] = {}
+        for r in _partial_sums(own, features, centres, seeds, k).collect() if centres else ():
+            found.setdefault(r["review_no"], {}).setdefault(r["seed"], []).append(r)
+        out = []
+        for review, by_seed in found.items():
+            best = min(by_seed, key=lambda s: (sum(r["cost"] for r in by_seed[s]), s))
+            place = {r["cluster"]: r for r in by_seed[best]}
+            order = sorted(range(k), key=lambda c: (np.isnan(centres[review][best, c]).any(), tuple(centres[review][best, c])))
+            for number, c in enumerate(order):
+                r = place.get(c)
+                out.append((review, number, r["train"] if r else 0, r["current"] if r else 0))
+        parts.append(pin(spark.createDataFrame(out, "review_no int, cluster int, train long, current long")))
+    discard(rows)
+    counts = parts[0] if parts else spark.createDataFrame([], "review_no int, cluster int, train long, current long")
+    for p in parts[1:]:
+        counts = counts.unionAll(p)
+    every = reviews.selectExpr("*", f"explode(sequence(0, {k - 1})) AS cluster").join(counts, ["review_no", "cluster"], "left")
+    all_of = "OVER (PARTITION BY review_no)"
     shares = every.selectExpr(
+        *[f"`{g}`" for g in keys],
         "cluster",
-        "coalesce(try_divide(train, sum(train) OVER (PARTITION BY 1)), 0.0D) * 100.0D AS train_share_pct",
-        "coalesce(try_divide(current, sum(current) OVER (PARTITION BY 1)), 0.0D) * 100.0D AS current_share_pct",
+        f"coalesce(try_divide(train, sum(train) {all_of}), 0.0D) * 100.0D AS train_share_pct",
+        f"coalesce(try_divide(current, sum(current) {all_of}), 0.0D) * 100.0D AS current_share_pct",
     )
     return shares.selectExpr(
         f"{quote(thresholds.config_version)} AS config_version",

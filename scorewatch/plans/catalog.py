@@ -187,7 +187,7 @@ def score_histogram(spark, d):
 
 
 def cluster_share_shift(spark, d):
-    return cluster.cluster_share_shift(views.features(spark, d), FEATURES, T)
+    return rounded(cluster.cluster_share_shift(views.features(spark, d), FEATURES, T, group_cols=FLEET).drop("config_version"))
 
 
 # ---------------------------------------------------------------- calibration, lift, segments
@@ -315,7 +315,13 @@ def _review(spark, d) -> Review:
 
 
 def run_risk_decision(spark, d):
-    return _review(spark, d).decision.selectExpr(*FLEET, "overall_risk_level", "primary_reason", "size(triggered_rules) AS rules_fired")
+    return _review(spark, d).decision.selectExpr(
+        *FLEET,
+        "overall_risk_level",
+        "primary_reason",
+        "size(triggered_rules) AS rules_fired",
+        "nullif(array_join(triggered_rules, ' '), '') AS triggered_rules",
+    )
 
 
 def recommended_checks(spark, d):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 from ..sources.review_views import (
     FEATURES,
     REVIEW_BASE,
@@ -136,6 +138,54 @@ def _pct(train: str, current: str) -> str:
     )
 
 
+def _population_mix(k: int = 3, steps: int = 60) -> list[str]:
+    """CTE `mix`: shares per cluster. Lloyd's iteration as a recursive query; a row per group and start holds all centres."""
+    p = len(FEATURES)
+    dims, clusters, starts = range(p), range(k), range(p + 1)
+    cuts = [NormalDist().inv_cdf(i / k) for i in range(1, k)]
+    fill = ", ".join(f"coalesce({f}, m{j}, 0.0) AS x{j}" for j, f in enumerate(FEATURES))
+    medians = ", ".join(f"median({f}) FILTER (WHERE win = 'train') AS m{j}" for j, f in enumerate(FEATURES))
+    moments = ", ".join(
+        f"avg(x{j}) FILTER (WHERE win = 'train') AS a{j}, stddev_pop(x{j}) FILTER (WHERE win = 'train') AS d{j}" for j in dims
+    )
+    scaled = ", ".join(f"(x{j} - a{j}) / CASE WHEN d{j} > 0 THEN d{j} ELSE 1.0 END AS z{j}" for j in dims)
+    score = "CASE seed " + " ".join(
+        f"WHEN {s} THEN " + (f"({' + '.join(f'z{j}' for j in dims)}) / sqrt({p})" if s == 0 else f"z{s - 1}") for s in starts
+    )
+    band = "CASE " + " ".join(f"WHEN v <= {c!r} THEN {i}" for i, c in enumerate(cuts)) + f" ELSE {k - 1} END"
+    names = ", ".join(f"c{c}_{j}" for c in clusters for j in dims)
+    means = ", ".join(f"avg(z{j}) FILTER (WHERE b = {c}) AS c{c}_{j}" for c in clusters for j in dims)
+    far = ", ".join(
+        f"coalesce({' + '.join(f'pow(z{j} - c{c}_{j}, 2)' for j in dims)}, 'infinity') AS e{c}" for c in clusters
+    )
+    least = f"least({', '.join(f'e{c}' for c in clusters)})"
+    nearest = "CASE " + " ".join(f"WHEN e{c} = {least} THEN {c}" for c in clusters) + " END"
+    zs = ", ".join(f"z{j}" for j in dims)
+    centre = "CASE c " + " ".join(f"WHEN {c} THEN [{', '.join(f'c{c}_{j}' for j in dims)}]" for c in clusters) + " END"
+    return [
+        f"km_med AS (SELECT g, {medians} FROM feats GROUP BY g)",
+        f"km_fill AS (SELECT f.g, win, {fill} FROM feats f JOIN km_med USING (g))",
+        f"km_mom AS (SELECT g, {moments} FROM km_fill GROUP BY g)",
+        f"km_z AS MATERIALIZED (SELECT f.g, win, {scaled} FROM km_fill f JOIN km_mom USING (g))",
+        f"km_start AS (SELECT g, seed, {zs}, {score} END AS v FROM km_z, (SELECT unnest(range(0, {p + 1})) AS seed) WHERE win = 'train')",
+        f"km_first AS (SELECT 0 AS step, g, seed, {means} FROM (SELECT *, {band} AS b FROM km_start) GROUP BY g, seed)",
+        f"km AS (SELECT * FROM km_first UNION ALL SELECT step + 1, g, seed, {means} FROM (SELECT step, g, seed, {zs}, {nearest} AS b"
+        f" FROM (SELECT step, z.g, seed, {zs}, {far} FROM km JOIN km_z z ON km.g = z.g WHERE step < {steps} AND win = 'train'))"
+        " GROUP BY step, g, seed)",
+        f"km_end AS (SELECT z.g, seed, win, {far} FROM km JOIN km_z z ON km.g = z.g WHERE step = {steps})",
+        f"km_cost AS (SELECT g, arg_min(seed, cost) AS seed FROM (SELECT g, seed, sum({least}) FILTER (WHERE win = 'train') AS cost"
+        " FROM km_end GROUP BY g, seed) GROUP BY g)",
+        f"km_count AS (SELECT g, b AS c, count(*) FILTER (WHERE win = 'train') AS t, count(*) FILTER (WHERE win = 'current') AS n"
+        f" FROM (SELECT g, seed, win, {nearest} AS b FROM km_end) JOIN km_cost USING (g, seed) GROUP BY g, b)",
+        f"km_centre AS (SELECT g, c, row_number() OVER (PARTITION BY g ORDER BY centre) - 1 AS cluster FROM (SELECT g, c, {centre} AS centre"
+        f" FROM (SELECT g, seed, {names}, unnest(range(0, {k})) AS c FROM km WHERE step = {steps}) JOIN km_cost USING (g, seed)))",
+        "mix AS (SELECT g, CAST(cluster AS INTEGER) AS cluster, coalesce(t, 0) / sum(coalesce(t, 0)) OVER (PARTITION BY g) * 100 AS train_share,"
+        " coalesce(n, 0) / sum(coalesce(n, 0)) OVER (PARTITION BY g) * 100 AS current_share"
+        " FROM km_centre LEFT JOIN km_count USING (g, c))",
+        "mix_shift AS (SELECT g, max(abs(current_share - train_share)) AS cs FROM mix GROUP BY g)",
+    ]
+
+
 def prelude(group: str = "0") -> str:
     """Every intermediate result as a CTE; unused ones cost nothing."""
     long = " UNION ALL ".join(f"SELECT g, {i} AS no, '{f}' AS feature, win, {f} AS value, label FROM feats" for i, f in enumerate(FEATURES))
@@ -235,22 +285,28 @@ def prelude(group: str = "0") -> str:
         " WHEN rk <= 10 AND drift_level = 'Medium' THEN 'Medium' WHEN rk > 5 AND drift_level = 'High' THEN 'Medium'"
         " ELSE 'Low' END AS final_risk FROM imp i JOIN drift d USING (g, feature) LEFT JOIN vifl v USING (g, feature))",
         # run decision
+        *_population_mix(),
         "cnt AS (SELECT g, hi, me, hd, md, mm, sl FROM"
         " (SELECT g, count(*) FILTER (WHERE issue_level = 'High') AS hi, count(*) FILTER (WHERE issue_level = 'Medium') AS me"
         " FROM quality GROUP BY g) a JOIN"
         " (SELECT g, count(*) FILTER (WHERE drift_level = 'High') AS hd, count(*) FILTER (WHERE drift_level = 'Medium') AS md,"
         " count(*) FILTER (WHERE abs(change) >= 5) AS mm FROM drift GROUP BY g) b USING (g) JOIN"
         " (SELECT g, drift_level AS sl FROM s_lvl) c USING (g))",
-        "decision AS (SELECT g, CASE WHEN hi > 0 OR hd >= 2 OR sl = 'High' THEN 'High' WHEN me > 0 OR hd = 1 OR md >= 2 OR sl = 'Medium'"
-        " THEN 'Medium' ELSE 'Low' END AS lvl, CASE WHEN hi > 0 THEN hi || ' high-severity data-quality issue(s) detected.'"
-        " WHEN hd >= 2 THEN hd || ' high-drift feature(s) detected.' WHEN sl = 'High' THEN 'Prediction drift level is High.'"
-        " WHEN me > 0 THEN me || ' medium-severity data-quality issue(s) detected.' WHEN hd = 1 THEN 'One high-drift feature detected.'"
-        " WHEN md >= 2 THEN md || ' medium-drift feature(s) detected.' WHEN sl = 'Medium' THEN 'Prediction drift level is Medium.'"
-        " ELSE 'No configured High or Medium risk rules fired.' END AS why,"
-        " CASE WHEN hi > 0 OR hd >= 2 OR sl = 'High' THEN (hi > 0)::INT + (hd >= 2)::INT + (sl = 'High')::INT"
-        " ELSE (me > 0)::INT + (hd = 1)::INT + (md >= 2)::INT + (sl = 'Medium')::INT END AS fired FROM cnt)",
+        "fired AS (SELECT g, list_filter([CASE WHEN hi > 0 THEN hi || ' high-severity data-quality issue(s) detected.' END,"
+        " CASE WHEN hd >= 2 THEN hd || ' high-drift feature(s) detected.' END,"
+        " CASE WHEN cs >= 10 THEN 'Max cluster shift ' || printf('%.2f', cs) || ' pp crossed high threshold 10.00 pp.' END,"
+        " CASE WHEN sl = 'High' THEN 'Prediction drift level is High.' END], lambda x: x IS NOT NULL) AS high,"
+        " list_filter([CASE WHEN me > 0 THEN me || ' medium-severity data-quality issue(s) detected.' END,"
+        " CASE WHEN hd = 1 THEN 'One high-drift feature detected.' END,"
+        " CASE WHEN md >= 2 THEN md || ' medium-drift feature(s) detected.' END,"
+        " CASE WHEN cs >= 5 THEN 'Max cluster shift ' || printf('%.2f', cs) || ' pp crossed medium threshold 5.00 pp.' END,"
+        " CASE WHEN sl = 'Medium' THEN 'Prediction drift level is Medium.' END], lambda x: x IS NOT NULL) AS medium"
+        " FROM cnt JOIN mix_shift USING (g))",
+        "decision AS (SELECT g, CASE WHEN len(high) > 0 THEN 'High' WHEN len(medium) > 0 THEN 'Medium' ELSE 'Low' END AS lvl,"
+        " coalesce(high[1], medium[1], 'No configured High or Medium risk rules fired.') AS why,"
+        " CASE WHEN len(high) > 0 THEN high ELSE medium END AS fired FROM fired)",
     ]
-    return "WITH " + ",\n".join(ctes) + "\n"
+    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n"
 
 
 def _sig(x: str, p: str) -> str:
@@ -404,7 +460,10 @@ def oracle_sql(config_rows) -> dict[str, str]:
         "label_mix_shift": fleet + f"SELECT g AS model_id, {_mix()} FROM preds GROUP BY g",
         "score_histogram": one + "SELECT win, bin, count, round(count / sum(count) OVER (PARTITION BY win), 6) + 0.0 AS share FROM"
         " (SELECT win, CAST(least(20, floor(score * 20) + 1) AS INTEGER) AS bin, count(*) AS count FROM preds GROUP BY ALL)",
-        "run_risk_decision": fleet + "SELECT g AS model_id, lvl AS overall_risk_level, why AS primary_reason, fired AS rules_fired FROM decision",
+        "run_risk_decision": fleet + "SELECT g AS model_id, lvl AS overall_risk_level, why AS primary_reason,"
+        " len(fired) AS rules_fired, list_aggregate(fired, 'string_agg', ' ') AS triggered_rules FROM decision",
+        "cluster_share_shift": fleet + f"SELECT g AS model_id, cluster, {_r('train_share', 'train_share_pct')},"
+        f" {_r('current_share', 'current_share_pct')}, {_r('current_share - train_share', 'share_change_pct_points')} FROM mix",
         "recommended_checks": fleet + f"SELECT g AS model_id, i - 1 AS check_no, c[i] AS recommended_check FROM (SELECT g, c, unnest(range(1, len(c) + 1)) AS i"
         f" FROM (SELECT g, list_filter({CHECKS}, lambda x: x IS NOT NULL) AS c FROM cnt))",
         "calibration_bins": one + f"SELECT bin, {_r('score_min', 'score_min')}, {_r('score_max', 'score_max')}, count,"
@@ -516,5 +575,5 @@ def oracle_sql(config_rows) -> dict[str, str]:
         "feedback_intake": FEEDBACK + "SELECT CASE WHEN feedback_type IS NULL THEN 'rejected' ELSE 'accepted' END AS outcome,"
         " coalesce(feedback_type, '') AS feedback_type, count(*) AS events FROM feedback GROUP BY ALL",
     }
-    sql["contract_violations"] = one.replace("WITH ", "WITH ", 1) + sql["contract_violations"].replace(" FROM f WHERE", " FROM feats WHERE")
+    sql["contract_violations"] = one + sql["contract_violations"].replace(" FROM f WHERE", " FROM feats WHERE")
     return sql

@@ -118,12 +118,11 @@ class Review:
         )
 
     @cached_property
-    def cluster_shift(self) -> DataFrame | None:
-        """Population-mix shift; only for a review of one model."""
-        if self.groups:
-            return None
+    def cluster_shift(self) -> DataFrame:
         return pin(
-            cluster.cluster_share_shift(self.features_df, self.features, self.t, rows_per_bucket=self.rows_per_bucket)
+            cluster.cluster_share_shift(
+                self.features_df, self.features, self.t, rows_per_bucket=self.rows_per_bucket, group_cols=self.groups
+            )
         )
 
     @cached_property
@@ -261,6 +260,7 @@ class Review:
             "feature_drift": self.drift,
             "missing_rates": drift.missing_rate_shift(self.profile, self.groups),
             "prediction_drift": self.score_drift,
+            "cluster_shift": self.cluster_shift,
             "risk_decision": self.decision,
             "recommended_checks": self.checks,
             "importance": self.importance,
@@ -277,8 +277,6 @@ class Review:
             "recommended_actions": self.actions,
             "model_health": self.health,
         }
-        if self.cluster_shift is not None:
-            named["cluster_shift"] = self.cluster_shift
         if self.overfitting is not None:
             named["overfitting"] = self.overfitting
         return named

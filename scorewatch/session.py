@@ -54,6 +54,17 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the folder of a table that `stored` wrote, once nothing reads it any more."""
+    spark = df.sparkSession
+    files = df.inputFiles()
+    if not files:
+        return
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def bounded(df: DataFrame, group_cols) -> tuple[DataFrame, bool]:
     """A per-group table to be joined to big rows, and whether it may be broadcast.
 

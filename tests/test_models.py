@@ -135,3 +135,54 @@ def test_reliability_gate(spark):
     assert not g["should_skip"] and explain.reliability_gate(df, thresholds=Thresholds(drift_gate_mode="skip")).first()["should_skip"]
     calm = explain.reliability_gate(df.where("feature = 'z'")).first()
     assert calm["status"] == "reliable" and calm["severe_drift_features"] == []
+
+
+def _lloyd(x, k, seeds, steps):
+    """Lloyd's iteration from the bands of each start; the cheapest fit, numbered by its centres."""
+    best = None
+    for s in seeds:
+        score = x.sum(1) / np.sqrt(x.shape[1]) if s == 0 else x[:, s - 1]
+        which = np.searchsorted(cluster.borders(k), score, side="left")
+        for _ in range(steps):
+            centres = np.array([x[which == c].mean(0) if (which == c).any() else np.full(x.shape[1], np.nan) for c in range(k)])
+            far = np.nan_to_num(((x[:, None] - centres[None]) ** 2).sum(2), nan=np.inf)
+            which = far.argmin(1)
+        cost = far.min(1).sum()
+        if best is None or cost < best[0]:
+            best = (cost, centres)
+    return np.array(sorted(best[1].tolist()))
+
+
+def test_cluster_shift_of_a_fleet(spark, monkeypatch):
+    """Every review against its own iteration in numpy, whatever the layout and the number of reviews iterated at once."""
+    rng = np.random.default_rng(5)
+    rows, want = [], {}
+    for g in (None, "a", "b", "c"):
+        x = np.concatenate([rng.normal(m, 0.5, (n, 3)) for m, n in ((0, 40), (3, 25), (rng.normal(size=3) * 4, 30))])
+        y = np.concatenate([rng.normal(m, 0.5, (n, 3)) for m, n in ((0, 10), (3, 35))])
+        rows += [("train", g, *map(float, r)) for r in x] + [("current", g, *map(float, r)) for r in y]
+        mean, std = x.mean(0), x.std(0)
+        centres = _lloyd((x - mean) / std, 3, range(4), 60)
+        shares = []
+        for part in (x, y):
+            near = (((part - mean) / std)[:, None] - centres[None]) ** 2
+            shares.append(np.bincount(near.sum(2).argmin(1), minlength=3) / len(part) * 100)
+        for c in range(3):
+            want[g, c] = (shares[0][c], shares[1][c])
+    rows.append(("current", "new", 1.0, 2.0, 3.0))  # a review without train rows
+    df = spark.createDataFrame(rows, "win string, g string, x double, y double, z double")
+    for parts, numbers in ((1, 2_000_000), (7, 2_000_000), (4, 1)):
+        monkeypatch.setattr(cluster, "NUMBERS", numbers)
+        got = cluster.cluster_share_shift(df.repartition(parts), ["x", "y", "z"], group_cols=["g"]).collect()
+        assert len(got) == 15
+        for r in got:
+            expected = want.get((r["g"], r["cluster"]), (0, 0))
+            assert (r["train_share_pct"], r["current_share_pct"]) == pytest.approx(expected)
+
+
+def test_cluster_shift_of_few_points(spark):
+    """Fewer different rows than clusters, constants and gaps."""
+    df = spark.createDataFrame([("train", 1.0, 5.0), ("train", 1.0, None), ("current", 1.0, 5.0)], "win string, x double, y double")
+    got = cluster.cluster_share_shift(df, ["x", "y"]).collect()
+    assert sorted(r["train_share_pct"] for r in got) == [0, 0, 100] and sorted(r["current_share_pct"] for r in got) == [0, 0, 100]
+    assert all(r["train_share_pct"] == 0 for r in cluster.cluster_share_shift(df.limit(0), ["x", "y"]).collect())

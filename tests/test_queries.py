@@ -18,7 +18,6 @@ def test_sql_belongs_to_queries():
     assert set(SQL) <= set(QUERIES)
     own = {q for q in QUERIES if not q.startswith("op") and q != "pipeline"}
     assert own - set(SQL) == {
-        "cluster_share_shift",
         "tree_attribution_importance",
         "row_attributions",
         "permutation_importance",
