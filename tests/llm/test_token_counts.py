@@ -1,5 +1,4 @@
 import random
-import re
 
 import public_tokenizers
 import pytest
@@ -26,19 +25,22 @@ def test_query_against_the_library(spark):
         }
 
 
-def test_pieces_count_like_whole_texts():
-    """Texts of awkward characters, cut after every few of them."""
+def test_pieces_count_like_whole_texts(monkeypatch):
+    """Texts of awkward characters, cut after every few of them, and their words one by one."""
     with open(BYTE_BPE, "rb") as f:
-        count, boundary = token_counts.counter("x.json", f.read())
-    boundary = re.compile(boundary)
+        count, safe = token_counts.counter("x.json", f.read())
+    lengths = token_counts.Lengths(count, safe)
+    monkeypatch.setattr(token_counts, "KNOWN", 200)  # forgets in between
+    assert safe
     r = random.Random(1)
     signs = ["a", "b", " ", "  ", "\n", "\t", "1", "9", "'s", "'", "é", "中", "\x85", "\xa0", "\x1c", "<|endoftext|>", "<|", "|>",
              "!", "　", "endoftext", "²", "👍", "\r", " '", "\x0b"]
     for _ in range(1500):
         text = "x" + "".join(r.choice(signs) for _ in range(r.randint(0, 60)))
         for size in (1, 5):
-            parts = list(token_counts.pieces(text, size, boundary))
+            parts = list(token_counts.pieces(text, size))
             assert "".join(parts) == text and sum(count(parts)) == count([text])[0], repr(text)
+        assert lengths([text, text[1:]]) == count([text, text[1:]]), repr(text)
 
 
 @pytest.mark.parametrize("batch_bytes", [4, 64, 1000])
