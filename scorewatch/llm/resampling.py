@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, global_index
-from .hashing import LOWER, texts
+from .hashing import LOWER, PAD, lanes, texts, xxhash64
 
 BUCKETS = 10_000
 LONGEST = 3
@@ -40,81 +40,55 @@ MIN_WORDS = 20
 # Words whose n-grams are interned together.
 BATCH_WORDS = 1 << 16
 
-# xxhash64: fixed values of the published algorithm
-P1, P2, P3, P4, P5 = (
-    np.uint64(p)
-    for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
-)
 # Bytes of words: digits, letters, and all of characters beyond ASCII.
 WORD_BYTE = np.zeros(256, bool)
 WORD_BYTE[48:58] = WORD_BYTE[97:123] = WORD_BYTE[128:] = True
-# Bytes after the last word, so that eight can be read at any place.
-PAD = 8
-
-
-def _rotl(x: np.ndarray, r: int) -> np.ndarray:
-    return (x << np.uint64(r)) | (x >> np.uint64(64 - r))
-
-
-def _round(acc: np.ndarray, lane: np.ndarray) -> np.ndarray:
-    return _rotl(acc + lane * P2, 31) * P1
-
-
-def _lanes(data: np.ndarray, kind: str) -> np.ndarray:
-    """An integer read at every byte of `data` (not aligned)."""
-    kind = np.dtype(kind)
-    return np.ndarray(shape=(len(data) - kind.itemsize + 1,), dtype=kind, buffer=data, strides=(1,))
-
-
-def xxhash64(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """xxhash64 (seed 0) of the strings of `size` bytes at `start`; `data` has PAD bytes after the last string."""
-    eight, four = _lanes(data, "<u8"), _lanes(data, "<u4")
-    with np.errstate(over="ignore"):
-        h = np.full(len(start), P5)
-        at = start.copy()
-        left = size.copy()
-        long = np.flatnonzero(size >= 32)
-        if len(long):
-            acc = [np.full(len(long), v, np.uint64) for v in (P1 + P2, P2, np.uint64(0), np.uint64(0) - P1)]
-            rows, place, rest = np.arange(len(long)), at[long], left[long]
-            while len(rows):
-                for k in range(4):
-                    acc[k][rows] = _round(acc[k][rows], eight[place[rows] + 8 * k])
-                place[rows] += 32
-                rest[rows] -= 32
-                rows = rows[rest[rows] >= 32]
-            merged = _rotl(acc[0], 1) + _rotl(acc[1], 7) + _rotl(acc[2], 12) + _rotl(acc[3], 18)
-            for a in acc:
-                merged = (merged ^ _round(np.zeros(len(a), np.uint64), a)) * P1 + P4
-            h[long], at[long], left[long] = merged, place, rest
-        h += size.astype(np.uint64)
-        for _ in range(3):
-            rows = np.flatnonzero(left >= 8)
-            if not len(rows):
-                break
-            lane = eight[at[rows]]
-            h[rows] = _rotl(h[rows] ^ _round(np.zeros(len(rows), np.uint64), lane), 27) * P1 + P4
-            at[rows] += 8
-            left[rows] -= 8
-        rows = np.flatnonzero(left >= 4)
-        h[rows] = _rotl(h[rows] ^ (four[at[rows]].astype(np.uint64) * P1), 23) * P2 + P3
-        at[rows] += 4
-        left[rows] -= 4
-        for _ in range(3):
-            rows = np.flatnonzero(left > 0)
-            if not len(rows):
-                break
-            h[rows] = _rotl(h[rows] ^ (data[at[rows]].astype(np.uint64) * P5), 11) * P1
-            at[rows] += 1
-            left[rows] -= 1
-        h = (h ^ (h >> np.uint64(33))) * P2
-        h = (h ^ (h >> np.uint64(29))) * P3
-        return h ^ (h >> np.uint64(32))
+def _crc_tables() -> list[np.ndarray]:
+    """Effect of a byte on the checksum after 0 to 7 further bytes (polynomial of zlib's crc32, reflected)."""
+    byte = np.arange(256, dtype=np.uint64)
+    for _ in range(8):
+        byte = np.where(byte & np.uint64(1), (byte >> np.uint64(1)) ^ np.uint64(0xEDB88320), byte >> np.uint64(1))
+    out = [byte]
+    for _ in range(7):
+        last = out[-1]
+        out.append(byte[last & np.uint64(255)] ^ (last >> np.uint64(8)))
+    return out
+
+
+CRC = _crc_tables()
+
+
+def crc32(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """crc32 of the strings of `size` bytes at `start`, eight bytes a step.
+
+    Without its initial value the checksum ignores zeros in front, so a string's first step holds its odd bytes behind
+    zeros; the initial value's effect depends on the length alone and is that of as many zeros.
+    """
+    eight = lanes(data, "<u8")
+    sizes, number = np.unique(size, return_inverse=True)
+    value = np.zeros(len(start), np.uint64)
+
+    def step(rows, lane):
+        lane ^= value[rows]
+        total = CRC[7][lane & np.uint64(255)]
+        for k in range(1, 8):
+            total ^= CRC[7 - k][(lane >> np.uint64(8 * k)) & np.uint64(255)]
+        value[rows] = total
+
+    odd = size & 7
+    rows = np.flatnonzero(odd)
+    step(rows, eight[start[rows]] << (8 * (8 - odd[rows])).astype(np.uint64))
+    at, rows = 0, np.flatnonzero(size >= 8)
+    while len(rows):
+        step(rows, eight[start[rows] + odd[rows] + at])
+        at += 8
+        rows = rows[size[rows] - odd[rows] > at]
+    return value ^ np.array([zlib.crc32(bytes(n)) for n in sizes.tolist()], np.uint64)[number]
 
 
 def _equal(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Whether the strings of `size` bytes at `a` and `b` are the same bytes."""
-    eight = _lanes(data, "<u8")
+    eight = lanes(data, "<u8")
     same = np.ones(len(a), bool)
     rows, at = np.arange(len(a)), 0
     while len(rows):
@@ -152,10 +126,8 @@ class Table:
             rows = rows[~same]
             place[rows] = (place[rows] + 1) & mask
         used = np.flatnonzero(holder >= 0)
-        at, end = start[holder[used]], start[holder[used]] + size[holder[used]]
-        view = memoryview(data)
         self.bucket = np.zeros(slots, np.int64)
-        self.bucket[used] = [zlib.crc32(view[a:b]) % buckets for a, b in zip(at.tolist(), end.tolist())]
+        self.bucket[used] = crc32(data, start[holder[used]], size[holder[used]]) % np.uint64(buckets)
         self.count = np.bincount(self.slot, minlength=slots)
 
 

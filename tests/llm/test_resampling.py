@@ -47,7 +47,7 @@ def test_query_against_brute_force(spark, folder):
     assert any(r["rank"] for r in got)
 
 
-def test_hash_is_xxhash64():
+def test_hash_is_xxhash64_and_checksum_crc32():
     r = random.Random(0)
     raw = bytes(r.randrange(256) for _ in range(3000))
     data = np.frombuffer(raw + bytes(resampling.PAD), np.uint8)
@@ -55,6 +55,8 @@ def test_hash_is_xxhash64():
     size = np.array([r.randrange(200) for _ in range(1000)])
     got = resampling.xxhash64(data, start, size)
     assert [int(h) for h in got] == [xxhash.xxh64_intdigest(raw[a : a + n]) for a, n in zip(start, size)]
+    got = resampling.crc32(data, start, size)
+    assert [int(h) for h in got] == [zlib.crc32(raw[a : a + n]) for a, n in zip(start, size)]
 
 
 @pytest.mark.parametrize("keys", [1, 3, None])
