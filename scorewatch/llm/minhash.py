@@ -7,7 +7,7 @@
    that picks hubs differs between bands. Proposals whose collision-corrected estimate is far below the threshold are
    dropped (four and a half standard deviations); the rest is decided on the full sets.
 4. Components by alternating large-star and small-star rounds.
-5. Buckets that still hold several components are gone through in blocks of at most `BLOCK` classes a side: signatures
+5. Buckets that still hold several components are gone through in blocks of about `BLOCK` classes and `BLOCK_BYTES` of sets a side: signatures
    first, then the sets of those with a likely partner in another component, until each such pair is decided or its
    classes are in one component. Blocks of a large bucket are separate groups of rows, and a pair is looked at in the
    first band that it shares only.
@@ -40,6 +40,7 @@ BITS = 4
 # Estimates have a standard deviation of at most 0.045; proposals this far below the threshold are dropped.
 MARGIN = 0.2
 BLOCK = 1024
+BLOCK_BYTES = 64 << 20
 # Orders that pick hubs, one after the other over the bands; any values do.
 ORDERS = (0x0, 0x2A5D3B9C6E, 0x3C96A5E1D7, 0x15E8C3F49B)
 
@@ -319,14 +320,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         rooted.withColumnRenamed("node", "cls"), "cls", "left"
     )
     placed = s.put(placed.withColumn("root", F.coalesce("root", "cls")), "placed")
-    in_bucket = placed.select("cls", "root", F.posexplode("bands").alias("band", "bucket"))
+    in_bucket = placed.select("cls", "root", "n_shingles", F.posexplode("bands").alias("band", "bucket"))
     large = hubs.where("n > 2").select("hub_bucket")
     split = s.put(
         in_bucket.join(large, F.col("bucket") == F.col("hub_bucket"), "left_semi")
         .groupBy(F.col("bucket").alias("open_bucket"))
-        .agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n"))
+        .agg(
+            F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n"), F.sum("n_shingles").alias("hashes")
+        )
         .where("a <> b")
-        .select("open_bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")),
+        .select("open_bucket", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("hashes") * 8 / BLOCK_BYTES)).cast("int").alias("blocks")),
         "open",
     )
     s.drop(hubs)

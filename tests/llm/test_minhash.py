@@ -57,3 +57,27 @@ def test_estimate():
     with np.errstate(over="ignore"):
         x, y = (np.frombuffer(minhash.packed(minhash.minima(np.unique(s))), np.uint8) for s in (a, b))
     assert abs(minhash.estimate(x[None], y[None])[0] - 3000 / 5000) < 0.15
+
+
+def test_words_that_polynomials_take_for_equal(spark):
+    """A Thue-Morse sequence and its complement, as words and as the only words of a text."""
+    one = "".join("ab"[bin(i).count("1") & 1] for i in range(2048))
+    two = one.translate({97: 98, 98: 97})
+    docs = [(i, " ".join([w] * 6)) for i, w in enumerate((one, two, one))]
+    got = rows(minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")))
+    assert {r["doc_id"]: r["component_id"] for r in got} == {0: 0, 1: 1, 2: 0}
+
+
+def test_blocks_by_bytes(spark, monkeypatch):
+    """Sets of many bytes split a bucket as many classes do; the components stay."""
+    monkeypatch.setattr(minhash, "BLOCK_BYTES", 2000)
+    r = random.Random(5)
+    text = [f"w{r.randint(0, 99999)}" for _ in range(100)]
+    docs = []
+    for i in range(20):
+        docs.append((i, " ".join(text)))
+        text = list(text)
+        text[(i * 7) % 100] = f"n{i}"
+    want, _ = brute_components(docs)
+    got = rows(minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")))
+    assert {x["doc_id"]: x["component_id"] for x in got} == want
