@@ -8,7 +8,6 @@ work is spread, the result is the same for any borders.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -18,9 +17,6 @@ from ..functions.clean import lerp_sql
 from ..session import BROADCAST_ROWS, keyed_join, pin
 
 ROWS_PER_BUCKET = 1_000_000
-# At most this many keys are cut; every other key holds at most 1 / HOT_KEYS of all rows.
-HOT_KEYS = 10_000
-MAX_BUCKETS = 40_000
 SAMPLE_PER_BUCKET = 24
 
 
@@ -29,7 +25,8 @@ class Spread:
     """How the keys of one ranking are laid out."""
 
     few_keys: bool  # the number of keys was counted and is at most BROADCAST_ROWS
-    borders: DataFrame | None  # keys + coarse, fine border arrays of the cut keys; None when no key needs cutting
+    borders: DataFrame | None  # keys + sorted border array of the cut keys; None when no key needs cutting
+    few_buckets: bool = True  # the buckets of all cut keys were counted and are at most BROADCAST_ROWS
 
 
 def measure(
@@ -41,72 +38,61 @@ def measure(
     source_keys=(),
     fan_out: int = 1,
 ) -> Spread:
-    """Count rows per group and sample bucket borders for the groups that need them.
+    """Count rows per group and sample bucket borders for every group with more than `rows_per_bucket` rows.
 
     `source` is the frame the rows were unpivoted from, with `fan_out` keys per group of `source_keys`: its row
     counts bound those of every key and need no feature column. Without it the rows themselves are counted.
+    Counts and borders stay tables, with a row per group and per cut key; the driver sees their totals only.
     """
     if source is None:
         source, source_keys, fan_out = rows, keys, 1
     source_keys = list(source_keys)
     if source_keys:
         groups = pin(source.groupBy(*source_keys).agg(F.count(F.lit(1)).alias("n")))  # looked at twice
-        few = groups.count() * fan_out <= BROADCAST_ROWS
-        large = groups.where(F.col("n") > rows_per_bucket).orderBy(F.desc("n"))
-        hot = large.limit(max(1, HOT_KEYS // fan_out)).collect()
     else:
-        few = fan_out <= BROADCAST_ROWS
-        hot = [{"n": n} for n in [source.count()] if n > rows_per_bucket]
+        groups = rows.sparkSession.createDataFrame([(source.count(),)], "n long")
+    buckets = F.ceil(F.col("n") / rows_per_bucket).cast("int")
+    large = groups.where(F.col("n") > rows_per_bucket).withColumn("buckets", buckets).drop("n")
+    found, hot_rows, hot, cut = groups.agg(
+        F.count("*"),
+        F.sum(F.when(F.col("n") > rows_per_bucket, F.col("n"))),
+        F.count_if(F.col("n") > rows_per_bucket),
+        F.sum(F.when(F.col("n") > rows_per_bucket, buckets)),
+    ).first()
+    few = found * fan_out <= BROADCAST_ROWS
     if not hot:
         return Spread(few, None)
-
-    total = sum(r["n"] for r in hot) * fan_out
-    per_bucket = max(rows_per_bucket, math.ceil(total / MAX_BUCKETS))
-    plan = [(*[r[k] for k in source_keys], math.ceil(r["n"] / per_bucket)) for r in hot]
-    fraction = min(1.0, SAMPLE_PER_BUCKET * sum(p[-1] for p in plan) * fan_out / total)
+    fraction = min(1.0, SAMPLE_PER_BUCKET * cut / hot_rows)
     narrow = rows.select(*keys, F.col(value).alias("v"))
-    spark = rows.sparkSession
     if source_keys:
-        layout = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*source_keys).schema]
-        wanted = spark.createDataFrame(plan, ", ".join([*layout, "buckets int"]))
-        sampled = keyed_join(narrow, wanted, source_keys, broadcast=True).sample(fraction, seed=17)
+        sampled = keyed_join(narrow, large, source_keys, broadcast=hot <= BROADCAST_ROWS)
     else:
-        sampled = narrow.sample(fraction, seed=17).withColumn("buckets", F.lit(plan[0][-1]))
-    # one array per cut key, at most about SAMPLE_PER_BUCKET * MAX_BUCKETS values over all keys together
-    picked = sampled.groupBy(*keys).agg(
+        sampled = narrow.withColumn("buckets", F.lit(cut))
+    # about SAMPLE_PER_BUCKET values per bucket of a key
+    picked = sampled.sample(fraction, seed=17).groupBy(*keys).agg(
         F.expr("array_sort(collect_list(v)) AS s"), F.expr("first(buckets) AS buckets")
     )
     cuts = "element_at(s, greatest(1, int(i * size(s) / buckets)))"
     borders = picked.selectExpr(
         *[f"`{k}`" for k in keys],
         f"array_distinct(transform(sequence(1, greatest(1, buckets - 1)), i -> {cuts})) AS cuts",
-    ).collect()
-    if not borders:
-        return Spread(few, None)
-    value_type = rows.schema[value].dataType.simpleString()
-    packed = [(*[r[k] for k in keys], *_two_levels(r["cuts"])) for r in borders]
-    key_types = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keys).schema]
-    arrays = [f"coarse array<{value_type}>", "width int", f"fine array<array<{value_type}>>"]
-    return Spread(few, spark.createDataFrame(packed, ", ".join([*key_types, *arrays])))
-
-
-def _two_levels(cuts):
-    """Sorted borders as a coarse array and one fine array per coarse step: a lookup scans ~2 * sqrt(n)."""
-    width = max(1, math.isqrt(len(cuts)))
-    fine = [cuts[i : i + width] for i in range(0, len(cuts), width)]
-    return [block[0] for block in fine], width, fine
+    )
+    # halving steps of the search: powers of two from the largest within the array down to 1
+    steps = "transform(sequence(int(length(bin(size(cuts))) - 1), 0, -1), e -> shiftleft(1, e)) AS steps"
+    return Spread(few, pin(borders.selectExpr("*", steps)), cut * fan_out <= BROADCAST_ROWS)
 
 
 def with_bucket(rows: DataFrame, keys, value: str, spread: Spread) -> DataFrame:
-    """Add the value bucket: the number of borders at or below the value. Uncut keys use bucket 0."""
+    """Add the value bucket: the number of borders at or below the value, by binary search. Uncut keys use bucket 0.
+
+    The borders are broadcast where their number was counted and is small; else they are joined by key, and adaptive
+    execution splits the rows of a hot key.
+    """
     if spread.borders is None:
         return rows.withColumn("bucket", F.lit(0))
-    joined = keyed_join(rows, spread.borders, keys, "left", broadcast=True)
-    v = F.col(value)
-    block = F.size(F.filter("coarse", lambda e: e <= v))
-    inside = F.size(F.filter(F.element_at("fine", block), lambda e: e <= v))
-    found = F.when(F.col("coarse").isNull() | (block == 0), 0).otherwise((block - 1) * F.col("width") + inside)
-    return joined.withColumn("bucket", found).drop("coarse", "width", "fine")
+    joined = keyed_join(rows, spread.borders, keys, "left", broadcast=spread.few_buckets)
+    search = f"aggregate(steps, 0, (at, step) -> IF(get(cuts, at + step - 1) <= `{value}`, at + step, at))"
+    return joined.withColumn("bucket", F.expr(f"coalesce({search}, 0)")).drop("cuts", "steps")
 
 
 def value_counts(rows: DataFrame, keys, value: str, counts: dict[str, str]) -> DataFrame:
@@ -148,8 +134,8 @@ def running_counts(distinct: DataFrame, keys, names, spread: Spread, carry=()) -
         *[f"sum({n}) OVER ({along}) AS {n}_all" for n in names],
         f"lead(first_value) OVER ({along} ORDER BY bucket) AS following",
     )
-    # few_keys bounds this side by BROADCAST_ROWS + MAX_BUCKETS rows; otherwise it shuffles like the big side
-    joined = keyed_join(local, offsets, [*keys, "bucket"], "inner", broadcast=spread.few_keys)
+    # a row per bucket: broadcast where keys and buckets were counted and are few, else it shuffles like the big side
+    joined = keyed_join(local, offsets, [*keys, "bucket"], "inner", broadcast=spread.few_keys and spread.few_buckets)
     return joined.selectExpr(
         *[f"`{k}`" for k in keys],
         "value",

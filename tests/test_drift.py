@@ -3,6 +3,7 @@ import math
 import numpy as np
 import pytest
 from brute import ks_and_wasserstein, psi
+from pyspark.sql import functions as F
 
 from scorewatch.config import Thresholds
 from scorewatch.operators import drift, rank
@@ -156,3 +157,30 @@ def test_quantiles_any_bucketing(spark):
         assert (spread.borders is None) == (size > 500)
         r = rank.exact_quantiles(rows, ["k"], "value", {"a": (1, 4), "b": (1, 2), "c": (9, 10)}, spread).first()
         assert [r["a"], r["b"], r["c"]] == pytest.approx(list(np.quantile(x, [0.25, 0.5, 0.9])))
+
+
+def test_every_hot_key_is_cut(spark):
+    """Forty groups with fifty features each, all over the bucket size: every key has borders, and no bucket is large."""
+    features = [f"f{i}" for i in range(50)]
+    wide = ", ".join(f"double(pmod(xxhash64(id, {i}), 997)) AS f{i}" for i in range(50))
+    df = spark.range(40 * 300).selectExpr("id % 40 AS g", wide.split(", double")[0], *["double" + w for w in wide.split(", double")[1:]])
+    values = drift.long_values(df, features, ["g"])
+    for limit in (rank.BROADCAST_ROWS, 100):  # borders broadcast, and joined by key
+        spread = rank.measure(values, ["g", "feature"], "value", 40, df, ["g"], 50)
+        spread = rank.Spread(limit > 100 and spread.few_keys, spread.borders, limit > 100 and spread.few_buckets)
+        assert spread.borders.count() == 40 * 50
+        sizes = rank.with_bucket(values, ["g", "feature"], "value", spread).groupBy("g", "feature", "bucket").count()
+        assert sizes.agg({"count": "max"}).first()[0] < 150 and sizes.count() > 40 * 50 * 5
+        got = rank.exact_quantiles(values, ["g", "feature"], "value", {"m": (1, 2)}, spread)
+        want = values.groupBy("g", "feature").agg(F.expr("percentile(value, 0.5) AS want"))
+        assert got.join(want, ["g", "feature"]).where("abs(m - want) > 1e-9").count() == 0 and got.count() == 2000
+
+
+def test_border_search_is_exact(spark):
+    """Arrays of every size up to seventy against a count of the borders at or below the value."""
+    rows = [(n, float(v), [float(2 * i) for i in range(n)]) for n in range(1, 71) for v in (-1, 0, 1, n, 2 * n - 2, 2 * n - 1, 2 * n)]
+    df = spark.createDataFrame(rows, "k int, value double, cuts array<double>")
+    steps = "transform(sequence(int(length(bin(size(cuts))) - 1), 0, -1), e -> shiftleft(1, e)) AS steps"
+    borders = df.select("k", "cuts").distinct().selectExpr("*", steps)
+    got = rank.with_bucket(df.select("k", "value"), ["k"], "value", rank.Spread(True, borders)).collect()
+    assert all(r["bucket"] == sum(2 * i <= r["value"] for i in range(r["k"])) for r in got) and len(got) == len(rows)
