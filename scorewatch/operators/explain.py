@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from ..config import Thresholds
 from ..functions.clean import number_sql
 from ..functions.text import quote
-from ..session import checkpoints, shared_path
-from . import rank
+from ..session import bounded, checkpoints, join_per_group, shared_path
+from . import boosting, rank
 from .impute import median_imputed
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -142,10 +142,74 @@ def row_attributions(model, df: DataFrame, features, keep=("entity_id",)) -> Dat
     return inputs.mapInPandas(explain, schema)
 
 
-def long_attributions(wide: DataFrame, df: DataFrame, features, keep=("entity_id",)) -> DataFrame:
-    """Rows (keep..., feature, attribution)."""
-    renamed = wide.withColumnsRenamed({f"phi_{f}": f for f in features})
-    return renamed.unpivot(list(keep), list(features), "feature", "attribution")
+def attributed_rows(reviewer: boosting.Reviewer, df: DataFrame, keep=("entity_id",)) -> DataFrame:
+    """Review keys, `keep`, the features and one column phi_<feature> per feature, for rows of all reviews with a model.
+
+    Rows are streamed in Arrow batches; a task holds the trees of as many reviews as fit its bound.
+    """
+    features = reviewer.features
+    own = [*reviewer.group_cols, *[k for k in keep if k not in reviewer.group_cols]]
+    rows = reviewer.numbered(df).select("review_no", *own, *[F.expr(f"double(`{f}`) AS `{f}`") for f in features])
+    phis = [f"phi_{f}" for f in features]
+    schema = ", ".join(
+        [*[f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in [*own, *features]], *[f"`{c}` double" for c in phis]]
+    )
+    out = None
+    for first, end in reviewer.ranges():
+        part = rows.where(F.col("review_no").between(first, end - 1)).mapInPandas(
+            _explaining(reviewer.models(first, end), features, [*own, *features], phis), schema
+        )
+        out = part if out is None else out.unionAll(part)
+    return df.sparkSession.createDataFrame([], schema) if out is None else out
+
+
+def _explaining(models, features, kept, phis):
+    def explain(batches):
+        packs: dict[int, list] = {}
+        for batch in batches:
+            for start in range(0, len(batch), 2048):
+                part = batch.iloc[start : start + 2048]
+                cells, known = part[features].to_numpy(dtype=float), part["review_no"].isin(models).to_numpy()
+                values = np.zeros(cells.shape)
+                for review, rows in boosting.own_rows(part, models):
+                    if review not in packs:
+                        packs[review] = pack_leaves(boosting.leaves(models[review][1]), len(features))[1]
+                    values[rows] = attributions(cells[rows], packs[review])
+                yield pd.concat([part[kept].reset_index(drop=True), pd.DataFrame(values, columns=phis)], axis=1)[known]
+
+    return explain
+
+
+def with_margins(reviewer: boosting.Reviewer, rows: DataFrame) -> DataFrame:
+    """Rows (with review_no and the features) with their `margin`, and the `attribution_base` of their review."""
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema] + ["margin double, attribution_base double"])
+    out = None
+    for first, end in reviewer.ranges():
+        walk = _walking(reviewer.models(first, end), reviewer.features, reviewer.depth)
+        part = rows.where(F.col("review_no").between(first, end - 1)).mapInPandas(walk, schema)
+        out = part if out is None else out.unionAll(part)
+    return rows.sparkSession.createDataFrame([], schema) if out is None else out
+
+
+def _walking(models, features, depth: int):
+    def walk(batches):
+        bases: dict[int, float] = {}
+        for batch in batches:
+            cells, margin, start = batch[features].to_numpy(dtype=float), np.zeros(len(batch)), np.zeros(len(batch))
+            for review, own in boosting.own_rows(batch, models):
+                base, trees = models[review]
+                if review not in bases:
+                    bases[review] = base + pack_leaves(boosting.leaves(trees), len(features))[0]
+                margin[own], start[own] = base + trees.margins(cells[own], depth), bases[review]
+            yield batch.assign(margin=margin, attribution_base=start)
+
+    return walk
+
+
+def long_attributions(wide: DataFrame, features, keep=("entity_id",)) -> DataFrame:
+    """Rows (keep..., feature, value, attribution) of a table with the features and their attributions side by side."""
+    cells = ", ".join(f"{quote(f)}, `{f}`, `phi_{f}`" for f in features)
+    return wide.selectExpr(*[f"`{k}`" for k in keep], f"stack({len(features)}, {cells}) AS (feature, value, attribution)")
 
 
 def ranked_importance(importance: DataFrame, group_cols=()) -> DataFrame:
@@ -159,46 +223,128 @@ def ranked_importance(importance: DataFrame, group_cols=()) -> DataFrame:
 
 
 def tree_attribution_importance(
-    df: DataFrame, features, target: str, entity="entity_id", model=None, rows_per_bucket=rank.ROWS_PER_BUCKET
+    df: DataFrame,
+    features,
+    target: str,
+    entity="entity_id",
+    model=None,
+    rows_per_bucket=rank.ROWS_PER_BUCKET,
+    group_cols=(),
 ) -> DataFrame:
-    """Mean absolute attribution per feature over all current rows, ranked."""
-    features = list(features)
-    model = model or train_reviewer(df, features, target, rows_per_bucket=rows_per_bucket)
-    current = median_imputed(df.where("win = 'current'"), features, rows_per_bucket=rows_per_bucket)
-    wide = row_attributions(model, current, features, [entity])
-    means = wide.agg(*[F.expr(f"avg(abs(`phi_{f}`)) AS `{f}`") for f in features])
-    return ranked_importance(means.unpivot([], features, "feature", "mean_abs_shap"))
+    """Mean absolute attribution per review and feature over all current rows, ranked.
+
+    model: a `boosting.Reviewer` (fitted here where none is given), or a Spark boosted-tree model of one review.
+    """
+    features, keys = list(features), list(group_cols)
+    current = df.where("win = 'current'")
+    if isinstance(model, GBTClassificationModel):
+        filled = median_imputed(current, features, rows_per_bucket=rows_per_bucket)
+        wide = row_attributions(model, filled, features, [entity])
+        means = wide.agg(*[F.expr(f"avg(abs(`phi_{f}`)) AS `{f}`") for f in features])
+        return ranked_importance(means.unpivot([], features, "feature", "mean_abs_shap"))
+    reviewer = model or boosting.fit(df, features, target, keys, entity, rows_per_bucket)
+    wide = attributed_rows(reviewer, median_imputed(current, features, keys, rows_per_bucket=rows_per_bucket), [])
+    means = wide.groupBy(*keys).agg(*[F.expr(f"avg(abs(`phi_{f}`)) AS `{f}`") for f in features])
+    if keys:  # a review without current rows has importances of 0
+        means = join_per_group(reviewer.reviews.where("base IS NOT NULL").select(*keys), means, keys).fillna(0.0, features)
+    return ranked_importance(means.unpivot(keys, features, "feature", "mean_abs_shap"), keys)
 
 
 # ---------------------------------------------------------------- permutation importance
 
 
-def shuffled_partners(df: DataFrame, features, repeats: int = REPEATS) -> DataFrame:
-    """Give every row, per repeat, the feature cells of another random row; each row is handed out once.
+def shuffled_partners(df: DataFrame, features, repeats: int = REPEATS, group_cols=(), entity=()) -> DataFrame:
+    """Give every row, per repeat, the feature cells of another random row of its group; each row is handed out once.
 
     Rows fall into random buckets of equal size and each repeat passes the cells on along its own random order
-    of a bucket. One shuffle serves all repeats. The input partition takes part in the hash, so copies of one
-    row spread over the buckets as well.
+    of a bucket. One shuffle serves all repeats. Hashes are of the row's own values (`entity` columns too, which tell
+    copies apart), so any layout of the rows gives the same pairs.
     """
+    keys = [f"`{g}`" for g in group_cols]
     cells = ", ".join(f"`{f}`" for f in features)
-    buckets = max(1, df.count() // ROWS_PER_SHUFFLE_BUCKET)
-    placed = df.selectExpr(f"array({cells}) AS cells", "spark_partition_id() AS part").selectExpr(
-        "cells", "part", f"pmod(xxhash64({SEED}, part, cells), {buckets}) AS bucket"
+    sizes = df.groupBy(*group_cols).agg(F.expr(f"greatest(1, count(*) div {ROWS_PER_SHUFFLE_BUCKET}) AS buckets"))
+    sized, few = bounded(sizes, group_cols)
+    placed = join_per_group(df, sized, group_cols, "inner", broadcast=few)
+    salt = ", ".join(["cells", *[f"`{e}`" for e in entity]])
+    placed = placed.selectExpr(*keys, *[f"`{e}`" for e in entity], "buckets", f"array({cells}) AS cells").selectExpr(
+        "*", f"pmod(xxhash64({SEED}, {salt}), buckets) AS bucket"
     )
     partners = []
     for r in range(repeats):
-        order = f"PARTITION BY bucket ORDER BY xxhash64({SEED + 1 + r}, part, cells)"
+        order = f"PARTITION BY {', '.join([*keys, 'bucket'])} ORDER BY xxhash64({SEED + 1 + r}, {salt}), {salt}"
         first = f"first_value(cells) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
         partners.append(f"coalesce(lead(cells) OVER ({order}), {first}) AS partner_{r}")
-    return placed.selectExpr("cells", *partners)
+    return placed.selectExpr(*keys, "cells", *partners)
 
 
 def permutation_importance(
-    df: DataFrame, features, target: str, model=None, repeats: int = REPEATS, rows_per_bucket=rank.ROWS_PER_BUCKET
+    df: DataFrame,
+    features,
+    target: str,
+    model=None,
+    repeats: int = REPEATS,
+    rows_per_bucket=rank.ROWS_PER_BUCKET,
+    group_cols=(),
+    entity: str = "entity_id",
 ) -> DataFrame:
-    """Mean accuracy drop against the model's own predictions when one feature is shuffled, over all current rows."""
-    features = list(features)
-    model = model or train_reviewer(df, features, target, rows_per_bucket=rows_per_bucket)
+    """Mean accuracy drop against the model's own predictions when one feature is shuffled, over all current rows.
+
+    A row's trees are walked once; for a shuffled feature only the trees that use it are walked again, and a batch sends
+    one count per review, feature and repeat. model: a `boosting.Reviewer`, or a Spark model of one review.
+    """
+    features, keys = list(features), list(group_cols)
+    if model is not None and not isinstance(model, boosting.Reviewer):
+        return _permuted_by_model(df, features, model, repeats, rows_per_bucket)
+    reviewer = model or boosting.fit(df, features, target, keys, entity, rows_per_bucket)
+    current = median_imputed(df.where("win = 'current'"), features, keys, rows_per_bucket=rows_per_bucket)
+    own = [entity] if entity in current.columns and entity not in features else []
+    rows = reviewer.numbered(current).select("review_no", *own, *[F.expr(f"double(`{f}`) AS `{f}`") for f in features])
+    paired = shuffled_partners(rows, features, repeats, ["review_no"], own)
+    counts = None
+    for first, end in reviewer.ranges():
+        part = paired.where(F.col("review_no").between(first, end - 1)).mapInPandas(
+            _counting(reviewer.models(first, end), len(features), repeats, reviewer.depth),
+            "review_no int, feature_no int, changed long, n long",
+        )
+        counts = part if counts is None else counts.unionAll(part)
+    names = ", ".join(quote(f) for f in features)
+    drops = counts.groupBy("review_no", "feature_no").agg(F.expr(f"sum(changed) / (sum(n) * {repeats}D) AS mean_abs_shap"))
+    every = reviewer.reviews.where("base IS NOT NULL").selectExpr(
+        *[f"`{g}`" for g in keys], "review_no", f"posexplode(array({names})) AS (feature_no, feature)"
+    )
+    found = every.join(drops, ["review_no", "feature_no"], "left").fillna(0.0, ["mean_abs_shap"])
+    return ranked_importance(found.select(*keys, "feature", "mean_abs_shap"), keys)
+
+
+def _counting(models, p: int, repeats: int, depth: int):
+    def count(batches):
+        for batch in batches:
+            cells = np.stack(batch["cells"].to_numpy()) if len(batch) else np.zeros((0, p))
+            partners = [np.stack(batch[f"partner_{r}"].to_numpy()) for r in range(repeats)] if len(batch) else []
+            out = []
+            for review, rows in boosting.own_rows(batch, models):
+                base, trees = models[review]
+                x = cells[rows]
+                outputs = np.stack([trees.value[t][trees.nodes(t, x, depth)] for t in range(len(trees.feature))])
+                margin = base + outputs.sum(0)
+                for j in range(p):
+                    using = np.flatnonzero((trees.feature == j).any(1))
+                    rest = margin - outputs[using].sum(0)
+                    changed = 0
+                    for r in range(repeats):
+                        y = x.copy()
+                        y[:, j] = partners[r][rows, j]
+                        again = rest + sum((trees.value[t][trees.nodes(t, y, depth)] for t in using), np.zeros(len(x)))
+                        changed += int(((again > 0) != (margin > 0)).sum()) if len(using) else 0
+                    out.append((review, j, changed, len(x)))
+            if out:
+                yield pd.DataFrame(out, columns=["review_no", "feature_no", "changed", "n"])
+
+    return count
+
+
+def _permuted_by_model(df: DataFrame, features, model, repeats: int, rows_per_bucket) -> DataFrame:
+    """The same for a Spark model: every shuffled row is scored anew."""
     current = median_imputed(df.where("win = 'current'"), features, rows_per_bucket=rows_per_bucket)
     paired = shuffled_partners(current.select(*features), features, repeats)
     # case 0 is the untouched row; case 1 + r * p + j has feature j taken from the partner of repeat r

@@ -336,10 +336,10 @@ def model_health_status(decision: DataFrame, matrix: DataFrame, group_cols=()) -
     )
 
 
-def top_drivers(importance: DataFrame, group_cols=(), k: int = 5) -> DataFrame:
-    """One line per leading feature."""
+def top_drivers(importance: DataFrame, group_cols=(), k: int = 5, rank: str = "SHAP rank", measure: str = "mean |SHAP|") -> DataFrame:
+    """One line per leading feature; `rank` and `measure` name what the importance is."""
     text = sentence(
-        "feature", "' is SHAP rank '", "string(shap_rank)", "' with mean |SHAP| '", fixed("mean_abs_shap", 4), "'.'"
+        "feature", quote(f" is {rank} "), "string(shap_rank)", quote(f" with {measure} "), fixed("mean_abs_shap", 4), "'.'"
     )
     return importance.where(F.col("shap_rank") <= k).selectExpr(*_sql(group_cols), "shap_rank", f"{text} AS driver")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import PATHS, Thresholds, config_rows
 from ..operators import (
+    boosting,
     calibration,
     cluster,
     collinearity,
@@ -275,19 +276,44 @@ def importance_rank(spark, d):
     return rounded(_importance(spark, d).drop("mean_abs_shap_value"))
 
 
+def _fitted(spark, d):
+    """The stored features and the reviewing model of every model of the fleet."""
+    f = stored(views.features(spark, d), "features")
+    return f, boosting.fit(f, FEATURES, "label", FLEET, "entity_id")
+
+
 def tree_attribution_importance(spark, d):
-    return explain.tree_attribution_importance(views.features(spark, d), FEATURES, "label")
+    f, reviewer = _fitted(spark, d)
+    return explain.tree_attribution_importance(f, FEATURES, "label", model=reviewer, group_cols=FLEET)
+
+
+def _attributed(spark, d):
+    f, reviewer = _fitted(spark, d)
+    current = impute.median_imputed(_window(f, "current"), FEATURES, FLEET)
+    return current, reviewer, explain.attributed_rows(reviewer, current)
 
 
 def row_attributions(spark, d):
-    f = views.features(spark, d)
-    model = explain.train_reviewer(f, FEATURES, "label")
-    current = impute.median_imputed(_window(f, "current"), FEATURES)
-    return explain.long_attributions(explain.row_attributions(model, current, FEATURES), current, FEATURES)
+    return explain.long_attributions(_attributed(spark, d)[2], FEATURES, [*FLEET, "entity_id"])
+
+
+def attribution_check(spark, d):
+    """Per model: rows explained, their feature values, and whether attributions and base add up to the margin everywhere."""
+    current, reviewer, wide = _attributed(spark, d)
+    total = "+".join(f"phi_{f}" for f in FEATURES)
+    explained = reviewer.numbered(wide.withColumn("explained", F.expr(total)))
+    found = explain.with_margins(reviewer, explained)
+    gap = F.expr("abs(explained + attribution_base - margin)")
+    return found.groupBy(*FLEET).agg(
+        F.count("*").alias("explained_rows"),
+        *[F.round(F.avg(f), 6).alias(f"mean_{f}") for f in FEATURES],
+        (F.max(gap) < 1e-9).alias("adds_up"),
+    )
 
 
 def permutation_importance(spark, d):
-    return explain.permutation_importance(views.features(spark, d), FEATURES, "label")
+    f, reviewer = _fitted(spark, d)
+    return explain.permutation_importance(f, FEATURES, "label", reviewer, group_cols=FLEET)
 
 
 def reliability_gate(spark, d):
@@ -364,7 +390,21 @@ def model_health_status(spark, d):
 
 
 def top_drivers(spark, d):
-    return risk.top_drivers(_importance(spark, d), FLEET)
+    return risk.top_drivers(_importance(spark, d), FLEET, rank="label correlation rank", measure="|correlation|")
+
+
+def tree_top_drivers(spark, d):
+    """The lines of the fitted trees; `tree_risk_matrix` has the figures."""
+    f, reviewer = _fitted(spark, d)
+    return risk.top_drivers(explain.tree_attribution_importance(f, FEATURES, "label", model=reviewer, group_cols=FLEET), FLEET)
+
+
+def tree_risk_matrix(spark, d):
+    """The matrix of a whole fleet, fed by its own trees."""
+    review = Review(
+        stored(views.features(spark, d), "features"), views.predictions(spark, d), FEATURES, group_cols=FLEET, thresholds=T
+    )
+    return rounded(review.matrix, *MATRIX_COLUMNS)
 
 
 def high_risk_lines(spark, d):
@@ -534,6 +574,7 @@ def queries():
         importance_rank,
         tree_attribution_importance,
         row_attributions,
+        attribution_check,
         permutation_importance,
         reliability_gate,
         run_risk_decision,
@@ -544,6 +585,8 @@ def queries():
         recommended_actions,
         model_health_status,
         top_drivers,
+        tree_top_drivers,
+        tree_risk_matrix,
         high_risk_lines,
         evidence_packet,
         feedback_summary,

@@ -464,6 +464,11 @@ def oracle_sql(config_rows) -> dict[str, str]:
         " len(fired) AS rules_fired, list_aggregate(fired, 'string_agg', ' ') AS triggered_rules FROM decision",
         "cluster_share_shift": fleet + f"SELECT g AS model_id, cluster, {_r('train_share', 'train_share_pct')},"
         f" {_r('current_share', 'current_share_pct')}, {_r('current_share - train_share', 'share_change_pct_points')} FROM mix",
+        "attribution_check": fleet + "SELECT g AS model_id, count(*) AS explained_rows, "
+        + ", ".join(_r(f"avg(coalesce({f}, m{j}))", f"mean_{f}") for j, f in enumerate(FEATURES))
+        + ", true AS adds_up FROM feats JOIN (SELECT g, "
+        + ", ".join(f"median({f}) AS m{j}" for j, f in enumerate(FEATURES))
+        + " FROM feats WHERE win = 'current' GROUP BY g) USING (g) WHERE win = 'current' GROUP BY g",
         "recommended_checks": fleet + f"SELECT g AS model_id, i - 1 AS check_no, c[i] AS recommended_check FROM (SELECT g, c, unnest(range(1, len(c) + 1)) AS i"
         f" FROM (SELECT g, list_filter({CHECKS}, lambda x: x IS NOT NULL) AS c FROM cnt))",
         "calibration_bins": one + f"SELECT bin, {_r('score_min', 'score_min')}, {_r('score_max', 'score_max')}, count,"
@@ -555,7 +560,7 @@ def oracle_sql(config_rows) -> dict[str, str]:
         "model_health_status": fleet + "SELECT g AS model_id, CASE WHEN lvl = 'High' OR t THEN 'High Risk' WHEN lvl = 'Medium' OR m >= 2"
         " THEN 'Medium Risk' ELSE 'Low Risk' END AS model_health_status FROM decision JOIN (SELECT g, bool_or(final_risk = 'High' AND rk <= 5"
         " AND drift_level = 'High') AS t, count(*) FILTER (WHERE final_risk = 'Medium') AS m FROM matrix GROUP BY g) USING (g)",
-        "top_drivers": fleet + "SELECT g AS model_id, rk AS shap_rank, feature || ' is SHAP rank ' || rk || ' with mean |SHAP| ' ||"
+        "top_drivers": fleet + "SELECT g AS model_id, rk AS shap_rank, feature || ' is label correlation rank ' || rk || ' with |correlation| ' ||"
         " printf('%.4f', imp) || '.' AS driver FROM imp WHERE rk <= 5",
         "high_risk_lines": fleet + "SELECT g AS model_id, feature, feature || ': ' || CASE WHEN rk <= 5 AND drift_level = 'High' THEN"
         " 'High because the feature is a top-5 SHAP driver with High drift.' ELSE"

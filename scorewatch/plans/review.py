@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import Thresholds
 from ..operators import (
+    boosting,
     calibration,
     cluster,
     collinearity,
@@ -148,20 +149,22 @@ class Review:
             return report.join(skipped.select(*self.groups), self.groups, "left_anti")
         return report.where(F.lit(skipped.isEmpty()))
 
+    @cached_property
+    def reviewer(self) -> boosting.Reviewer:
+        """The reviewing model of every reviewed model, fitted once."""
+        return boosting.fit(self.features_df, self.features, self.target, self.groups, self.entity, self.rows_per_bucket)
+
     @cached_property
     def importance(self) -> DataFrame:
         if self.given_importance is not None:
             return pin(self._explained(self.given_importance))
-        if self.groups:
-            raise ValueError("a review of several models needs an importance table")
-        if self.t.drift_gate_mode == "skip" and not self.gate.where("should_skip").isEmpty():
+        if not self.groups and self.t.drift_gate_mode == "skip" and not self.gate.where("should_skip").isEmpty():
             nothing = "'' AS feature, 0.0D AS mean_abs_shap, 0 AS shap_rank, 0.0D AS mean_abs_shap_value"
             return self.features_df.sparkSession.range(0).selectExpr(*nothing.split(", "))
-        return pin(
-            explain.tree_attribution_importance(
-                self.features_df, self.features, self.target, self.entity, rows_per_bucket=self.rows_per_bucket
-            )
+        found = explain.tree_attribution_importance(
+            self.features_df, self.features, self.target, self.entity, self.reviewer, self.rows_per_bucket, self.groups
         )
+        return pin(self._explained(found))
 
     @cached_property
     def vif(self) -> DataFrame:

@@ -21,6 +21,8 @@ def test_sql_belongs_to_queries():
         "tree_attribution_importance",
         "row_attributions",
         "permutation_importance",
+        "tree_top_drivers",
+        "tree_risk_matrix",
         "evidence_packet",
     }
 
