@@ -186,3 +186,40 @@ def test_cluster_shift_of_few_points(spark):
     got = cluster.cluster_share_shift(df, ["x", "y"]).collect()
     assert sorted(r["train_share_pct"] for r in got) == [0, 0, 100] and sorted(r["current_share_pct"] for r in got) == [0, 0, 100]
     assert all(r["train_share_pct"] == 0 for r in cluster.cluster_share_shift(df.limit(0), ["x", "y"]).collect())
+
+
+def test_vif_by_blocks(spark, monkeypatch):
+    """Blocks of features against the inverse of numpy's correlations, for reviews of different size."""
+    monkeypatch.setattr(collinearity, "WIDE", 2)
+    monkeypatch.setattr(collinearity, "BLOCK", 4)
+    rng = np.random.default_rng(4)
+    names, frames = [f"f{i}" for i in range(11)], {}
+    for g, n in (("a", 200), (None, 60), ("c", 40)):
+        x = rng.normal(size=(n, 11)) @ rng.normal(size=(11, 11)) * 100 + 1e4
+        if g == "c":
+            x[:, 3] = x[:, 0] + 2 * x[:, 1]  # an exact combination
+            x[:, 5] = 7.0
+        frames[g] = x
+    rows = [(g, *map(float, r)) for g, x in frames.items() for r in x]
+    df = spark.createDataFrame(rows, "g string, " + ", ".join(f"{n} double" for n in names)).repartition(5)
+    got = {(r["g"], r["feature"]): r["vif"] for r in collinearity.feature_vif(df, names, ["g"]).collect()}
+    assert len(got) == 33
+    for g in ("a", None):
+        want = np.diag(np.linalg.inv(np.corrcoef(frames[g].T)))
+        assert [got[g, f] for f in names] == pytest.approx(list(want), rel=1e-6)
+    assert all(got["c", f] == float("inf") for f in ("f0", "f1", "f3", "f5"))
+    rest = [i for i in range(11) if i not in (0, 5)]  # f0 is left out: the others span the same columns
+    want = np.diag(np.linalg.inv(np.corrcoef(frames["c"][:, rest].T)))
+    assert [got["c", f"f{i}"] for i in rest if i not in (1, 3)] == pytest.approx([w for i, w in zip(rest, want) if i not in (1, 3)], rel=1e-6)
+    alone = {r["feature"]: r["vif"] for r in collinearity.feature_vif(df.where("g = 'a'"), names).collect()}
+    assert [alone[f] for f in names] == pytest.approx([got["a", f] for f in names])
+
+
+def test_vif_of_five_hundred_features(spark):
+    """The plan grows with the features, not with their pairs."""
+    names = [f"f{i}" for i in range(500)]
+    df = spark.range(2000).selectExpr("id", *[f"double(pmod(xxhash64(id, {i}), 9973)) AS f{i}" for i in range(500)])
+    got = collinearity.feature_vif(df, names)
+    assert len(got._jdf.queryExecution().optimizedPlan().toString()) < 2_000_000
+    rows = got.collect()
+    assert len(rows) == 500 and all(1.0 <= r["vif"] < 2.0 for r in rows)
