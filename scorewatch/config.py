@@ -109,5 +109,38 @@ def config_rows(spark: SparkSession, t: Thresholds) -> DataFrame:
     return spark.createDataFrame(rows, "config_version string, path string, value string")
 
 
+DEPTH = 5
+
+
+def config_documents(documents: DataFrame, key: str, config: str) -> DataFrame:
+    """Active thresholds of many threshold files: rows (key, field, value, given), a row per field of every file.
+
+    `documents` holds a key and the file's text. Nested objects are flattened to dotted paths (at most `DEPTH` deep); of
+    two spellings of a field the later path of PATHS wins; a null value counts as not given. A missing file (null text)
+    has the defaults under the version `fallback_defaults`.
+    """
+    spark = documents.sparkSession
+    level = documents.select(F.col(key).alias("k"), F.parse_json(config).alias("v"), F.lit("").alias("prefix")).where("v IS NOT NULL")
+    flat = None
+    for _ in range(DEPTH):
+        found = spark.sql(
+            "SELECT k, concat(prefix, e.key) AS path, e.value AS v, schema_of_variant(e.value) AS kind"
+            " FROM {level}, LATERAL variant_explode(v) e",
+            level=level,
+        )
+        leaves = found.where("kind NOT LIKE 'OBJECT%' AND kind <> 'VOID'").selectExpr("k", "path", "CAST(v AS STRING) AS value")
+        flat = leaves if flat is None else flat.unionAll(leaves)
+        level = found.where("kind LIKE 'OBJECT%'").selectExpr("k", "v", "concat(path, '.') AS prefix")
+    # fixed by the module: a row per path, a row per field
+    paths = spark.createDataFrame([(p, f, i) for i, (p, f) in enumerate(PATHS.items())], "path string, field string, place int")
+    given = flat.join(F.broadcast(paths), "path").groupBy("k", "field").agg(F.expr("max_by(value, place) AS value"))
+    defaults = spark.createDataFrame([(f.name, str(f.default)) for f in fields(Thresholds)], "field string, fallback string")
+    every = documents.select(F.col(key).alias("k"), F.col(config).isNull().alias("missing")).crossJoin(F.broadcast(defaults))
+    version = "CASE WHEN missing AND field = 'config_version' THEN 'fallback_defaults' ELSE fallback END"
+    return every.join(given, ["k", "field"], "left").selectExpr(
+        f"k AS `{key}`", "field", f"coalesce(value, {version}) AS value", "value IS NOT NULL AS given"
+    )
+
+
 def with_version(df: DataFrame, t: Thresholds) -> DataFrame:
     return df.withColumn("config_version", F.lit(t.config_version))

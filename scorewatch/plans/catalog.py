@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import PATHS, Thresholds, config_rows
+from ..config import config_documents as config_documents_of
 from ..operators import (
     boosting,
     calibration,
@@ -21,6 +22,7 @@ from ..operators import (
     risk,
     runs,
     segments,
+    selection,
 )
 from ..session import shared_path, stored
 from ..sources import readers, sinks
@@ -337,6 +339,7 @@ def _review(spark, d) -> Review:
         thresholds=T,
         bounds=views.BOUNDS,
         importance=explain.label_correlation_importance(features_df, FEATURES, "label", FLEET),
+        model_runs=views.model_runs(spark, d),
     )
 
 
@@ -441,6 +444,38 @@ def proposed_config(spark, d):
     return feedback.proposed_config(config_rows(spark, T), _recommendations(spark, d), ["run_id"], reviews)
 
 
+def human_review(spark, d):
+    """Recommendations by model, with a human review where a risky model has no feedback."""
+    review, events = _review(spark, d), views.model_feedback(spark, d)
+    found = feedback.calibration_recommendations(
+        feedback.feedback_patterns(events, FLEET, T), FLEET, health=review.health, feedback=events, matrix=review.matrix
+    )
+    return found.select(*FLEET, "recommendation_id", "change_type", "feature", "confidence")
+
+
+def config_documents(spark, d):
+    """The thresholds of every run's file; values as numbers where they are."""
+    found = config_documents_of(views.configs(spark, d), "run_id", "config")
+    number = F.expr("round(try_cast(value AS DOUBLE), 6)")
+    return found.select("run_id", "field", number.alias("number"), F.when(number.isNull(), F.col("value")).alias("text"), "given")
+
+
+def feature_selection(spark, d):
+    """Columns chosen from the schemas of the views, with the known train cells of each chosen feature."""
+    f, p = views.features(spark, d), views.predictions(spark, d)
+    declared = ["price", "loyalty_tier", "win", "qty"]
+    chosen = {
+        "review_declared": selection.review_features(f, f, declared, "label", "entity_id"),
+        "review_all": selection.review_features(f, f.drop("urgent"), (), "label", "entity_id"),
+        "model_declared": selection.model_features(f, f, declared, "label", "entity_id"),
+        "model_all": selection.model_features(f.join(p.drop("model_id", "win"), "entity_id"), f, (), "label", "entity_id", "model_id"),
+    }
+    known = _window(f, "train").agg(*[F.count(c).alias(c) for c in f.columns])
+    known = known.unpivot([], f.columns, "feature", "known_cells")
+    rows = [(kind, place, c) for kind, names in chosen.items() for place, c in enumerate(names)]
+    return spark.createDataFrame(rows, "chosen_by string, place int, feature string").join(F.broadcast(known), "feature", "left")
+
+
 def feedback_intake(spark, d):
     accepted, rejected = feedback.validate_events(views.feedback(spark, d))
     both = accepted.select(F.lit("accepted").alias("outcome"), "feedback_type").unionAll(
@@ -594,6 +629,9 @@ def queries():
         calibration_recommendations,
         proposed_config,
         feedback_intake,
+        human_review,
+        config_documents,
+        feature_selection,
     ]
     found = {q.__name__: q for q in named}
     found["median_imputed"] = _imputed(None)

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from dataclasses import fields
 from statistics import NormalDist
 
+from ..config import PATHS, Thresholds
 from ..sources.review_views import (
     FEATURES,
     REVIEW_BASE,
+    REVIEW_CONFIGS,
     REVIEW_FEATURES,
     REVIEW_FEEDBACK,
+    REVIEW_MODEL_FEEDBACK,
+    REVIEW_MODEL_RUNS,
     REVIEW_PREDICTIONS,
     REVIEW_RUNS,
 )
@@ -410,6 +415,8 @@ def oracle_sql(config_rows) -> dict[str, str]:
         + f" GROUP BY run_id, {c}"
         for s, c in (("by_type", "feedback_type"), ("by_agent", "related_agent"), ("by_role", "user_role"), ("by_feature", "feature"))
     )
+    known_paths = ", ".join(f"('{p}', '{f}', {i})" for i, (p, f) in enumerate(PATHS.items()))
+    fallbacks = ", ".join(f"('{f.name}', '{f.default}')" for f in fields(Thresholds))
     config = ", ".join(f"('{p}', '{v}')" for p, v in config_rows if p != "config_version")
     gap = "avg_predicted_score - actual_rate"
     sql = {
@@ -545,7 +552,9 @@ def oracle_sql(config_rows) -> dict[str, str]:
         " UNION ALL SELECT g, 2, rk, feature || ' is a high-risk feature because it is model-important and has ' || lower(drift_level)"
         " || ' drift.' FROM matrix WHERE final_risk = 'High' UNION ALL SELECT g, 3, 1, 'Prediction drift is ' || drift_level ||"
         " ' based on score distribution shift and KS p-value.' FROM s_lvl UNION ALL SELECT g, 4, row_number() OVER (PARTITION BY g"
-        " ORDER BY vif DESC, feature), 'VIF risk is High for ' || feature || '.' FROM vifl WHERE vif_risk = 'High')"
+        " ORDER BY vif DESC, feature), 'VIF risk is High for ' || feature || '.' FROM vifl WHERE vif_risk = 'High'"
+        " UNION ALL SELECT model_id, 5, 1, 'Train-validation AUC delta indicates ' || CASE WHEN train_auc - validation_auc >= 0.07"
+        f" THEN 'high' ELSE 'medium' END || ' overfitting risk.' FROM ({REVIEW_MODEL_RUNS}) r WHERE train_auc - validation_auc >= 0.03)"
         " SELECT g AS model_id, row_number() OVER (PARTITION BY g ORDER BY part, place) AS finding_no, finding FROM ft",
         "recommended_actions": fleet + ", fl AS (SELECT g, bool_or(final_risk = 'High') AS h, bool_or(rk <= 5 AND drift_level = 'High') AS t,"
         " bool_or(vif_risk = 'High') AS v FROM matrix GROUP BY g), al AS (SELECT g, list_filter(list_concat(list_concat(["
@@ -577,6 +586,34 @@ def oracle_sql(config_rows) -> dict[str, str]:
         " (SELECT run_id FROM rec) THEN 'pending_human_review' ELSE 'no_changes_recommended' END AS value FROM runs) SELECT run_id, path, value, true AS changed FROM latest UNION ALL SELECT run_id, path, value,"
         " false FROM runs, active WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.run_id = runs.run_id AND l.path = active.path)"
         " UNION ALL SELECT run_id, path, value, false FROM runs, heads UNION ALL SELECT run_id, path, value, false FROM status",
+        "human_review": fleet + ", " + (PATTERNS + RECOMMENDATIONS[len(PATTERNS) :]).replace(
+            f"WITH feedback AS ({REVIEW_FEEDBACK})", f"feedback AS (SELECT *, model_id AS run_id FROM ({REVIEW_MODEL_FEEDBACK}) m)"
+        )
+        + " SELECT run_id AS model_id, recommendation_id, change_type, feature, confidence FROM rec UNION ALL"
+        " SELECT d.g, 'REC_001', 'human_review', '', 'High' FROM decision d WHERE d.g NOT IN (SELECT run_id FROM feedback)"
+        " AND (lvl = 'High' OR d.g IN (SELECT g FROM matrix WHERE final_risk = 'High'))",
+        "config_documents": f"WITH docs AS ({REVIEW_CONFIGS}), paths AS (SELECT * FROM (VALUES {known_paths}) t(path, field, place)),"
+        f" fallbacks AS (SELECT * FROM (VALUES {fallbacks}) t(field, fallback)),"
+        " given AS (SELECT run_id, field, arg_max(v, place) AS v FROM (SELECT run_id, field, place, json_extract_string(config, '$.' || path)"
+        " AS v FROM docs, paths) WHERE v IS NOT NULL GROUP BY ALL), act AS (SELECT run_id, field, coalesce(v, CASE WHEN config IS NULL"
+        " AND field = 'config_version' THEN 'fallback_defaults' ELSE fallback END) AS value, v IS NOT NULL AS given"
+        " FROM (SELECT * FROM docs, fallbacks) d LEFT JOIN given USING (run_id, field)) SELECT run_id, field, round(TRY_CAST(value AS DOUBLE), 6) AS number,"
+        " CASE WHEN TRY_CAST(value AS DOUBLE) IS NULL THEN value END AS text, given FROM act",
+        "feature_selection": one + f", cols AS (SELECT column_name AS c, row_number() OVER () AS n, column_type NOT IN ('VARCHAR', 'DATE') AS numeric"
+        f" FROM (DESCRIBE WITH review_base AS ({REVIEW_BASE}) {REVIEW_FEATURES})),"
+        " pcols AS (SELECT column_name AS c, row_number() OVER () AS n, column_type NOT IN ('VARCHAR', 'DATE') AS numeric"
+        f" FROM (DESCRIBE WITH review_base AS ({REVIEW_BASE}) {REVIEW_PREDICTIONS})),"
+        " wanted AS (SELECT * FROM (VALUES ('price', 1), ('loyalty_tier', 2), ('win', 3), ('qty', 4)) t(c, n)),"
+        " picks AS (SELECT 'review_declared' AS chosen_by, c, w.n FROM wanted w JOIN cols USING (c) WHERE numeric"
+        " UNION ALL SELECT 'model_declared', c, w.n FROM wanted w JOIN cols USING (c) WHERE numeric AND c NOT IN ('label', 'entity_id')"
+        " UNION ALL SELECT 'review_all', c, n FROM cols WHERE numeric AND c NOT IN ('label', 'entity_id', 'urgent')"
+        " UNION ALL SELECT 'model_all', c, n FROM (SELECT c, n FROM cols WHERE numeric UNION ALL SELECT c, 100 + n FROM pcols WHERE numeric"
+        " AND c NOT IN (SELECT c FROM cols)) WHERE c NOT IN ('label', 'entity_id', 'model_id', 'predicted_label', 'actual_label')"
+        " AND NOT regexp_matches(c, '(_label|_score|_prediction)$')),"
+        " counted AS (UNPIVOT (SELECT " + ", ".join(f"CAST(count({c}) AS BIGINT) AS {c}" for c in ("entity_id", "model_id", *FEATURES, "label"))
+        + " FROM feats WHERE win = 'train') ON COLUMNS(*) INTO NAME feature VALUE known)"
+        " SELECT chosen_by, CAST(row_number() OVER (PARTITION BY chosen_by ORDER BY p.n) - 1 AS INTEGER) AS place, c AS feature,"
+        " known AS known_cells FROM picks p LEFT JOIN counted ON counted.feature = c",
         "feedback_intake": FEEDBACK + "SELECT CASE WHEN feedback_type IS NULL THEN 'rejected' ELSE 'accepted' END AS outcome,"
         " coalesce(feedback_type, '') AS feedback_type, count(*) AS events FROM feedback GROUP BY ALL",
     }

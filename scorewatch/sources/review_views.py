@@ -78,6 +78,29 @@ SELECT concat('run_', CAST(n_nationkey AS VARCHAR(10))) AS run_id, 0.7E0 + n_nat
 FROM nation
 """
 
+# Feedback by model: only two of the three models have any.
+REVIEW_MODEL_FEEDBACK = REVIEW_FEEDBACK.replace("concat('run_', CAST(user_id % 5 AS VARCHAR(10))) AS run_id", "user_id % 2 AS model_id")
+
+# The mean figures of a model's runs.
+REVIEW_MODEL_RUNS = f"""
+SELECT CAST(substr(run_id, 5) AS INTEGER) % 3 AS model_id, avg(train_auc) AS train_auc, avg(validation_auc) AS validation_auc
+FROM ({REVIEW_RUNS}) r GROUP BY CAST(substr(run_id, 5) AS INTEGER) % 3
+"""
+
+# A threshold file of every run, as text: some objects, some spelled both ways, some without a file.
+REVIEW_CONFIGS = """
+SELECT concat('run_', CAST(n_nationkey AS VARCHAR(10))) AS run_id,
+       CASE WHEN n_nationkey % 7 = 6 THEN NULL
+            WHEN n_nationkey % 7 = 5 THEN '{}'
+            ELSE concat('{"config_version": "v', CAST(n_regionkey AS VARCHAR(10)), '", "status": "active", "drift": {"psi_high": 0.',
+                        CAST(25 + n_nationkey AS VARCHAR(10)), ', "psi_medium": null}, "diagnostics": {"vif_high": ',
+                        CAST(8 + n_nationkey AS VARCHAR(10)), '.5',
+                        CASE WHEN n_nationkey % 2 = 0 THEN ', "vif_thresholds": {"high": 12.5, "medium": 4.5}' ELSE '' END,
+                        '}, "feedback": {"minimum_feedback_events_for_recommendation": ', CAST(2 + n_regionkey AS VARCHAR(10)), '}}')
+       END AS config
+FROM nation
+"""
+
 FEATURES = ["n_items", "qty", "price", "avg_discount", "avg_tax", "urgent"]
 BOUNDS = {"avg_discount": (0.0, 0.095), "avg_tax": (0.0, 0.08)}
 
@@ -107,6 +130,23 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(REVIEW_RUNS.replace("FROM nation", "FROM {nation}"), nation=_read(spark, sf_dir, "nation"))
 
 
+def _over(spark: SparkSession, sf_dir: str, table: str, sql: str) -> DataFrame:
+    return spark.sql(sql.replace(f"FROM {table}", "FROM {rows}").replace("{\"", "{{\"").replace("'{}'", "'{{}}'"), rows=_read(spark, sf_dir, table))
+
+
+def model_feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _over(spark, sf_dir, "events", REVIEW_MODEL_FEEDBACK)
+
+
+def model_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _over(spark, sf_dir, "nation", REVIEW_MODEL_RUNS)
+
+
+def configs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _read(spark, sf_dir, "nation").createOrReplaceTempView("scorewatch_nation")
+    return spark.sql(REVIEW_CONFIGS.replace("FROM nation", "FROM scorewatch_nation"))
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, "events")
 

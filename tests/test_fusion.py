@@ -223,3 +223,26 @@ def test_whole_review_is_saved(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "feature_risk_matrix")).count() == 2
     skip = Review(f, p, ["a", "b"], importance=importance, thresholds=Thresholds(drift_gate_mode="skip", severe_psi=0.0))
     assert skip.importance.count() == 0 and skip.vif.count() == 0 and skip.segment_features == ["a", "b"]
+
+
+def test_config_documents(spark):
+    """Nested files to active thresholds: two spellings, nulls, lists, an empty and a missing file."""
+    from scorewatch.config import config_documents
+
+    docs = spark.createDataFrame(
+        [
+            ("a", '{"config_version": "v9", "drift": {"psi_high": 0.3, "known_seasonal_features": ["x"]}, "diagnostics": '
+             '{"vif_high": 11, "vif_thresholds": {"high": 12}, "segment_performance_thresholds": {"minimum_segment_count": 5}}}'),
+            ("b", '{"drift": {"psi_high": null}}'),
+            ("c", None),
+            ("d", "{}"),
+        ],
+        "file string, body string",
+    )
+    got = {(r["file"], r["field"]): (r["value"], r["given"]) for r in config_documents(docs, "file", "body").collect()}
+    fields = {f for _, f in got}
+    assert len(got) == 4 * len(fields)
+    assert got["a", "psi_high"] == ("0.3", True) and got["a", "vif_high"] == ("12", True) and got["a", "config_version"] == ("v9", True)
+    assert got["a", "segment_min_count"] == ("5", True) and got["a", "psi_medium"] == ("0.1", False)
+    assert got["b", "psi_high"] == ("0.25", False) and got["b", "config_version"] == ("v1", False)
+    assert got["c", "config_version"] == ("fallback_defaults", False) and got["d", "config_version"] == ("v1", False)
