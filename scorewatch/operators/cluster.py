@@ -31,9 +31,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 K = 3
 # Starts tried: the sum of all features, then the features in order.
 SEEDS = range(10)
-MAX_ITERATIONS = 60
-# A start has settled when no centre moves further than this, in standard deviations.
-SETTLED = 1e-9
+# The reference fit's own bounds: steps, and the sum of squares by which all centres of a start may still move when it stops.
+MAX_ITERATIONS = 300
+SETTLED = 1e-4
 # Centres of the reviews iterated together hold at most so many numbers; further reviews follow.
 NUMBERS = 2_000_000
 # Cells of a batch that are looked at together.
@@ -145,15 +145,17 @@ def _fitted(train: DataFrame, features, seeds, k: int, max_iterations: int) -> d
     """Centres of every review and start after the iteration. The driver holds at most `NUMBERS` numbers."""
     fitted = _next_centres(_partial_sums(train, features, None, seeds, k).collect(), features, len(seeds), k)
     moving = dict(fitted)
+    stopped = {review: np.zeros(len(seeds), bool) for review in fitted}
     for _ in range(max_iterations):
         if not moving:
             break
         after = _next_centres(_partial_sums(train, features, moving, seeds, k).collect(), features, len(seeds), k)
         still = {}
         for review, before in moving.items():
-            fitted[review] = now = after[review]
-            same = (np.isnan(before) & np.isnan(now)) | (np.abs(before - now) <= SETTLED)
-            if not same.all():
+            done = stopped[review]
+            fitted[review] = now = np.where(done[:, None, None], before, after[review])
+            done |= np.nansum((now - before) ** 2, axis=(1, 2)) <= SETTLED
+            if not done.all():
                 still[review] = now
         moving = still
     return fitted

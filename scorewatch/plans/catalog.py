@@ -418,6 +418,19 @@ def evidence_packet(spark, d):
     return _review(spark, d).packet()
 
 
+def evidence_paths(spark, d):
+    """The packet's values, section by section and path by path: how many, their sum, the least and the greatest text."""
+    values = evidence.flattened(_review(spark, d).packet(), FLEET)
+    wanted = spark.createDataFrame([(s, p) for s, (_, paths) in oracles.PACKET.items() for p in paths], "section string, path string")
+    shown = F.when(F.col("number").isNull(), F.col("text"))
+    return values.join(F.broadcast(wanted), ["section", "path"]).groupBy(*FLEET, "section", "path").agg(
+        F.count("*").alias("records"),
+        F.round(F.sum(F.round("number", 6)), 4).alias("total"),
+        F.min(shown).alias("least"),
+        F.max(shown).alias("greatest"),
+    )
+
+
 # ---------------------------------------------------------------- feedback
 
 
@@ -624,6 +637,7 @@ def queries():
         tree_risk_matrix,
         high_risk_lines,
         evidence_packet,
+        evidence_paths,
         feedback_summary,
         feedback_patterns,
         calibration_recommendations,

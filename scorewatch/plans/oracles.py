@@ -143,7 +143,7 @@ def _pct(train: str, current: str) -> str:
     )
 
 
-def _population_mix(k: int = 3, steps: int = 60) -> list[str]:
+def _population_mix(k: int = 3, steps: int = 300) -> list[str]:
     """CTE `mix`: shares per cluster. Lloyd's iteration as a recursive query; a row per group and start holds all centres."""
     p = len(FEATURES)
     dims, clusters, starts = range(p), range(k), range(p + 1)
@@ -160,6 +160,10 @@ def _population_mix(k: int = 3, steps: int = 60) -> list[str]:
     band = "CASE " + " ".join(f"WHEN v <= {c!r} THEN {i}" for i, c in enumerate(cuts)) + f" ELSE {k - 1} END"
     names = ", ".join(f"c{c}_{j}" for c in clusters for j in dims)
     means = ", ".join(f"avg(z{j}) FILTER (WHERE b = {c}) AS c{c}_{j}" for c in clusters for j in dims)
+    before = ", ".join(f"any_value(c{c}_{j}) AS o{c}_{j}" for c in clusters for j in dims)
+    after = ", ".join(f"avg(z{j}) FILTER (WHERE b = {c}) AS n{c}_{j}" for c in clusters for j in dims)
+    moved = " + ".join(f"coalesce(pow(n{c}_{j} - o{c}_{j}, 2), 0)" for c in clusters for j in dims)
+    renamed = ", ".join(f"n{c}_{j} AS c{c}_{j}" for c in clusters for j in dims)
     far = ", ".join(
         f"coalesce({' + '.join(f'pow(z{j} - c{c}_{j}, 2)' for j in dims)}, 'infinity') AS e{c}" for c in clusters
     )
@@ -173,17 +177,18 @@ def _population_mix(k: int = 3, steps: int = 60) -> list[str]:
         f"km_mom AS (SELECT g, {moments} FROM km_fill GROUP BY g)",
         f"km_z AS MATERIALIZED (SELECT f.g, win, {scaled} FROM km_fill f JOIN km_mom USING (g))",
         f"km_start AS (SELECT g, seed, {zs}, {score} END AS v FROM km_z, (SELECT unnest(range(0, {p + 1})) AS seed) WHERE win = 'train')",
-        f"km_first AS (SELECT 0 AS step, g, seed, {means} FROM (SELECT *, {band} AS b FROM km_start) GROUP BY g, seed)",
-        f"km AS (SELECT * FROM km_first UNION ALL SELECT step + 1, g, seed, {means} FROM (SELECT step, g, seed, {zs}, {nearest} AS b"
-        f" FROM (SELECT step, z.g, seed, {zs}, {far} FROM km JOIN km_z z ON km.g = z.g WHERE step < {steps} AND win = 'train'))"
-        " GROUP BY step, g, seed)",
-        f"km_end AS (SELECT z.g, seed, win, {far} FROM km JOIN km_z z ON km.g = z.g WHERE step = {steps})",
+        f"km_first AS (SELECT 0 AS step, g, seed, {means}, false AS done FROM (SELECT *, {band} AS b FROM km_start) GROUP BY g, seed)",
+        f"km AS (SELECT * FROM km_first UNION ALL SELECT step + 1, g, seed, {renamed}, {moved} <= 1e-4 FROM"
+        f" (SELECT step, g, seed, {before}, {after} FROM (SELECT *, {nearest} AS b FROM (SELECT step, z.g, seed, {names}, {zs}, {far}"
+        f" FROM km JOIN km_z z ON km.g = z.g WHERE step < {steps} AND NOT done AND win = 'train')) GROUP BY step, g, seed))",
+        "km_last AS (SELECT * FROM km QUALIFY row_number() OVER (PARTITION BY g, seed ORDER BY step DESC) = 1)",
+        f"km_end AS (SELECT z.g, seed, win, {far} FROM km_last km JOIN km_z z ON km.g = z.g)",
         f"km_cost AS (SELECT g, arg_min(seed, cost) AS seed FROM (SELECT g, seed, sum({least}) FILTER (WHERE win = 'train') AS cost"
         " FROM km_end GROUP BY g, seed) GROUP BY g)",
         f"km_count AS (SELECT g, b AS c, count(*) FILTER (WHERE win = 'train') AS t, count(*) FILTER (WHERE win = 'current') AS n"
         f" FROM (SELECT g, seed, win, {nearest} AS b FROM km_end) JOIN km_cost USING (g, seed) GROUP BY g, b)",
         f"km_centre AS (SELECT g, c, row_number() OVER (PARTITION BY g ORDER BY centre) - 1 AS cluster FROM (SELECT g, c, {centre} AS centre"
-        f" FROM (SELECT g, seed, {names}, unnest(range(0, {k})) AS c FROM km WHERE step = {steps}) JOIN km_cost USING (g, seed)))",
+        f" FROM (SELECT g, seed, {names}, unnest(range(0, {k})) AS c FROM km_last) JOIN km_cost USING (g, seed)))",
         "mix AS (SELECT g, CAST(cluster AS INTEGER) AS cluster, coalesce(t, 0) / sum(coalesce(t, 0)) OVER (PARTITION BY g) * 100 AS train_share,"
         " coalesce(n, 0) / sum(coalesce(n, 0)) OVER (PARTITION BY g) * 100 AS current_share"
         " FROM km_centre LEFT JOIN km_count USING (g, c))",
@@ -406,6 +411,46 @@ RECOMMENDATIONS = (
 )
 
 
+# Sections of the evidence packet with a query of their own: section -> (query, paths).
+PACKET = {
+    "feature_drift": ("fleet_feature_drift", ["feature", "psi", "ks_statistic", "wasserstein_distance", "train_mean", "drift_level"]),
+    "issue_counts": ("quality_issue_counts", ["issue_level", "issue_count"]),
+    "cluster_shift": ("cluster_share_shift", ["cluster", "train_share_pct", "current_share_pct", "share_change_pct_points"]),
+    "importance": ("importance_rank", ["feature", "mean_abs_shap", "shap_rank"]),
+    "vif": ("feature_vif", ["feature", "vif", "vif_risk"]),
+    "feature_risk_matrix": ("feature_risk_matrix", ["feature", "shap_rank", "psi", "vif", "drift_level", "final_risk"]),
+    "calibration_summary": ("calibration_summary", ["row_count", "brier_score"]),
+    "lift": ("fleet_lift_table", ["decile", "count", "lift"]),
+    "recommended_checks": ("recommended_checks", ["check_no", "recommended_check"]),
+    "key_findings": ("key_findings", ["finding_no", "finding"]),
+    "recommended_actions": ("recommended_actions", ["action_no", "action"]),
+    "model_health": ("model_health_status", ["model_health_status"]),
+    "high_risk_features": ("high_risk_lines", ["feature", "line"]),
+}
+
+
+def _packet_sql(sql: dict[str, str], fleet: str) -> str:
+    """Per section and path: values, their sum and the range of their texts, over the sections' own SQL."""
+    parts = []
+    for section, (query, paths) in PACKET.items():
+        cells = []
+        for path in paths:
+            number = f"TRY_CAST(CAST({path} AS VARCHAR) AS DOUBLE)"
+            text = f"CASE WHEN {number} IS NULL THEN CAST({path} AS VARCHAR) END"
+            cells.append(
+                f"{{'path': '{path}', 'records': count({path}), 'total': round(sum(round({number}, 6)), 4) + 0.0,"
+                f" 'least': min({text}), 'greatest': max({text})}}"
+            )
+        own = sql[query].removeprefix(fleet)  # its SELECT, or further CTEs and the SELECT
+        own = "WITH " + own[2:] if own.startswith(", ") else own
+        parts.append(f"SELECT model_id, '{section}' AS section, unnest([{', '.join(cells)}]) AS u FROM ({own}) t GROUP BY model_id")
+    return (
+        fleet
+        + "SELECT model_id, section, u.path AS path, u.records AS records, u.total AS total, u.least AS least, u.greatest AS greatest"
+        + f" FROM ({' UNION ALL '.join(parts)}) WHERE u.records > 0"
+    )
+
+
 def oracle_sql(config_rows) -> dict[str, str]:
     """Query name -> SQL. `config_rows` are the active (path, value) thresholds."""
     one, fleet = prelude(), prelude("model_id")
@@ -617,5 +662,6 @@ def oracle_sql(config_rows) -> dict[str, str]:
         "feedback_intake": FEEDBACK + "SELECT CASE WHEN feedback_type IS NULL THEN 'rejected' ELSE 'accepted' END AS outcome,"
         " coalesce(feedback_type, '') AS feedback_type, count(*) AS events FROM feedback GROUP BY ALL",
     }
+    sql["evidence_paths"] = _packet_sql(sql, fleet)
     sql["contract_violations"] = one + sql["contract_violations"].replace(" FROM f WHERE", " FROM feats WHERE")
     return sql

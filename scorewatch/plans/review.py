@@ -23,6 +23,7 @@ from ..operators import (
     runs,
     segments,
 )
+from ..functions.text import quote
 from ..session import pin
 from ..sources import sinks
 
@@ -288,9 +289,19 @@ class Review:
         """One nested row per reviewed model."""
         named = self.reports()
         named.pop("risk_decision")
+        named |= {
+            "issue_counts": quality.issue_counts(self.quality, self.groups),
+            "high_drift_features": drift.drift_at_level(self.drift, "High").select(*self.groups, "feature", "psi", "ks_pvalue"),
+            "medium_drift_features": drift.drift_at_level(self.drift, "Medium").select(*self.groups, "feature", "psi", "ks_pvalue"),
+            "top_drivers": self.importance.where("shap_rank <= 5").select(*self.groups, "shap_rank", "feature", "mean_abs_shap"),
+            "high_risk_features": risk.high_risk_lines(self.matrix, self.groups),
+        }
+        if self.metadata is not None and self.groups and set(self.groups) <= set(self.metadata.columns):
+            named["model_metadata"] = self.metadata
         if self.groups:
             named = {n: r for n, r in named.items() if set(self.groups) <= set(r.columns)}
-        return evidence.evidence_packet(self.decision, named, self.groups)
+        versioned = self.decision.selectExpr("*", f"{quote(self.t.config_version)} AS config_version")
+        return evidence.evidence_packet(versioned, named, self.groups)
 
     def save(self, path: str, run_id: str, replace: bool = True) -> None:
         """Write every report and the nested packet below `path`, partitioned by run."""

@@ -142,11 +142,14 @@ def _lloyd(x, k, seeds, steps):
     best = None
     for s in seeds:
         score = x.sum(1) / np.sqrt(x.shape[1]) if s == 0 else x[:, s - 1]
-        which = np.searchsorted(cluster.borders(k), score, side="left")
+        which, before = np.searchsorted(cluster.borders(k), score, side="left"), None
         for _ in range(steps):
             centres = np.array([x[which == c].mean(0) if (which == c).any() else np.full(x.shape[1], np.nan) for c in range(k)])
             far = np.nan_to_num(((x[:, None] - centres[None]) ** 2).sum(2), nan=np.inf)
             which = far.argmin(1)
+            if before is not None and np.nansum((centres - before) ** 2) <= cluster.SETTLED:
+                break
+            before = centres
         cost = far.min(1).sum()
         if best is None or cost < best[0]:
             best = (cost, centres)
@@ -162,7 +165,7 @@ def test_cluster_shift_of_a_fleet(spark, monkeypatch):
         y = np.concatenate([rng.normal(m, 0.5, (n, 3)) for m, n in ((0, 10), (3, 35))])
         rows += [("train", g, *map(float, r)) for r in x] + [("current", g, *map(float, r)) for r in y]
         mean, std = x.mean(0), x.std(0)
-        centres = _lloyd((x - mean) / std, 3, range(4), 60)
+        centres = _lloyd((x - mean) / std, 3, range(4), 300)
         shares = []
         for part in (x, y):
             near = (((part - mean) / std)[:, None] - centres[None]) ** 2
