@@ -89,7 +89,7 @@ def _quality(spark, d, groups=()):
 
 
 def data_quality_report(spark, d):
-    return rounded(_quality(spark, d), "check_type", "dataset", "feature", "current_value", "change_value", "issue_level")
+    return rounded(_quality(spark, d), "check_type", "dataset", "feature", "current_value", "change_value", "issue_level", "message", "issue_reason")
 
 
 def duplicate_entity_rate(spark, d):

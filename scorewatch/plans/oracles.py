@@ -385,6 +385,27 @@ CHECKS = (
     " CASE WHEN mm > 0 THEN 'Investigate features with material missing-rate changes.' END,"
     " CASE WHEN sl IN ('High', 'Medium') THEN 'Review prediction score drift against decision thresholds and downstream actions.' END]"
 )
+QUALITY_MESSAGE = (
+    "CASE check_type WHEN 'required_columns_present' THEN 'All required columns are present.'"
+    " WHEN 'duplicate_entity_rate' THEN 'Duplicate entity rate is ' || printf('%.2f', change_value * 100) || '%.'"
+    " WHEN 'missing_rate_change_pct_points' THEN 'Missing rate changed by ' || printf('%+.2f', change_value) || ' percentage points.'"
+    " WHEN 'boundary_violation_rate' THEN 'Current values outside training/metadata bounds: ' || printf('%.2f', change_value * 100) || '%.'"
+    " WHEN 'prediction_score_out_of_range_rate' THEN 'Prediction scores outside [0, 1]: ' || printf('%.2f', change_value * 100) || '%.'"
+    " ELSE 'Current labels are available.' END"
+)
+QUALITY_REASON = (
+    "CASE check_type WHEN 'required_columns_present' THEN 'Low because all required columns are present.'"
+    " WHEN 'missing_rate_change_pct_points' THEN CASE issue_level WHEN 'Low' THEN"
+    " 'Low because missing-rate shift did not cross configured thresholds.' ELSE issue_level || ' because missing-rate shift ' ||"
+    " printf('%+.2f', change_value) || ' pp is at or above configured ' || lower(issue_level) || ' threshold ' ||"
+    " CASE issue_level WHEN 'High' THEN '20.00' ELSE '5.00' END || ' pp.' END"
+    " WHEN 'boundary_violation_rate' THEN CASE issue_level WHEN 'Low' THEN"
+    " 'Low because no boundary violations crossed configured thresholds.' WHEN 'High' THEN 'High because boundary violation rate ' ||"
+    " printf('%.2f', change_value * 100) || '% is at or above configured high threshold 5.00%.' ELSE 'Medium because boundary violation rate ' ||"
+    " printf('%.2f', change_value * 100) || '% is above configured medium threshold 0.00%.' END"
+    " WHEN 'label_availability' THEN 'Low because current labels are available.'"
+    " ELSE CASE issue_level WHEN 'High' THEN 'High because non-zero rate was observed.' ELSE 'Low because no issue was observed.' END END"
+)
 FEEDBACK = f"WITH feedback AS ({REVIEW_FEEDBACK}) "
 PATTERNS = (
     FEEDBACK
@@ -484,7 +505,8 @@ def oracle_sql(config_rows) -> dict[str, str]:
         "mean_shift": one + f"SELECT feature, {_r('train_mean', 'train_mean')}, {_r('current_mean', 'current_mean')},"
         f" {_r(_pct('train_mean', 'current_mean'), 'mean_change_pct')} FROM profile",
         "data_quality_report": one + "SELECT check_type, dataset, feature,"
-        f" {_r('current_value', 'current_value')}, {_r('change_value', 'change_value')}, issue_level FROM quality",
+        f" {_r('current_value', 'current_value')}, {_r('change_value', 'change_value')}, issue_level,"
+        f" {QUALITY_MESSAGE} AS message, {QUALITY_REASON} AS issue_reason FROM quality",
         "duplicate_entity_rate": "SELECT row_count, distinct_rows, row_count - distinct_rows AS duplicate_rows,"
         f" {_r('(row_count - distinct_rows) / row_count', 'duplicate_rate')} FROM (SELECT sum(n)::BIGINT AS row_count, count(*) AS distinct_rows"
         " FROM (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL))",
