@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Thresholds
-from ..functions.clean import finite_sql, level_order
+from ..functions.clean import finite_sql, level_order, number_sql
 from ..functions.text import choose, fixed, quote, sentence, shortest
 from ..session import keyed_join, ordered, stored
 from . import rank
@@ -44,8 +44,12 @@ def _round_sig(x: str, digits: str) -> str:
     return f"CASE WHEN {x} = 0 THEN 0.0D ELSE rint({x} * ({scale})) / ({scale}) END"
 
 
-def segment_edges(values: DataFrame, keys, bins: int, spread: rank.Spread) -> DataFrame:
-    """Per key: distinct count, de-duplicated quantile edges, and the edges as rounded for labels."""
+def segment_edges(values: DataFrame, keys, bins: int, spread: rank.Spread, unbounded: DataFrame) -> DataFrame:
+    """Per key: distinct count, de-duplicated quantile edges, and the edges as rounded for labels.
+
+    Quantiles fail where values are infinite: the keys that `unbounded` marks (a column `equal_width`) get edges at equal
+    distances between their least and greatest finite value, the first a thousandth of the span lower.
+    """
     distinct = rank.value_counts(values, keys, "value", {"n": "1L"}).withColumn("one", F.lit(1).cast("long"))
     running = rank.running_counts(distinct, keys, ["n", "one"], spread)
     q = f"least({bins}, one_all)"
@@ -62,12 +66,19 @@ def segment_edges(values: DataFrame, keys, bins: int, spread: rank.Spread) -> Da
     def rounded(digits: str) -> str:
         return f"transform(edges, x -> {_round_sig('x', digits)})"
 
-    with_edges = picked.selectExpr(
+    quantiles = f"array_distinct(filter(array({edges}), x -> x IS NOT NULL))"
+    steps = f"sequence(0, int({q}))"
+    even = (
+        f"transform({steps}, i -> CASE WHEN i = 0 THEN low - (high - low) * 0.001D WHEN i = {q} THEN high"
+        f" ELSE low + i * ((high - low) / {q}) END)"
+    )
+    with_edges = keyed_join(picked, unbounded, keys, "left").selectExpr(
         *[f"`{k}`" for k in keys],
         "one_all AS distinct_values",
         "low",
         "high",
-        f"array_distinct(filter(array({edges}), x -> x IS NOT NULL)) AS edges",
+        "coalesce(equal_width, false) AS equal_width",
+        f"CASE WHEN equal_width THEN {even} ELSE {quantiles} END AS edges",
     )
     # the smallest precision from 3 up that keeps the rounded edges apart
     precise = with_edges.withColumn(
@@ -87,7 +98,8 @@ def segment_performance(
 ) -> DataFrame:
     """Count, rates, calibration gap, lift, Brier score and risk per (feature, segment).
 
-    Segments are quantile bins `(lo, hi]`; features with at most two values use the values themselves.
+    Segments are quantile bins `(lo, hi]`; features with at most two values use the values themselves, features with
+    infinite values equal-width bins of their finite ones (the infinite ones are in segment `nan`).
     """
     features = list(features)
     keys = [*group_cols, "feature"]
@@ -100,7 +112,12 @@ def segment_performance(
     long = narrow.unpivot([*group_cols, "score", "label"], features, "feature", "value")
     known = long.where("value IS NOT NULL").select(*keys, "value")
     spread = rank.measure(known, keys, "value", rows_per_bucket, narrow, group_cols, len(features))
-    edges = segment_edges(known, keys, bins, spread)
+    infinite = ", ".join(
+        f"{quote(f)}, coalesce(bool_or(abs({number_sql(f)}) = double('infinity')), false)" for f in features
+    )
+    marks = scored.groupBy(*group_cols).agg(F.expr(f"map({infinite}) AS marks"))
+    unbounded = marks.selectExpr(*[f"`{g}`" for g in group_cols], "explode(marks) AS (feature, equal_width)").where("equal_width")
+    edges = segment_edges(known, keys, bins, spread, unbounded)
     few = not group_cols or spread.few_keys
     placed = keyed_join(long, edges, keys, "left", broadcast=few).withColumn(
         "slot",
@@ -115,13 +132,13 @@ def segment_performance(
         F.expr("sum(score) AS score_sum"),
         F.expr("sum(label) AS positives"),
         F.expr("sum((score - label) * (score - label)) AS squared_error"),
-        *[F.expr(f"first({c}) AS {c}") for c in ("distinct_values", "low", "high", "shown", "digits")],
+        *[F.expr(f"first({c}) AS {c}") for c in ("distinct_values", "low", "high", "shown", "digits", "equal_width")],
     )
     # at most bins + 1 rows per feature from here on; a NULL segment carries the edges of its feature too
     per_feature = f"(PARTITION BY {', '.join(key_sql)})"
     low_label = "concat('value=', coalesce(string(try_cast(low AS BIGINT)), string(low)))"
     high_label = "concat('value=', coalesce(string(try_cast(high AS BIGINT)), string(high)))"
-    left = "CASE WHEN slot = 1 THEN get(shown, 0) - pow(10.0D, -digits) ELSE get(shown, slot - 1) END"
+    left = "CASE WHEN slot = 1 AND NOT equal_width THEN get(shown, 0) - pow(10.0D, -digits) ELSE get(shown, slot - 1) END"
     segment = (
         "CASE WHEN slot = 0 THEN CASE WHEN coalesce(distinct_values, 0) <= 2 THEN 'missing' ELSE 'nan' END"
         f" WHEN distinct_values <= 2 THEN CASE WHEN slot = 1 THEN {low_label} ELSE {high_label} END"

@@ -246,6 +246,13 @@ def segment_performance(spark, d):
     return rounded(segments.segment_performance(_scored(spark, d), FEATURES).drop("risk_reason"))
 
 
+def segment_equal_width(spark, d):
+    """Prices with infinities planted: equal-width bins of the finite ones."""
+    planted = "CASE entity_id % 31 WHEN 0 THEN double('infinity') WHEN 1 THEN double('-infinity') ELSE price END"
+    report = segments.segment_performance(_scored(spark, d).withColumn("price", F.expr(planted)), ["price"])
+    return rounded(report.drop("risk_reason"), "segment", "count", "count_share", "avg_score", "actual_rate", "brier_score")
+
+
 def segment_summary(spark, d):
     report = segments.segment_performance(_scored(spark, d, FLEET), FEATURES, FLEET)
     return rounded(segments.segment_summary(report, FLEET))
@@ -615,6 +622,7 @@ def queries():
         lift_summary,
         scored_features,
         segment_performance,
+        segment_equal_width,
         segment_summary,
         segment_heatmap,
         overfitting_delta,

@@ -565,6 +565,19 @@ def oracle_sql(config_rows) -> dict[str, str]:
         "scored_features": one + "SELECT f.entity_id AS entity_id, "
         + ", ".join(_r(f"f.{c}", c) for c in FEATURES)
         + f", {_r('p.score', 'score')}, p.actual_label AS label FROM feats f JOIN cur p ON f.entity_id = p.entity_id WHERE f.win = 'current'",
+        "segment_equal_width": one + ", w AS (SELECT CASE WHEN f.entity_id % 31 IN (0, 1) THEN NULL ELSE price END AS value, p.score,"
+        " p.actual_label AS y FROM feats f JOIN cur p ON f.g = p.g AND f.entity_id = p.entity_id WHERE f.win = 'current'),"
+        " w_e AS (SELECT min(value) AS lo, max(value) AS hi, [min(value) - (max(value) - min(value)) * 0.001,"
+        " min(value) + 1 * ((max(value) - min(value)) / 4), min(value) + 2 * ((max(value) - min(value)) / 4),"
+        " min(value) + 3 * ((max(value) - min(value)) / 4), max(value)] AS es FROM w),"
+        " w_p AS (SELECT es, list_filter(range(3, 20), lambda p: len(list_distinct(list_transform(es,"
+        f" lambda x: {_sig('x', 'p')}))) = len(es))[1] AS pr FROM w_e),"
+        f" w_l AS (SELECT es, list_transform(es, lambda x: {_sig('x', 'pr')}) AS sh FROM w_p),"
+        " w_s AS (SELECT w.*, sh, CASE WHEN value IS NULL THEN 0 ELSE greatest(1, least(4, len(list_filter(es, lambda e: e < value)))) END"
+        " AS slot FROM w, w_l) SELECT CASE WHEN slot = 0 THEN 'nan' ELSE '(' || CAST(sh[slot] AS VARCHAR) || ', ' || CAST(sh[slot + 1] AS"
+        f" VARCHAR) || ']' END AS segment, count(*) AS count, {_r('count(*) / sum(count(*)) OVER ()', 'count_share')},"
+        f" {_r('avg(score)', 'avg_score')}, {_r('avg(y)', 'actual_rate')}, {_r('avg(pow(score - y, 2))', 'brier_score')} FROM w_s"
+        " GROUP BY slot, sh",
         "segment_performance": one + f"SELECT feature, segment, count, {_r('share', 'count_share')}, {_r('avg_score', 'avg_score')},"
         f" {_r('actual_rate', 'actual_rate')}, {_r('gap', 'calibration_gap')}, {_r('abs(gap)', 'abs_calibration_gap')},"
         f" {_r('lift_vs_overall', 'lift_vs_overall')}, {_r('brier_score', 'brier_score')}, risk_level FROM seg",
