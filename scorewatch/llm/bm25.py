@@ -9,9 +9,10 @@ A search goes through the passages of a batch of documents at once. Essential wo
 that the others together stay below `REST` and below the threshold, so that no item reaches it without one of them; the largest essential shares of a passage's words in a block, plus what the
 other words can add at most, bound every score in that block, and blocks that cannot reach the threshold are skipped.
 In the blocks left all items are scored in full. Items at or above the threshold are verified on the document: the share
-of the item's five-word shingles found there must reach `overlap`, and where an item has a question (all sentences but the
-last) and an answer (the last sentence, with the shingles that lead into it) each must have `part` of its own found there:
-a question with another answer is no leak. An item or question under five words is one run of its own length, looked for
+of the item's five-word shingles found there must reach `overlap`, and where an item asks a question (all sentences but the
+last, ending in a question mark) and answers it (the last sentence, with the shingles that lead into it) each must have
+`part` of its own found there: a question with another answer is no leak. Items without a question mark there are passages
+and judged as a whole. An item or question under five words is one run of its own length, looked for
 among all runs of so many words of the document.
 
 Statistics (document frequencies, lengths) cover all items. The index is built in parts of at most `PART_WORDS` words of
@@ -68,6 +69,7 @@ class Index:
     longest: int
     questions: list  # (shingle hashes, words per shingle) per item
     answers: list
+    asked: list  # whether the item is a question and its answer
 
     @classmethod
     def build(
@@ -77,13 +79,14 @@ class Index:
 
         most_rest: what the words that are not essential may add up to; at most the threshold of the searches.
         """
-        rows, rest, questions, answers, longest = [], [], [], [], 1
+        rows, rest, questions, answers, asked, longest = [], [], [], [], [], 1
         for i, (_, text) in enumerate(items):
             hashes = word_hashes(np.frombuffer(text.encode(), np.uint8))
             longest = max(longest, len(hashes))
             q, a = question_and_answer(text)
             questions.append(q)
             answers.append(a)
+            asked.append(is_asked(text))
             words, tf = np.unique(hashes, return_counts=True)
             n = np.array([df.get(int(w.view(np.int64)), 1) for w in words], dtype=float)
             idf = np.log(1 + (n_items - n + 0.5) / (n + 0.5))
@@ -122,6 +125,7 @@ class Index:
             longest,
             questions,
             answers,
+            asked,
         )
 
     def numbered(self, hashes: np.ndarray) -> np.ndarray:
@@ -160,6 +164,12 @@ def _ranges(starts: np.ndarray, rows: np.ndarray):
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - size, size) + starts[rows][source], source
 
 
+def is_asked(text: str) -> bool:
+    """Whether the sentence before the last one ends in a question mark."""
+    parts = SENTENCE.split(text.strip())
+    return len(parts) > 1 and parts[-2].endswith("?")
+
+
 def question_and_answer(text: str):
     """(shingle hashes, words per shingle) of an item's question, and of the shingles that hold a word of its answer."""
     parts = SENTENCE.split(text.strip())
@@ -219,7 +229,7 @@ def _found(batch_texts, index: Index, score: float, overlap: float, part: float)
                 n = int(np.isin(names, sets[o, size]).sum()) if len(names) else 0
                 there, total = there + n, total + len(names)
                 shares.append(n / len(names) if len(names) else None)
-            if there >= overlap * total and all(s is None or s >= part for s in shares):
+            if there >= overlap * total and (not index.asked[i] or all(s is None or s >= part for s in shares)):
                 yield number, i, v, there / total, *shares, times
         held, pending, n_pending = [], 0, n_pending + 1
 

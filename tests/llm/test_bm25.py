@@ -112,7 +112,7 @@ def test_short_items_and_parts_against_brute_force(spark):
             answer = runs(item, min(5, len(item))) - question
             found = [len(p & runs(w, len(next(iter(p))))) if p else 0 for p in (question, answer)]
             shares = [f / len(p) for f, p in zip(found, (question, answer)) if p]
-            if sum(found) >= 0.75 * (len(question) + len(answer)) and min(shares) >= 0.5:
+            if sum(found) >= 0.75 * (len(question) + len(answer)) and min(shares) >= 0.5:  # all questions end in "?"
                 want.add((d, i))
     df, tests = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     got = {(r["doc_id"], r["item_id"]) for r in rows(bm25.leaks(df, tests))}
@@ -134,6 +134,10 @@ def test_a_question_with_another_answer_is_no_leak(spark):
         "doc_id long, text string",
     )
     assert {(r["doc_id"], r["item_id"]) for r in rows(bm25.leaks(docs, items))} == {(2, 1), (3, 2), (4, 3), (5, 4)}
+    # a passage that ends in a short sentence is judged as a whole
+    passage = spark.createDataFrame([(9, "all of the many words of this passage are here to be found again. So.")], "item_id long, text string")
+    copy = spark.createDataFrame([(1, "x all of the many words of this passage are here to be found again. No.")], "doc_id long, text string")
+    assert bm25.leaks(copy, passage).count() == 1
 
 
 def test_low_thresholds_lose_nothing(spark):
