@@ -10,8 +10,9 @@ rounding of its documents. Draws are hashes of seed and doc_id: reruns, layout a
 `mix` plans, `mixed_documents` adds the texts of the mix to each document, and `emitted` makes them rows of their own.
 
 Defined cases: a null or empty text has size 0 and is taken 0 times; a null source is a source, last in order; a source
-without words gets target 0; null ids draw alike; repeated rows are documents of their own; an empty table gives no
-rows. Columns other than doc_id, source and text are ignored by `mix`.
+without words gets target 0; documents with null ids draw by their text; repeated rows are documents of their own; an empty
+table gives no rows. Columns other than doc_id, source and text are ignored by `mix`; `mixed_documents` keeps them all, and
+its own columns whose names are taken are called `mix_<name>`.
 """
 
 from __future__ import annotations
@@ -25,11 +26,17 @@ from .common import BROADCAST_ROWS, global_index, keyed_join, stored, text_of, w
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 SEED = 7
+PLAN = ("size", "source_size", "target", "taken", "whole", "part_words", "part_start")
+
+
+def draw_key() -> Column:
+    """What a document draws by: its id, or its text where it has none."""
+    return F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null:"), F.md5(text_of().cast("binary")))).alias("draw_key")
 
 
 def draw(seed: int, purpose: str) -> Column:
     """Uniform in [0, 1) from seed, purpose and document."""
-    key = F.concat(F.lit(f"{seed}:{purpose}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
+    key = F.concat(F.lit(f"{seed}:{purpose}:"), F.col("draw_key"))
     return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
@@ -64,7 +71,7 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOC
 
 
 def repetitions(rows: DataFrame, seed: int = SEED) -> DataFrame:
-    """Add whole, part_words, part_start and taken to rows with doc_id, size, source_size, target."""
+    """Add whole, part_words, part_start and taken to rows with draw_key, size, source_size, target."""
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     part = F.floor((F.col("__rate") - F.floor("__rate")) * F.col("size") + draw(seed, "round")).cast("long")
     return (
@@ -86,9 +93,9 @@ def _with_targets(rows: DataFrame, sizes: DataFrame, weights, max_epochs) -> Dat
 
 def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
     """doc_id, size, source_size, target, taken, whole, part_words, part_start: one row per document."""
-    sizes = stored(docs.select("doc_id", "source", word_count(text_of()).alias("size")), "sizes")
+    sizes = stored(docs.select("doc_id", draw_key(), "source", word_count(text_of()).alias("size")), "sizes")
     rows = repetitions(_with_targets(sizes, sizes.select("source", "size"), weights, max_epochs), seed)
-    return rows.select("doc_id", "size", "source_size", "target", "taken", "whole", "part_words", "part_start")
+    return rows.select("doc_id", *PLAN)
 
 
 def cut_words(text: Column, start: Column, n: Column) -> Column:
@@ -104,28 +111,36 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOC
     `emitted` holds the texts that the document gives to the mix: the whole text `whole` times, then the run of
     `part_words` words from `part_start`, if any.
     """
-    names = ("size", "source_size", "target", "taken", "whole", "part_words", "part_start")
-    kept = docs.drop(*names, "emitted")
     sizes = stored(docs.select("source", word_count(text_of()).alias("size")), "sizes")
-    rows = _with_targets(kept.withColumn("size", word_count(text_of())), sizes, weights, max_epochs)
-    copies = F.array_repeat(F.col("text"), F.col("whole").cast("int"))
-    part = F.array(cut_words(F.col("text"), F.col("part_start"), F.col("part_words")))
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own")
+    rows = docs.select(own, draw_key(), "source", word_count(text_of()).alias("size"))
+    rows = repetitions(_with_targets(rows, sizes, weights, max_epochs), seed).where("taken > 0")
+    text = F.col("own.text")
+    copies = F.array_repeat(text, F.col("whole").cast("int"))
+    part = F.array(cut_words(text, F.col("part_start"), F.col("part_words")))
     texts = F.when(F.col("part_words") > 0, F.concat(copies, part)).otherwise(copies)
-    rows = repetitions(rows, seed).where("taken > 0").withColumn("emitted", texts)
-    return rows.select(*kept.columns, *names, "emitted")
+    rows = rows.withColumn("emitted", texts)
+    free = {name: _free(name, docs.columns) for name in (*PLAN, "emitted")}
+    return rows.select("own.*", *[F.col(name).alias(out) for name, out in free.items()])
+
+
+def _free(name: str, taken) -> str:
+    while name in taken:
+        name = f"mix_{name}"
+    return name
 
 
 def emitted(mixed: DataFrame) -> DataFrame:
     """The mix: one row per whole repetition and one per cut run, its words in `text`, numbered by `repetition`.
 
-    `mixed` are rows of `mixed_documents`; n_chars, where there, follows the text.
+    `mixed` are rows of `mixed_documents`, its own columns last; n_chars, where there, follows the text.
     """
-    names = ("size", "source_size", "target", "taken", "whole", "part_words", "part_start", "emitted")
-    columns = [c for c in mixed.columns if c not in names]
-    rows = mixed.select(*[c for c in columns if c != "text"], F.posexplode("emitted").alias("repetition", "text"))
+    columns, texts = mixed.columns[: -len(PLAN) - 1], mixed.columns[-1]
+    number = _free("repetition", columns)
+    rows = mixed.select(*[c for c in columns if c != "text"], F.posexplode(texts).alias(number, "text"))
     if "n_chars" in columns:
         rows = rows.withColumn("n_chars", F.length("text").cast(mixed.schema["n_chars"].dataType))
-    return rows.select(*columns, "repetition")
+    return rows.select(*columns, number)
 
 
 ORACLE = f"""

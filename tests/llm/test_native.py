@@ -79,3 +79,25 @@ def test_emitted_edges(spark):
     mixed = mixing.mixed_documents(spark.createDataFrame(EDGES, SCHEMA))
     got = rows(mixing.emitted(mixed))
     assert sum(len(r["text"].split()) for r in got) == sum(r["taken"] for r in rows(mixed))
+
+
+def test_mix_keeps_columns_of_its_own_names(spark):
+    """Columns of the documents that are called like those of the mix stay what they are."""
+    text = "one two three four five six seven eight"
+    docs = [(i, text, "ab"[i % 2], "mine", 7, "kept", "own") for i in range(20)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string, size string, taken int, emitted string, mix_size string")
+    mixed = mixing.mixed_documents(df)
+    assert mixed.columns == [*df.columns, "mix_mix_size", "source_size", "target", "mix_taken", "whole", "part_words", "part_start", "mix_emitted"]
+    got = rows(mixed)
+    assert all((r["size"], r["taken"], r["emitted"], r["mix_size"], r["mix_mix_size"]) == ("mine", 7, "kept", "own", 8) for r in got)
+    out = mixing.emitted(mixed)
+    assert out.columns == [*df.columns, "repetition"]
+    assert sum(len(r["text"].split()) for r in rows(out)) == sum(r["mix_taken"] for r in got)
+
+
+def test_null_ids_draw_by_their_text(spark):
+    """A source without ids meets its target to within the rounding of its documents, not all rounded alike."""
+    docs = [(None, " ".join(f"w{i}x{k}" for k in range(20)), "a") for i in range(100)] + [(1, "w " * 1000, "b")]
+    got = rows(mixing.mix(spark.createDataFrame(docs, "doc_id long, text string, source string")))
+    own = [r for r in got if r["doc_id"] is None]
+    assert len({r["taken"] for r in own}) > 1 and abs(sum(r["taken"] for r in own) - own[0]["target"]) < 20
