@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WORD, lower_ascii, stored, text_of
+from .common import WORD, discard, lower_ascii, stored, text_of
 from .hashing import shingles, texts, word_hashes
 
 K1, B = 1.2, 0.75
@@ -273,7 +273,8 @@ def indexes(items: DataFrame, part_words: int = PART_WORDS, score: float = SCORE
 
     n_parts = int(n_words // part_words) + 1
     part = F.pmod(F.xxhash64("text", "item_id"), F.lit(n_parts)).cast("int").alias("part")
-    rows = stored(rows.select("item_id", "text", part), "parts")
+    whole, rows = rows, stored(rows.select("item_id", "text", part), "parts")
+    discard(whole)
     held = rows.select("part", "text").mapInArrow(distinct_words, "word long, part int")
     held = stored(held, "held")
     counts = held.groupBy("word").agg(F.count("*").alias("n"))
@@ -284,6 +285,8 @@ def indexes(items: DataFrame, part_words: int = PART_WORDS, score: float = SCORE
         if found:
             with np.errstate(over="ignore"):
                 yield Index.build([(r[0], r[1]) for r in found], df, n_items, n_words / n_items, min(REST, score))
+    discard(rows)
+    discard(held)
 
 
 def _shared(docs: DataFrame, index: Index):

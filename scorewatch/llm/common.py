@@ -8,9 +8,9 @@ from bisect import bisect_right
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import BROADCAST_ROWS, checkpoints, keyed_join, shared_path, stored
+from ..session import BROADCAST_ROWS, checkpoints, discard, keyed_join, shared_path, stored
 
-__all__ = ["BROADCAST_ROWS", "Scratch", "checkpoints", "keyed_join", "shared_path", "stored"]
+__all__ = ["BROADCAST_ROWS", "Scratch", "checkpoints", "discard", "keyed_join", "shared_path", "stored"]
 
 # Characters that separate words: space and \t \n \v \f \r.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -90,6 +90,10 @@ class Scratch:
         self.paths[id(out)] = (out, path)
         return out
 
+    def drop_others(self, *kept: DataFrame) -> None:
+        """Delete all tables but these."""
+        self.drop(*[t for t, _ in list(self.paths.values()) if not any(t is k for k in kept)])
+
     def drop(self, *tables: DataFrame) -> None:
         """Delete tables, and let the driver's garbage collection release the shuffle files of finished plans."""
         jvm = self.spark.sparkContext._jvm

@@ -267,9 +267,9 @@ def _pairs_with(pairs: DataFrame, side: DataFrame, column: str) -> DataFrame:
     return pairs.join(one.hint("merge"), "u").join(two.hint("merge"), "v")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per document."""
-    s = Scratch(docs.sparkSession)
+def near_duplicates(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row per document. It reads tables of `scratch`, which may go after it."""
+    s = scratch or Scratch(docs.sparkSession)
     sketch = s.put(sketches(docs), "sketches")
     classes = s.put(
         sketch.where("doc_id IS NOT NULL AND n_shingles > 0")
@@ -373,5 +373,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The documents without those that a smaller doc_id of their component stands for."""
-    gone = Scratch(docs.sparkSession).put(near_duplicates(docs).where("NOT kept").select("doc_id").distinct(), "gone")
+    s = Scratch(docs.sparkSession)
+    gone = s.put(near_duplicates(docs, s).where("NOT kept").select("doc_id").distinct(), "gone")
+    s.drop_others(gone)
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
