@@ -37,17 +37,21 @@ def measure(
     source: DataFrame | None = None,
     source_keys=(),
     fan_out: int = 1,
+    counts: DataFrame | None = None,
 ) -> Spread:
     """Count rows per group and sample bucket borders for every group with more than `rows_per_bucket` rows.
 
     `source` is the frame the rows were unpivoted from, with `fan_out` keys per group of `source_keys`: its row
-    counts bound those of every key and need no feature column. Without it the rows themselves are counted.
+    counts bound those of every key and need no feature column. Without it the rows themselves are counted. `counts` are
+    such counts taken before (source keys, n; one row without keys).
     Counts and borders stay tables, with a row per group and per cut key; the driver sees their totals only.
     """
     if source is None:
         source, source_keys, fan_out = rows, keys, 1
     source_keys = list(source_keys)
-    if source_keys:
+    if counts is not None:
+        groups = counts.select(*source_keys, "n")
+    elif source_keys:
         groups = pin(source.groupBy(*source_keys).agg(F.count(F.lit(1)).alias("n")))  # looked at twice
     else:
         groups = rows.sparkSession.createDataFrame([(source.count(),)], "n long")
