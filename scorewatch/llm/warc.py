@@ -5,8 +5,8 @@ name the record they belong to in WARC-Concurrent-To; revisits name the record w
 Spark's text writer lays the records out with the record terminator as line separator; archives are read as bytes and
 parsed by Content-Length, so payloads may hold anything, record headers included. Payloads and HTTP headers are read back
 with their records: size and digest are taken from the payload that was read, a capture holds its response with payload
-and headers, and a revisit is resolved to the payload of the record it refers to. A query that asks for no payload does
-not carry any: they stay in the table of records.
+and headers, and a revisit is resolved to the payload of the record it refers to. A query that needs no payload drops the
+column from the table of records before it assembles captures, so that none is shuffled.
 
 Defined cases: a null page has an empty payload; a null address leaves out WARC-Target-URI; line breaks in an address
 are percent-encoded; pages under `min_revisit` bytes are always responses; of equal payloads the largest page_id is the
@@ -226,7 +226,8 @@ def assemble(found: DataFrame) -> DataFrame:
     """One row per capture: kind, record_id, refers_to, refers_to_page and nested request, response, metadata.
 
     Requests and metadata are matched to their record through WARC-Concurrent-To and the address. A transaction lacking
-    one of them keeps a null there. Only revisits are joined to the record they refer to.
+    one of them keeps a null there. Only revisits are joined to the record they refer to. Records without their `payload`
+    column give captures without it.
     """
     main = found.where(F.col("kind").isin("response", "revisit")).drop("concurrent_to", "fields")
     side = {}
@@ -264,7 +265,7 @@ def assemble(found: DataFrame) -> DataFrame:
         "refers_to",
         "refers_to_page",
         nested("request", "block_bytes", "first_line", "http"),
-        F.struct(*response).alias("response"),
+        F.struct(*[c for c in response if c in whole.columns]).alias("response"),
         nested("metadata", "block_bytes", "fields"),
     )
 
@@ -290,7 +291,8 @@ def round_trip(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     path = shared_path(spark, "warc")
     write_archives(pages, path)
-    c = assemble(stored(read_records(spark, path), "records"))
+    found = stored(read_records(spark, path), "records")
+    c = assemble(found.drop("payload"))
     meta = F.col("metadata.fields")
     return c.select(
         meta["page-id"].cast("long").alias("page_id"),
