@@ -19,6 +19,7 @@ from ..functions.clean import number_sql
 from ..functions.text import quote
 from ..session import bounded, checkpoints, join_per_group, shared_path
 from . import boosting, rank
+from .boosting import leaves, own_rows  # by name: tasks get these functions, not the module
 from .impute import median_imputed
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -171,9 +172,9 @@ def _explaining(models, features, kept, phis):
                 part = batch.iloc[start : start + 2048]
                 cells, known = part[features].to_numpy(dtype=float), part["review_no"].isin(models).to_numpy()
                 values = np.zeros(cells.shape)
-                for review, rows in boosting.own_rows(part, models):
+                for review, rows in own_rows(part, models):
                     if review not in packs:
-                        packs[review] = pack_leaves(boosting.leaves(models[review][1]), len(features))[1]
+                        packs[review] = pack_leaves(leaves(models[review][1]), len(features))[1]
                     values[rows] = attributions(cells[rows], packs[review])
                 yield pd.concat([part[kept].reset_index(drop=True), pd.DataFrame(values, columns=phis)], axis=1)[known]
 
@@ -196,10 +197,10 @@ def _walking(models, features, depth: int):
         bases: dict[int, float] = {}
         for batch in batches:
             cells, margin, start = batch[features].to_numpy(dtype=float), np.zeros(len(batch)), np.zeros(len(batch))
-            for review, own in boosting.own_rows(batch, models):
+            for review, own in own_rows(batch, models):
                 base, trees = models[review]
                 if review not in bases:
-                    bases[review] = base + pack_leaves(boosting.leaves(trees), len(features))[0]
+                    bases[review] = base + pack_leaves(leaves(trees), len(features))[0]
                 margin[own], start[own] = base + trees.margins(cells[own], depth), bases[review]
             yield batch.assign(margin=margin, attribution_base=start)
 
@@ -322,7 +323,7 @@ def _counting(models, p: int, repeats: int, depth: int):
             cells = np.stack(batch["cells"].to_numpy()) if len(batch) else np.zeros((0, p))
             partners = [np.stack(batch[f"partner_{r}"].to_numpy()) for r in range(repeats)] if len(batch) else []
             out = []
-            for review, rows in boosting.own_rows(batch, models):
+            for review, rows in own_rows(batch, models):
                 base, trees = models[review]
                 x = cells[rows]
                 outputs = np.stack([trees.value[t][trees.nodes(t, x, depth)] for t in range(len(trees.feature))])
