@@ -226,3 +226,31 @@ def test_vif_of_five_hundred_features(spark):
     assert len(got._jdf.queryExecution().optimizedPlan().toString()) < 2_000_000
     rows = got.collect()
     assert len(rows) == 500 and all(1.0 <= r["vif"] < 2.0 for r in rows)
+
+
+def test_cluster_steps_read_blocks(spark, monkeypatch):
+    """A step reads few rows, each a block of one review and window, and only starts that still move; any block length gives the same."""
+    rng = np.random.default_rng(8)
+    rows = [(i % 2, "train" if i % 3 else "current", float(np.round(x, 1)), float(np.round(y, 1))) for i, (x, y) in enumerate(rng.normal(size=(600, 2)))]
+    df = spark.createDataFrame(rows, "g int, win string, x double, y double").coalesce(1)
+    seen, wanted, kept, sums = [], [], cluster.stored, cluster._partial_sums
+
+    def spied(frame, name="table"):
+        out = kept(frame, name)
+        seen.append((out.columns, out.count(), out.selectExpr("sum(n)").first()[0], out.where("NOT train").selectExpr("sum(n)").first()[0]))
+        return out
+
+    def watched(blocks, p, centres, seeds, k, moving=None):
+        if moving is not None:
+            wanted.append(sum(int(m.sum()) for m in moving.values()))
+            found = {(r["review_no"], r["seed"]) for r in sums(blocks, p, centres, seeds, k, moving).collect()}
+            assert found == {(g, s) for g, m in moving.items() for s in np.flatnonzero(m)}
+        return sums(blocks, p, centres, seeds, k, moving)
+
+    monkeypatch.setattr(cluster, "stored", spied)
+    monkeypatch.setattr(cluster, "_partial_sums", watched)
+    want = sorted(map(tuple, cluster.cluster_share_shift(df, ["x", "y"], group_cols=["g"]).collect()))
+    assert seen[0][0] == ["review_no", "train", "n", "cells"] and seen[0][1] < 30 and seen[0][2:] == (600, 200)
+    assert wanted[0] == 6 and wanted == sorted(wanted, reverse=True) and wanted[-1] < 6
+    monkeypatch.setattr(cluster, "BLOCK_BYTES", 1)  # blocks of 64 rows
+    assert sorted(map(tuple, cluster.cluster_share_shift(df, ["x", "y"], group_cols=["g"]).collect())) == want
