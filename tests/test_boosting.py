@@ -120,3 +120,42 @@ def test_permutation_by_hand(table, reviewer):
             y[:, j] = [p[f"partner_{r}"][j] for p in paired]
             changed += ((base + trees.margins(y, 3) > 0) != sign).sum()
         assert got[f] == pytest.approx(changed / (2 * len(x)))
+
+
+def test_passes_read_blocks(table, reviewer, monkeypatch):
+    """A pass reads few rows, each a block of one review; blocks of any length give the same trees."""
+    seen, kept = [], boosting.stored
+
+    def spied(df, name="table"):
+        out = kept(df, name)
+        if name in ("bins", "margins"):
+            seen.append((out.columns, out.count(), out.selectExpr("sum(length(margins) / 8)").first()[0]))
+        return out
+
+    monkeypatch.setattr(boosting, "stored", spied)
+    monkeypatch.setattr(boosting, "KEPT_TREES", 3)
+    assert _nodes(boosting.fit(table.coalesce(1), FEATURES, "label", ["g"], "entity_id", trees=5)) == _nodes(reviewer)
+    assert len(seen) == 2
+    for columns, blocks, rows in seen:
+        assert columns == boosting.BLOCK_COLUMNS and rows == 351 and blocks < 40
+    monkeypatch.setattr(boosting, "BLOCK_BYTES", 1)  # blocks of 64 rows
+    assert _nodes(boosting.fit(table, FEATURES, "label", ["g"], "entity_id", trees=5)) == _nodes(reviewer)
+
+
+def test_codes_are_the_walk(reviewer):
+    """The node of every row against a walk from the root, for all trees and depths; missing cells go left."""
+    rng = np.random.default_rng(5)
+    cells = rng.normal(size=(200, 4))
+    cells[::17, 1] = np.nan
+    for _, trees in reviewer.models(0, reviewer.total).values():
+        for t in range(5):
+            for depth in range(4):
+                want = []
+                for row in cells:
+                    n = 0
+                    for _ in range(depth):
+                        f = trees.feature[t, n]
+                        n = n if f < 0 else 2 * n + (2 if row[f] > trees.cut[t, n] else 1)
+                    want.append(n)
+                assert trees.nodes(t, cells, depth).tolist() == want
+                assert trees.outputs(t, cells, depth).tolist() == trees.value[t][want].tolist()
