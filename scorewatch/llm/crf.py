@@ -63,7 +63,9 @@ class Chain:
                 truth = np.zeros_like(node)
                 truth[np.arange(n)[:, None], np.arange(length)[None, :], tags] = 1
                 diff = (truth - node) / total
-                np.add.at(g_e, rows, np.broadcast_to(diff[:, :, None, :], (*rows.shape, n_tags)))
+                for tag in range(n_tags):
+                    weights = np.broadcast_to(diff[:, :, None, tag], rows.shape).ravel()
+                    g_e[:, tag] += np.bincount(rows.ravel(), weights, ROWS)
                 path = np.concatenate([np.zeros((n, 1), int), tags, np.zeros((n, 1), int)], axis=1)
                 np.add.at(g_t, (path[:, :-1], path[:, 1:]), 1 / total)
                 g_t -= edge / total
@@ -95,7 +97,11 @@ class Chain:
 
     def decode(self, rows) -> list[int]:
         """Viterbi: the best tags of one run."""
-        e, t = self.emission[np.asarray(rows)].sum(1), self.transition
+        return self.path(self.emission[np.asarray(rows)].sum(1))
+
+    def path(self, e: np.ndarray) -> list[int]:
+        """The best tags of one run, given the scores of its tokens (tokens x tags)."""
+        t = self.transition
         best, back = e[0] + t[0], []
         for row in e[1:]:
             scores = best[:, None] + t

@@ -263,3 +263,56 @@ def test_secrets_known_by_what_is_around_them():
         assert [text[a:b] for a, b in secret_scan.method_spans(text, model)] == [secret]
     for plain in ("a state-of-the-art key point", "the key idea of the private garden", "on the getUserName page"):
         assert secret_scan.method_spans(plain, model) == []
+
+
+def plain_spans(text, model):
+    """Every token scored in full, the whole text decoded as one chain."""
+    kind, out = secret_scan.file_features(text), []
+    tokens = [m.span() for m in secret_scan.TOKEN.finditer(text)]
+    tags = model.decode([secret_scan.token_features(text, a, b, kind) for a, b in tokens]) if tokens else []
+    for (a, b), tag in zip(tokens, tags):
+        if tag == secret_scan.INSIDE and out and not text[out[-1][1] : a].strip():
+            out[-1] = (out[-1][0], b)
+        elif tag:
+            out.append((a, b))
+    return out
+
+
+def test_every_token_may_be_a_secret():
+    """A plain word without a digit, a sign or a keyword near it is found where the model says so."""
+    import numpy as np
+
+    model = crf.Chain(np.zeros((crf.ROWS, 3)), np.zeros((3, 3)))
+    model.emission[:, 0] = 1
+    model.emission[crf.feature_rows((None,) * 5 + ("hor",))[5], 1] = 100
+    for text in ("the horse runs", "horse", "a\nquiet (horse) here", "one, two horse"):
+        a = text.index("horse")
+        assert secret_scan.method_spans(text, model) == [(a, a + 5)]
+
+
+def test_remembered_bounds_lose_nothing(texts):
+    import numpy as np
+
+    r, n = random.Random(6), np.random.default_rng(6)
+    fitted = crf.Chain.fit(list(secret_scan.made_up_runs()), 3)
+    wild = [crf.Chain(n.normal(-0.3 * s, s, (crf.ROWS, 3)) + [s, 0, 0], n.normal(0, 2, (3, 3))) for s in (0.3, 0.6, 1, 1.5)]
+    pieces = [
+        *["plain", "words", "and", "Words", "of", "text", "x", "aB3", "10.5", "key", "key:", "token", "=", "a=b", "pwd =", "--", "(", ")."],
+        *['"quoted"', "end.", "end!?", "| cell |", "é", "«so»", "a,b,c", "1-2-3", "user:name", "x" * 60, "{", ";", "Bearer"],
+    ]
+    docs = [t or "" for t in texts.values()][:60]
+    docs += ["".join(r.choice(pieces) + r.choice([" ", " ", " ", "\n", "  ", " " * 60, ""]) for _ in range(r.randint(0, 40))) for _ in range(150)]
+    found = 0
+    for model in [fitted, *wild]:
+        scan = secret_scan.Scan(model)
+        for text in docs:
+            want = plain_spans(text[:3000], model)
+            assert scan.spans(text[:3000]) == want, text
+            found += len(want)
+    assert found > 1000
+
+
+def test_words_after_a_secret_are_none():
+    model = crf.Chain.fit(list(secret_scan.made_up_runs()), 3)
+    for line in ('pwd = "hT9xQ2mZp4Lk8Vb3Nw6Rt1Yc" next words of it', "Bearer ghp_0123456789abcdefABCDEF0123456789abcd and more"):
+        assert [line[a:b] for a, b in secret_scan.method_spans(line, model)] == [max(re.findall(r"\w+", line), key=len)]
