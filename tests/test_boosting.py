@@ -159,3 +159,61 @@ def test_codes_are_the_walk(reviewer):
                     want.append(n)
                 assert trees.nodes(t, cells, depth).tolist() == want
                 assert trees.outputs(t, cells, depth).tolist() == trees.value[t][want].tolist()
+
+
+def test_tables_are_the_walk(reviewer):
+    """Outputs and attributions by table against the walk and the sum over leaves; infinite cells too."""
+    rng = np.random.default_rng(9)
+    cells = rng.normal(size=(300, 4))
+    cells[::31, 0], cells[::37, 1] = np.inf, -np.inf
+    for _, trees in reviewer.models(0, reviewer.total).values():
+        levels = boosting.levels_of(trees, 4)
+        cells[: len(levels[0]), 0] = levels[0]  # at the cuts
+        grids = [boosting.grid(f, c, 3, levels) for f, c in zip(trees.feature, trees.cut)]
+        tables = boosting.Tables.of([g[0] for g in grids], [v[g[1]] for g, v in zip(grids, trees.value)])
+        missing = np.where(rng.random(cells.shape) < 0.1, np.nan, cells)
+        for x in (cells, missing):
+            assert tables.margins(boosting.intervals(levels, x), 300).tolist() == trees.margins(x, 3).tolist()
+        finite = np.where(cells == -np.inf, -1e300, cells)
+        want = explain.attributions(finite, explain.pack_leaves(boosting.leaves(trees), 4)[1])
+        for depth in (3, boosting.TABLED_DEPTH + 1):
+            assert np.abs(explain.Explained(trees, 4, depth).of(finite) - want).max() < 1e-12
+        assert np.abs(explain.Explained(trees, 4, 3).of(cells) - want).max() < 1e-12  # -inf goes left as in the walk
+        for f in range(4):
+            new = rng.permutation(cells[:, f])
+            outputs = [explain.Shuffled(trees, 4, d) for d in (3, boosting.TABLED_DEPTH + 1)]
+            assert (outputs[0].start(cells) == np.stack([trees.outputs(t, cells, 3) for t in range(5)])).all()
+            y = cells.copy()
+            y[:, f] = new
+            got = np.stack(list(outputs[0].exchanged(f, new, range(5))))
+            assert (got == np.stack([trees.outputs(t, y, 3) for t in range(5)])).all()
+
+
+def test_passes_count_the_smaller_child(table, reviewer, monkeypatch):
+    """One child of a split is counted, at most half of its curvature; sums added up by review before they are sent change nothing."""
+    seen, counted = [], boosting._histogram
+
+    def spied(*args):
+        out = counted(*args)
+        seen.append((args[7], {r: w.copy() for r, w in args[5].items()}, {r: s[1, 0].sum() for r, s in out.items()}))
+        return out
+
+    monkeypatch.setattr(boosting, "_histogram", spied)
+    assert _nodes(boosting.fit(table, FEATURES, "label", ["g"], "entity_id", trees=5)) == _nodes(reviewer)
+    root = {}
+    for level, wanted, sums in seen:
+        root = sums if not level else root
+        for r, w in wanted.items():
+            assert not level or not (w[::2] & w[1::2]).any()
+            assert not level or 2 * sums.get(r, 0) <= root[r]
+    monkeypatch.setattr(boosting, "SENT", 0)
+    assert _nodes(boosting.fit(table, FEATURES, "label", ["g"], "entity_id", trees=5)) == _nodes(reviewer)
+
+
+def test_deeper_trees_are_walked(table):
+    deep = boosting.fit(table, FEATURES, "label", ["g"], "entity_id", trees=3, depth=4)
+    current = median_imputed(table.where("win = 'current'"), FEATURES, ["g"])
+    wide = explain.attributed_rows(deep, current)
+    total = "+".join(f"phi_{f}" for f in FEATURES)
+    rows = explain.with_margins(deep, deep.numbered(wide)).selectExpr(f"abs({total} + attribution_base - margin) AS gap").collect()
+    assert len(rows) == 352 and max(r["gap"] for r in rows) < 1e-9
