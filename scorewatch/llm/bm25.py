@@ -46,8 +46,9 @@ PART = 0.5
 REST = 0.3
 ITEM_BLOCK = 16
 PART_WORDS = 2_000_000
-# Words searched at once by a task.
-BATCH_WORDS = 1 << 20
+# Words held at once by a task, and index entries of their passages that are looked at together.
+BATCH_WORDS = 1 << 18
+BATCH_ENTRIES = 1 << 20
 SHINGLE = 5
 SENTENCE = re.compile(r"(?<=[.!?])\s+")
 
@@ -156,6 +157,19 @@ class Index:
         return pair[hit] // n_items, pair[hit] % n_items, score[hit]
 
 
+def _slices(index: Index, passage: np.ndarray, word: np.ndarray):
+    """Runs of whole passages with at most BATCH_ENTRIES entries of the index, or one passage."""
+    ends = np.cumsum(index.block_from[word + 1] - index.block_from[word])
+    start = 0
+    while start < len(passage):
+        stop = int(np.searchsorted(ends, BATCH_ENTRIES + (ends[start - 1] if start else 0), side="right"))
+        if stop < len(passage):
+            whole = int(np.searchsorted(passage, passage[stop]))
+            stop = whole if whole > start else int(np.searchsorted(passage, passage[start], side="right"))
+        yield slice(start, stop)
+        start = stop
+
+
 def _ranges(starts: np.ndarray, rows: np.ndarray):
     """All positions starts[r] .. starts[r + 1] - 1 for each r of rows, and the number of the row each is of."""
     size = starts[rows + 1] - starts[rows]
@@ -212,7 +226,9 @@ def _found(batch_texts, index: Index, score: float, overlap: float, part: float)
             total += n
         passage, word = (np.concatenate(c) for c in zip(*pairs))
         pair = np.unique(passage * len(index.words) + word)
-        passage, item, value = index.search(pair // len(index.words), pair % len(index.words), total, score)
+        passage, word = pair // len(index.words), pair % len(index.words)
+        parts = [index.search(passage[s], word[s], total, score) for s in _slices(index, passage, word)]
+        passage, item, value = (np.concatenate(c) for c in zip(*parts))
         owner = np.searchsorted(offsets, passage, side="right") - 1
         best: dict[tuple[int, int], list] = {}
         for o, i, v in zip(owner.tolist(), item.tolist(), value.tolist()):

@@ -1,5 +1,6 @@
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -178,3 +179,29 @@ print("FOUND", bm25.leaks(docs, items).collect()[0]["item_id"], bm25.decontamina
 """
     said = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd="/", timeout=300)
     assert "FOUND 7 0" in said.stdout, said.stderr[-2000:]
+
+
+def test_searches_look_at_few_entries(monkeypatch):
+    """Frequent words stand in every block of the index: a search takes as many passages as fit its bound, with the same result."""
+    r = random.Random(3)
+    words = [f"w{i}" for i in range(40)]
+    items = [(i, " ".join(r.choice(words) for _ in range(30))) for i in range(200)]
+    held = [items[i][1].split() for i in (3, 77, 150)]
+    docs = [" ".join(sum(([r.choice(words) for _ in range(400)] + h for h in held), [])) for _ in range(3)]
+    counts = Counter(h for _, t in items for h in {int(x) for x in bm25.word_hashes(np.frombuffer(t.encode(), np.uint8)).view(np.int64)})
+    index = bm25.Index.build(items, counts, len(items), 30)
+    views = [np.frombuffer(d.encode(), np.uint8) for d in docs]
+    want = list(bm25._found(views, index, bm25.SCORE, bm25.OVERLAP, bm25.PART))
+    assert {(f[0], f[1]) for f in want} == {(d, i) for d in range(3) for i in (3, 77, 150)}
+    seen, search = [], bm25.Index.search
+
+    def spied(self, passage, word, *rest):
+        seen.append((int((self.block_from[word + 1] - self.block_from[word]).sum()), len(set(passage.tolist()))))
+        return search(self, passage, word, *rest)
+
+    monkeypatch.setattr(bm25.Index, "search", spied)
+    for most in (5000, 1):
+        monkeypatch.setattr(bm25, "BATCH_ENTRIES", most)
+        seen.clear()
+        assert list(bm25._found(views, index, bm25.SCORE, bm25.OVERLAP, bm25.PART)) == want
+        assert len(seen) > 5 and all(n <= most or passages == 1 for n, passages in seen)
